@@ -9,6 +9,7 @@ from ..operators import changelog, filters, offsets, projections, ranking, windo
 from ..operators.accumulate import upsert
 from ..plans import labelled_counts, rank_events, search_words, state_snapshot, top_pages, word_count
 from ..schemas import PAGE_VIEW
+from ..sinks import landing
 from ..sinks.topics import keyed_longs
 from ..sources import tables
 from ..sources.topics import typed, union_topics
@@ -215,6 +216,11 @@ def upsert_accumulate_common_rank(spark, sf_dir):
     return upsert(earlier, later)
 
 
+def landing_rows(spark, sf_dir):
+    records = tables.as_topic_records(tables.events(spark, sf_dir))
+    return landing.dated(records, F.col("timestamp"))
+
+
 def uuid_header(spark, sf_dir):
     tagged = projections.with_uuid(messages(spark, sf_dir))
     per_id = tagged.groupBy("uuid").agg(F.count("*").alias("records"))
@@ -257,5 +263,6 @@ BATCH = {
     "state_snapshot": snapshot,
     "common_rank_rows": common_rank_rows,
     "upsert_accumulate_common_rank": upsert_accumulate_common_rank,
+    "landing_rows": landing_rows,
     "uuid_header": uuid_header,
 }

@@ -7,18 +7,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import projections
 from ..plans import rank_events
 from ..session import shared_dir
-from ..sinks import batches, landing, rank_table
-from ..sources import tables
+from ..sinks import batches, rank_table
 from .batch import UPDATE_DATE, halves, messages
 
 
-def landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = tables.as_topic_records(tables.events(spark, sf_dir))
-    path = shared_dir(spark, "landing")
-    landing.land(landing.dated(records, F.col("timestamp")), path)
-    return spark.read.schema("value string, day string, hour string, topic string").text(path)
-
-
 def idempotent_batch_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches, the second delivered twice."""
     earlier, later = halves(messages(spark, sf_dir))
@@ -41,7 +33,6 @@ def rank_table_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 DELIVERED = {
-    "landing_rows": landing_rows,
     "idempotent_batch_write": idempotent_batch_write,
     "rank_table_replayed": rank_table_replayed,
 }

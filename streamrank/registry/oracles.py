@@ -195,7 +195,6 @@ ORACLES = {
     "idempotent_batch_write": MESSAGES,
     "rank_table_replayed": TWO_DELIVERIES,
     "batched_commit_scan": MESSAGES,
-    "stream_landing_rows": LANDED,
     "stream_tumbling_count_1h": tumbling("1 hour", 3_600_000),
     "stream_top_pages_per_industry_hour": TOP_PAGES,
     "stream_rank_1m": RANK_STREAM,

@@ -14,7 +14,6 @@ from ..operators import projections, windows
 from ..plans import labelled_counts, rank_events, search_words, top_pages, word_count
 from ..session import pin_utc, shared_dir, stream_session
 from ..sinks.batches import read_batches
-from ..sinks.landing import dated, land_stream
 from ..sinks.rank_table import read_rank_table
 from ..sources import tables
 from ..streaming import run as streaming
@@ -130,7 +129,7 @@ def stream_changes(spark, sf_dir):
 def stream_word_count(spark, sf_dir):
     path = shared_dir(spark, "stream-words")
     session = stream_session(spark)
-    documents = session.readStream.schema("text string").parquet(f"{sf_dir}/documents.parquet")
+    documents = streaming.table_stream(session, f"{sf_dir}/documents.parquet", "text string")
     counts = word_count.word_count(projections.lines(documents))
     finish(spark, counts, streaming.to_batches(path), "stream-words", final_only=False)
     return latest(read_batches(spark, path), ["word"])
@@ -147,20 +146,8 @@ def batched_commit_scan(spark, sf_dir):
     return read_batches(spark, path).select("event_id", "value")
 
 
-def stream_landing(spark, sf_dir):
-    path = shared_dir(spark, "stream-landing")
-    session = stream_session(spark)
-    records = tables.as_topic_records(
-        streaming.event_stream(session, f"{sf_dir}/events.parquet")
-    )
-    checkpoint = streaming.fresh_checkpoint(spark, "landing")
-    land_stream(dated(records, F.col("timestamp")), path, checkpoint, roll=None).awaitTermination()
-    return spark.read.schema("value string, day string, hour string, topic string").text(path)
-
-
 STREAMED = {
     "batched_commit_scan": batched_commit_scan,
-    "stream_landing_rows": stream_landing,
     "stream_tumbling_count_1h": stream_changes,
     "stream_top_pages_per_industry_hour": stream_top_pages,
     "stream_rank_1m": stream_rank_1m,

@@ -57,16 +57,25 @@ def fresh_checkpoint(spark: SparkSession, name: str) -> str:
     return shared_dir(spark, f"checkpoint-{name}")
 
 
+def table_stream(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """A parquet table, one file or a folder of files, as a stream.
+
+    A plain path has to be a folder, so it is given as a pattern that only it
+    matches.
+    """
+    return spark.readStream.schema(ddl).parquet(f"{path[:-1]}[{path[-1]}]")
+
+
 def event_stream(spark: SparkSession, path: str) -> DataFrame:
-    """Event files as a stream."""
-    return with_event_time(spark.readStream.schema(EVENTS_DDL).parquet(path))
+    """Events as a stream."""
+    return with_event_time(table_stream(spark, path, EVENTS_DDL))
 
 
 def closing_event(spark: SparkSession, events_path: str, after: str) -> str:
     """Write one event ``after`` the last, so a finite stream closes all windows.
 
-    The watermark only moves on newer events; this one moves it past the end.
-    Its own window stays open and gives no result.
+    The watermark only moves on newer events that pass a job's filters; this one
+    moves it past the end. Its own window stays open and gives no result.
     """
     path = shared_dir(spark, "closing-event")
     last = spark.read.schema(EVENTS_DDL).parquet(events_path).agg(F.max("ts").alias("ts"))
@@ -74,7 +83,7 @@ def closing_event(spark: SparkSession, events_path: str, after: str) -> str:
         F.lit(-1).cast("long").alias("event_id"),
         (F.col("ts") + F.expr(f"interval {after}")).alias("ts"),
         F.lit(-1).cast("long").alias("user_id"),
-        F.lit("view").alias("event_type"),
+        F.lit("click").alias("event_type"),
         F.lit(0.0).alias("value"),
         F.lit('{"k": -1}').alias("props"),
     ).coalesce(1).write.parquet(path)

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.windows import micros, tumbling_count
+from ..operators.windows import tumbling_count
 
 SNAPSHOT_DDL = "key string, tick_ms long, value string"
 
@@ -16,23 +16,22 @@ SNAPSHOT_DDL = "key string, tick_ms long, value string"
 class PeriodicSnapshot(StatefulProcessor):
     """Adds up pre-counted rows of one key and reports the total on a timer.
 
-    A timer fires once, so a key sets its next one when rows arrive. Between
-    arrivals its total cannot change and is not reported again.
+    A timer fires once, so rows set the one that ends their interval. Between
+    arrivals the total cannot change and is not reported again.
     """
 
-    def __init__(self, every_ms: int):
-        self.every_ms = every_ms
-
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.total = handle.getValueState("total", "total long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        added = sum(int(frame["count"].sum()) for frame in rows)
         held = self.total.get()
-        self.total.update(((held[0] if held else 0) + added,))
-        now = max(timerValues.getCurrentWatermarkInMs(), 0)
-        self.handle.registerTimer((now // self.every_ms + 1) * self.every_ms)
+        total, tick_ms = held[0] if held else 0, 0
+        for frame in rows:
+            total += int(frame["count"].sum())
+            tick_ms = max(tick_ms, int(frame["tick_ms"].max()))
+        self.total.update((total,))
+        self.handle.registerTimer(tick_ms)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -55,10 +54,11 @@ def periodic_snapshot(rows: DataFrame, key: str, every: str = "1 second", ts: st
     counted = tumbling_count(rows, [key], every, ts).select(
         F.col(key).cast("string").alias("key"),
         F.window_time("window").alias("at"),
+        F.unix_millis("window.end").alias("tick_ms"),
         "count",
     )
     return counted.groupBy("key").transformWithStateInPandas(
-        PeriodicSnapshot(micros(every) // 1000),
+        PeriodicSnapshot(),
         outputStructType=SNAPSHOT_DDL,
         outputMode="Append",
         timeMode="EventTime",
