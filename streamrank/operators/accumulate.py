@@ -8,11 +8,13 @@ from ..schemas import COMMON_RANK_KEYS
 
 
 def accumulate(rank_rows: DataFrame) -> DataFrame:
-    """One row per rank key: values add up, the latest update time stays."""
+    """One row per rank key: values add up, the latest update time stays.
+
+    Names are left out: counting never sets one, and without text to carry
+    along this stays a hash aggregation.
+    """
     return rank_rows.groupBy(*COMMON_RANK_KEYS).agg(
-        F.max("rank_name").alias("rank_name"),
-        F.sum("rank_value").alias("rank_value"),
-        F.max("update_date").alias("update_date"),
+        F.sum("rank_value").alias("rank_value"), F.max("update_date").alias("update_date")
     )
 
 
@@ -22,4 +24,8 @@ def upsert(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     Incoming rows carry no name, so the name on record stays. Both sides are
     combined before the shuffle: this is one aggregation, not a join.
     """
-    return accumulate(existing.unionByName(incoming))
+    return existing.unionByName(incoming).groupBy(*COMMON_RANK_KEYS).agg(
+        F.max("rank_name").alias("rank_name"),
+        F.sum("rank_value").alias("rank_value"),
+        F.max("update_date").alias("update_date"),
+    )

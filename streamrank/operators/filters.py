@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -54,4 +54,4 @@ def behaviour_events(records: DataFrame, wanted: Sequence[str], value: str = "va
 
 def without_nulls(table: DataFrame, *columns: str) -> DataFrame:
     """Drop rows with a null key or value."""
-    return table.na.drop(subset=list(columns))
+    return table.filter(reduce(and_, [F.col(name).isNotNull() for name in columns]))

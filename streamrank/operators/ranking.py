@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -37,7 +39,7 @@ def listed(top: DataFrame, group: Sequence[str], item: str, alias: str) -> DataF
     return top.groupBy(*group).agg(lines_of(items).alias(alias))
 
 
-def standings(counted: DataFrame, group: Sequence[str], salts: int = 16) -> DataFrame:
+def standings(counted: DataFrame, group: Sequence[str], salt_bits: int = 4) -> DataFrame:
     """Every row with its ``rank`` in the group: 1 + rows with a larger count.
 
     Equal counts share a rank. The whole group is never sorted in one place:
@@ -45,6 +47,7 @@ def standings(counted: DataFrame, group: Sequence[str], salts: int = 16) -> Data
     far fewer distinct counts than rows. The join back is salted because most
     rows of a large group have the same small count.
     """
+    last_salt = F.lit(2**salt_bits - 1).cast("long")
     larger_first = (
         Window.partitionBy(*group).orderBy(F.desc("count"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -52,10 +55,12 @@ def standings(counted: DataFrame, group: Sequence[str], salts: int = 16) -> Data
     ranks = (
         counted.groupBy(*group, "count").agg(F.count("*").alias("_rows"))
         .withColumn("rank", F.sum("_rows").over(larger_first) - F.col("_rows") + 1)
-        .drop("_rows")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), last_salt)))
     )
-    salted = counted.withColumn(
-        "_salt", F.pmod(F.xxhash64(*counted.columns), F.lit(salts)).cast("int")
-    )
-    return salted.join(ranks, [*group, "count", "_salt"]).drop("_salt")
+    salted = counted.withColumn("_salt", F.xxhash64(*counted.columns).bitwiseAND(last_salt))
+    same = [
+        F.col(f"one.{name}").eqNullSafe(F.col(f"all.{name}"))
+        for name in (*group, "count", "_salt")
+    ]
+    joined = salted.alias("one").join(ranks.alias("all"), reduce(and_, same))
+    return joined.select(*[f"one.{name}" for name in counted.columns], "all.rank")

@@ -95,10 +95,11 @@ def session_count(
         .agg(F.count("*").alias("_n"), F.min(ts).alias("_first"), F.max(ts).alias("_last"))
     )
     in_order = Window.partitionBy(*keys).orderBy("_slot")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     idle = F.unix_micros("_first") - F.unix_micros(F.lag("_last").over(in_order))
     return (
         slots.withColumn("_opens", F.when(idle <= gap_us, 0).otherwise(1))
-        .withColumn("_session", F.sum("_opens").over(in_order))
+        .withColumn("_session", F.sum("_opens").over(so_far))
         .groupBy(*keys, "_session")
         .agg(F.sum("_n").alias("count"), F.min("_first").alias("start"), F.max("_last").alias("end"))
         .select(*keys, F.struct("start", "end").alias("window"), "count")

@@ -12,7 +12,7 @@ from ..schemas import PAGE_VIEW
 from ..sinks import landing
 from ..sinks.topics import keyed_longs
 from ..sources import tables
-from ..sources.topics import typed, union_topics
+from ..sources.topics import subscribed, typed
 
 # The marker the stand-in views carry: part of the types "click" and "purchase".
 MARKER = "c"
@@ -57,8 +57,9 @@ def source_pageviews(spark, sf_dir):
 
 def multi_topic_scan(spark, sf_dir):
     records = tables.as_topic_records(tables.events(spark, sf_dir))
-    per_topic = {t: records.filter(F.col("topic") == t).drop("topic") for t in EVENT_TYPES}
-    return union_topics(per_topic).select("topic", "partition", "offset", "key", "value", micros_of())
+    return subscribed(records, EVENT_TYPES).select(
+        "topic", "partition", "offset", "key", "value", micros_of()
+    )
 
 
 def next_offset_per_partition(spark, sf_dir):

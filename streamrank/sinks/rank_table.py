@@ -7,9 +7,10 @@ is, and the batch number makes replays harmless.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.accumulate import accumulate
+from ..schemas import COMMON_RANK
 from .batches import read_batches, write_batch
 
 
@@ -19,14 +20,19 @@ def add_counts(rank_rows: DataFrame, batch_id: int, path: str) -> None:
 
 
 def read_rank_table(spark: SparkSession, path: str) -> DataFrame:
-    return accumulate(read_batches(spark, path))
+    """The table with all committed batches added up."""
+    totals = accumulate(read_batches(spark, path))
+    unnamed = totals.withColumn("rank_name", F.lit(None).cast("string"))
+    return unnamed.select(*COMMON_RANK.fieldNames())
 
 
 def fold(spark: SparkSession, path: str, into: str, upto: int) -> None:
     """Copy the table with all batches up to ``upto`` folded into that one.
 
-    Readers move to the new path once it is written; batches after ``upto``
-    are copied unchanged, and replays of them still replace their own rows.
+    Readers and the writing query move to the new path once it is written.
+    Batches after ``upto`` are copied unchanged, and replays of them still
+    replace their own rows, so ``upto`` must lie before any batch that may
+    still be replayed.
     """
     stored = read_batches(spark, path)
     add_counts(stored.filter(stored.batch_id <= upto).drop("batch_id"), upto, into)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -74,7 +73,9 @@ def typed(records: DataFrame, key: str = "string", value: str = "string") -> Dat
     })
 
 
-def union_topics(scans: Mapping[str, DataFrame]) -> DataFrame:
-    """Several per-topic scans as one, tagged with ``topic``."""
-    tagged = [df.withColumn("topic", F.lit(name)) for name, df in scans.items()]
-    return reduce(DataFrame.unionByName, tagged)
+def subscribed(records: DataFrame, topics: Sequence[str]) -> DataFrame:
+    """The records of some topics, from files that hold them with their ``topic``.
+
+    Files in a folder per topic are read only for the topics asked for.
+    """
+    return records.filter(F.col("topic").isin(*topics))
