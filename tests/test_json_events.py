@@ -1,0 +1,121 @@
+"""Which messages count, and what is read from them."""
+
+from pyspark.sql import functions as F
+
+from helpers import at, rows_of
+from streamrank.operators.filters import behaviour_events, flagged_views, json_shaped, without_nulls
+from streamrank.operators.projections import common_rank_rows, rank_records, search_word_pairs
+from streamrank.plans.rank_events import RANKED_EVENTS, rank_counts, with_rank_json
+from streamrank.plans.search_words import search_word_counts
+
+# A message as producers send it, with every field they send.
+FULL = (
+    '{"data":{"user_id":"143","distinct_id":"web-9b","project":"mall","time":1538020148136,'
+    '"event":"searchProduct","type":"distribution","real_user_id":"3e","properties":{"referer":"",'
+    '"screen_width":2133,"screen_height":993,"product_type_one":"","app_version":"",'
+    '"product_type_two":"","is_login_id":true,"channel":"H5","search_word":"hello",'
+    '"user_agent":"Mozilla/5.0"},"url":"http://shop.example/#/SearchResult?keywords=hello"},'
+    '"ip":"192.0.2.1"}'
+)
+
+
+def messages(spark, values):
+    rows = [(i, value, at(60_000 * i)) for i, value in enumerate(values)]
+    return spark.createDataFrame(rows, "id int, value string, timestamp timestamp")
+
+
+def kept(spark, values, wanted=RANKED_EVENTS):
+    return [row.id for row in behaviour_events(messages(spark, values), wanted).select("id").orderBy("id").collect()]
+
+
+def test_shape_guard(spark):
+    cases = {
+        None: False, "": False, "  ": False, ' {"data":{}}': False, '{"data":{}} ': False,
+        "{bad}": True, "{}": True, "[1]": False, "{": False, "{a": False,
+    }
+    rows = spark.createDataFrame([(v,) for v in cases], "value string")
+    passed = {row.value for row in rows.filter(json_shaped(F.col("value"))).collect()}
+    assert passed == {value for value, good in cases.items() if good}
+
+
+def test_only_well_formed_wanted_events(spark):
+    search = '{"data":{"event":"searchProduct"}}'
+    assert kept(spark, [
+        FULL, search,
+        None, "", "  ", " " + search, "{bad}", '{"a":1}', '{"data":{"event":"buy"}}',
+        '{"data":"searchProduct"}', '{"data":["searchProduct"]}', '{"event":"searchProduct"}',
+        '{"note":"searchProduct","data":{"event":"buy"}}',
+        '{"data":{"event":"searchproduct"}}', '{"data":{"event":null},"x":"searchProduct"}',
+    ]) == [0, 1]
+
+
+def test_one_object_per_message(spark):
+    search = '{"data":{"event":"searchProduct"}}'
+    assert kept(spark, [search + search, search + "," + search, search + "}", search + " x}"]) == []
+
+
+def test_lenient_and_escaped_json(spark):
+    assert kept(spark, [
+        '{data:{event:"searchProduct"}}', "{'data':{'event':'viewProduct'}}",
+        '{"data":{"event":"search\\u0050roduct"}}', '{"data":{/* why */"event":"viewProduct"}}',
+        '{"data":{"event":"buy","event":"viewProduct"}}',
+    ]) == [0, 1, 2, 3, 4]
+
+
+def test_rank_record_fields(spark):
+    values = [
+        FULL,
+        '{"data":{"event":"viewProduct","project":"mall","properties":{"product_id":17,"search_word":"no"}}}',
+        '{"data":{"event":"searchProduct","project":"mall"}}',
+    ]
+    found = rank_records(behaviour_events(messages(spark, values), RANKED_EVENTS), "id").orderBy("id")
+    assert [tuple(row)[:4] for row in found.collect()] == [
+        ("searchProduct", "hello", "mall", "H5"),
+        ("viewProduct", "17", "mall", None),
+        ("searchProduct", None, "mall", None),
+    ]
+
+
+def test_other_events_have_an_empty_subject(spark):
+    found = rank_records(behaviour_events(messages(spark, ['{"data":{"event":"buy"}}']), ["buy"]))
+    assert found.first().rank_id == ""
+
+
+def test_search_pair_fields(spark):
+    found = search_word_pairs(behaviour_events(messages(spark, [FULL]), ["searchProduct"]))
+    assert rows_of(found) == [("mall", "hello")]
+
+
+def test_rank_counts_keep_records_with_missing_parts(spark):
+    no_channel = '{"data":{"event":"searchProduct","project":"p","properties":{"search_word":"a"}}}'
+    rows = messages(spark, [no_channel]).unionAll(messages(spark, [no_channel]))
+    counts = rank_counts(rows)
+    assert [(row.rank_channel, row["count"]) for row in counts.collect()] == [(None, 2)]
+    json = with_rank_json(counts).first()
+    assert json.key == '{"rank_type":"searchProduct","rank_id":"a","user_project":"p"}'
+    assert json.value == '{"rank_type":"searchProduct","rank_id":"a","user_project":"p","rank_value":2}'
+    table = common_rank_rows(counts, F.lit(5)).first()
+    assert (table.rank_channel, table.rank_name, table.rank_value, table.update_date) == ("", None, 2, 5)
+
+
+def test_update_date_is_now_by_default(spark):
+    import time
+
+    row = common_rank_rows(rank_counts(messages(spark, [FULL]))).first()
+    assert abs(row.update_date - time.time() * 1000) < 600_000
+
+
+def test_search_word_value(spark):
+    row = search_word_counts(messages(spark, [FULL])).first()
+    assert row.key == '{"project":"mall","search_word":"hello"}'
+    assert row.value == '{"project":"mall","search_word":"hello","count":1}'
+
+
+def test_flags(spark):
+    views = spark.createDataFrame([(f,) for f in (None, "", "article", "xARTICLEy", "ARTICLE")], "flags string")
+    assert sorted(row.flags for row in flagged_views(views).collect()) == ["ARTICLE", "xARTICLEy"]
+
+
+def test_without_nulls(spark):
+    rows = spark.createDataFrame([("a", 1), (None, 1), ("a", None)], "key string, value int")
+    assert rows_of(without_nulls(rows, "key", "value")) == [("a", 1)]

@@ -1,0 +1,140 @@
+"""Batches under a number, the rank table, and landing folders."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import Feed, at, clock, rows_of
+from streamrank.operators.accumulate import upsert
+from streamrank.operators.offsets import next_offsets
+from streamrank.operators.projections import with_uuid
+from streamrank.sinks.batches import read_batches, write_batch
+from streamrank.sinks.landing import dated, land, land_stream
+from streamrank.sinks.rank_table import add_counts, fold, read_rank_table
+
+RANK_DDL = (
+    "user_project string, rank_type string, rank_id string, rank_channel string, "
+    "rank_name string, rank_value long, update_date long"
+)
+
+
+def ranks(spark, *rows):
+    return spark.createDataFrame([("p", "t", i, "", name, value, date) for i, name, value, date in rows], RANK_DDL)
+
+
+def test_writing_a_number_again_replaces_it(spark, tmp_path):
+    path = str(tmp_path / "out")
+    write_batch(spark.range(10), 0, path)
+    write_batch(spark.range(5), 1, path)
+    write_batch(spark.range(5), 1, path)
+    assert read_batches(spark, path).count() == 15
+    assert dict(read_batches(spark, path).dtypes)["batch_id"] == "bigint"
+
+
+def test_failed_batch_leaves_nothing(spark, tmp_path):
+    path = str(tmp_path / "out")
+    write_batch(spark.range(10), 0, path)
+    failing = spark.range(1000, numPartitions=4).withColumn(
+        "bad", F.when(F.col("id") == 999, F.raise_error("stop")).cast("string")
+    )
+    with pytest.raises(Exception, match="stop"):
+        write_batch(failing, 1, path)
+    assert read_batches(spark, path).select("batch_id").distinct().collect() == [(0,)]
+
+
+def test_upsert_adds_and_keeps_names(spark):
+    existing = ranks(spark, ("a", "Apple", 5, 10), ("b", None, 1, 10))
+    incoming = ranks(spark, ("a", None, 2, 20), ("c", None, 7, 20), ("c", None, 1, 20))
+    found = {row.rank_id: (row.rank_name, row.rank_value, row.update_date) for row in upsert(existing, incoming).collect()}
+    assert found == {"a": ("Apple", 7, 20), "b": (None, 1, 10), "c": (None, 8, 20)}
+
+
+def test_rank_table_adds_up_once(spark, tmp_path):
+    path = str(tmp_path / "ranks")
+    batches = [ranks(spark, ("a", None, 1, 10), ("a", None, 2, 11)), ranks(spark, ("a", None, 4, 12), ("b", None, 1, 12))]
+    for batch_id in (0, 1, 1, 0):
+        add_counts(batches[batch_id], batch_id, path)
+    expected = [("p", "t", "a", "", None, 7, 12), ("p", "t", "b", "", None, 1, 12)]
+    assert rows_of(read_rank_table(spark, path)) == expected
+
+    add_counts(ranks(spark, ("b", None, 9, 13)), 2, path)
+    folded = str(tmp_path / "folded")
+    fold(spark, path, folded, upto=1)
+    assert rows_of(read_rank_table(spark, folded)) == rows_of(read_rank_table(spark, path))
+    assert sorted(os.listdir(folded))[-2:] == ["batch_id=1", "batch_id=2"]
+    add_counts(ranks(spark, ("b", None, 9, 13)), 2, folded)
+    assert rows_of(read_rank_table(spark, folded))[1][5] == 10
+
+
+TOPIC_DDL = "topic string, value string, timestamp timestamp"
+LANDED = [
+    ("js", '{"a":1}', clock("00:59:59")), ("js", '{"a":2}', clock("01:00:00")),
+    ("app", "line", clock("23:00:00", "2024-02-29")),
+]
+EXPECTED = sorted([
+    ("20240101", "00", "js", '{"a":1}'), ("20240101", "01", "js", '{"a":2}'), ("20240229", "23", "app", "line"),
+])
+
+
+def landed(spark, path):
+    rows = spark.read.schema("value string, day string, hour string, topic string").text(path)
+    return rows_of(rows.select("day", "hour", "topic", "value"))
+
+
+def test_landing_folders(spark, tmp_path):
+    path = str(tmp_path / "land")
+    records = spark.createDataFrame(LANDED, TOPIC_DDL)
+    land(dated(records, F.col("timestamp")), path)
+    assert landed(spark, path) == EXPECTED
+    assert os.path.isdir(f"{path}/day=20240229/hour=23/topic=app")
+    land(dated(records, F.col("timestamp")), path)
+    assert len(landed(spark, path)) == 6
+
+
+def test_landing_splits_a_large_folder(spark, tmp_path):
+    """One folder with nearly all the data is written by several tasks."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    session.conf.set("spark.sql.files.openCostInBytes", "1")
+    path = str(tmp_path / "land")
+    rows = session.range(60_000, numPartitions=8).select(
+        F.lit("20240101").alias("day"), F.lit("00").alias("hour"),
+        F.when(F.col("id") % 100 == 0, "small").otherwise("big").alias("topic"),
+        F.sha2(F.col("id").cast("string"), 256).alias("value"),
+    )
+    land(rows, path)
+    files = [f for f in os.listdir(f"{path}/day=20240101/hour=00/topic=big") if f.endswith(".txt")]
+    assert len(files) > 1
+    assert len(landed(spark, path)) == 60_000
+
+
+def test_landing_stream(spark, tmp_path):
+    feed = Feed(tmp_path / "in", TOPIC_DDL)
+    for row in LANDED:
+        feed.send(row)
+    path, checkpoint = str(tmp_path / "land"), str(tmp_path / "cp")
+    for _ in range(2):
+        rows = dated(feed.stream(spark), F.col("timestamp"))
+        land_stream(rows, path, checkpoint, roll=None).awaitTermination()
+    assert landed(spark, path) == EXPECTED
+
+
+def test_landing_goes_by_the_clock(spark):
+    import datetime as dt
+
+    before = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H")
+    row = dated(spark.createDataFrame(LANDED[:1], TOPIC_DDL)).first()
+    after = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H")
+    assert before <= row.day + row.hour <= after
+
+
+def test_uuids(spark):
+    tagged = with_uuid(spark.range(1000))
+    assert tagged.filter("uuid is null").count() == 0
+    assert tagged.select("uuid").distinct().count() == 1000
+
+
+def test_next_offsets(spark):
+    rows = spark.createDataFrame([("t", 0, 4), ("t", 0, 9), ("t", 1, 0), ("u", 0, 2)], "topic string, partition int, offset long")
+    assert rows_of(next_offsets(rows)) == [("t", 0, 10), ("t", 1, 1), ("u", 0, 3)]
