@@ -1,0 +1,64 @@
+"""What Spark plans for the jobs: shuffles, pushed filters, and no Python."""
+
+import re
+
+import pytest
+
+from helpers import SF_DIR
+from streamrank.registry.batch import BATCH
+
+
+def plan_of(spark, name):
+    return BATCH[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", list(BATCH))
+def test_everything_stays_in_the_jvm(spark, name):
+    plan = plan_of(spark, name)
+    assert not re.search(r"Python|InPandas|BatchEval|CartesianProduct|NestedLoop", plan)
+    assert "SinglePartition" not in plan or name == "uuid_header"
+
+
+@pytest.mark.parametrize("name, shuffles", [
+    ("filter_article_views", 0), ("json_event_rank_types", 0), ("tokenize_lines", 0), ("landing_rows", 0),
+    ("tumbling_count_1h", 1), ("rank_stream_1m", 1), ("search_word_rank_30s", 1), ("word_count", 1),
+    ("state_snapshot", 1), ("next_offset_per_partition", 1),
+    ("hopping_count_labelled", 2), ("session_count_labelled", 2), ("top_pages_per_industry_hour", 2),
+])
+def test_number_of_shuffles(spark, name, shuffles):
+    assert len(re.findall(r"Exchange hashpartitioning", plan_of(spark, name))) == shuffles
+
+
+@pytest.mark.parametrize("name, columns", [
+    ("tumbling_count_1h", {"ts", "event_type"}), ("session_count_labelled", {"ts", "user_id"}),
+    ("word_count", {"text"}), ("top_pages_per_industry_hour", {"ts", "user_id", "event_type", "props"}),
+    ("state_snapshot", {"event_type"}),
+])
+def test_only_needed_columns_are_read(spark, name, columns):
+    schema = re.search(r"ReadSchema: struct<(.*?)>\s", plan_of(spark, name)).group(1)
+    assert {part.split(":")[0] for part in schema.split(",")} == columns
+
+
+def test_filters_reach_the_scan(spark):
+    pushed = re.search(r"PushedFilters: \[(.*?)\]", plan_of(spark, "top_pages_per_industry_hour")).group(1)
+    assert "StringContains(event_type,c)" in pushed
+    assert "IsNotNull(event_type)" in re.search(
+        r"PushedFilters: \[(.*?)\]", plan_of(spark, "tumbling_count_1h")
+    ).group(1)
+
+
+def test_groups_are_trimmed_before_the_shuffle(spark):
+    plan = plan_of(spark, "top_pages_per_industry_hour")
+    partial, final = plan.index(", 100, Partial"), plan.index(", 100, Final")
+    assert final < plan.index("Exchange hashpartitioning(industry") < partial
+
+
+@pytest.mark.parametrize("name", ["rank_stream_1m", "search_word_rank_30s", "json_event_rank_types"])
+def test_messages_are_parsed_once(spark, name):
+    assert plan_of(spark, name).count("from_json(") == 1
+
+
+@pytest.mark.parametrize("name", ["tumbling_count_1h", "word_count", "session_count_labelled", "common_rank_rows"])
+def test_counts_are_combined_before_the_shuffle(spark, name):
+    plan = plan_of(spark, name)
+    assert "partial_count" in plan and "SortAggregate" not in plan
