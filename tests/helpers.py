@@ -51,8 +51,9 @@ class Feed:
         os.makedirs(self.path, exist_ok=True)
 
     def send(self, *rows: tuple) -> None:
-        columns = [part.split()[0] for part in self.ddl.split(", ")]
-        table = pa.Table.from_pylist([dict(zip(columns, row)) for row in rows])
+        kinds = {"string": pa.string(), "binary": pa.binary(), "timestamp": pa.timestamp("us", "UTC")}
+        schema = pa.schema([(name, kinds[kind]) for name, kind in map(str.split, self.ddl.split(", "))])
+        table = pa.Table.from_pylist([dict(zip(schema.names, row)) for row in rows], schema)
         name = os.path.join(self.path, f"{self.files:04d}.parquet")
         pq.write_table(table, name)
         os.utime(name, (1_700_000_000 + self.files, 1_700_000_000 + self.files))
