@@ -11,7 +11,12 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..schemas import BEHAVIOUR_EVENT
 
 # What producers may send beyond strict JSON and still be read.
-JSON_OPTIONS = {"allowUnquotedFieldNames": "true", "allowComments": "true"}
+JSON_OPTIONS = {
+    "allowUnquotedFieldNames": "true",
+    "allowComments": "true",
+    "allowUnquotedControlChars": "true",
+    "allowNumericLeadingZeros": "true",
+}
 
 
 def flagged_views(views: DataFrame, marker: str = "ARTICLE") -> DataFrame:
@@ -32,13 +37,15 @@ def behaviour_events(records: DataFrame, wanted: Sequence[str], value: str = "va
 
     Rows that are not one well-formed JSON object, or lack the field, drop.
     Parsing dominates the cost, so text that cannot hold a wanted name is
-    skipped first: a name appears either literally or through a ``\\u`` escape.
+    skipped first: a name appears either literally or through an escape, which
+    for letters and digits can only be ``\\u``.
     Reading the text as a one-element list rejects objects with anything
     behind them. The explode of a single element keeps the optimizer from
     repeating the parse in the filter and in every projected field.
     """
     text = F.col(value)
-    mentions = reduce(or_, [text.contains(name) for name in wanted]) | text.contains("\\u")
+    escape = "\\u" if all(name.isalnum() for name in wanted) else "\\"
+    mentions = reduce(or_, [text.contains(piece) for piece in (*wanted, escape)])
     parsed = F.from_json(
         F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(BEHAVIOUR_EVENT), JSON_OPTIONS
     )

@@ -22,14 +22,16 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def stream_session(spark: SparkSession) -> SparkSession:
     """A sibling session with the settings a stateful query needs.
 
-    The state-store layout is fixed by the first run of a checkpoint, so the
-    number of state partitions is chosen here: what the session asks for, but
-    not more than two per core, since every micro-batch touches each of them.
+    The number of state partitions is the session's number of shuffle
+    partitions. The first run of a checkpoint fixes it, so on a cluster it must
+    be set for the largest load to come. Within one process it is kept to two
+    per core, since every micro-batch touches each of them.
     """
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cores = spark.sparkContext.defaultParallelism
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if spark.sparkContext.master.startswith("local"):
+        partitions = min(partitions, 2 * spark.sparkContext.defaultParallelism)
     sibling = pin_utc(spark.newSession())
-    sibling.conf.set("spark.sql.shuffle.partitions", str(min(wanted, 2 * cores)))
+    sibling.conf.set("spark.sql.shuffle.partitions", str(partitions))
     sibling.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     # A hot key's events are merged into sessions before they are shuffled.
     sibling.conf.set(

@@ -59,7 +59,21 @@ def test_lenient_and_escaped_json(spark):
         '{data:{event:"searchProduct"}}', "{'data':{'event':'viewProduct'}}",
         '{"data":{"event":"search\\u0050roduct"}}', '{"data":{/* why */"event":"viewProduct"}}',
         '{"data":{"event":"buy","event":"viewProduct"}}',
-    ]) == [0, 1, 2, 3, 4]
+        '{"data":{"event":"viewProduct","n":007,"s":"tab\tand\nline"}}',
+    ]) == [0, 1, 2, 3, 4, 5]
+
+
+def test_fields_of_another_type(spark):
+    values = [
+        '{"data":{"event":"searchProduct","project":"a","properties":"text"}}',
+        '{"data":{"event":"searchProduct","project":7,"properties":{"search_word":5}}}',
+    ]
+    found = search_word_pairs(behaviour_events(messages(spark, values), RANKED_EVENTS))
+    assert rows_of(found) == [("7", "5"), ("a", None)]
+
+
+def test_names_that_need_other_escapes(spark):
+    assert kept(spark, ['{"data":{"event":"a\\/b"}}', '{"data":{"event":"a/b"}}'], ["a/b"]) == [0, 1]
 
 
 def test_rank_record_fields(spark):
