@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .filters import without_nulls
 
@@ -24,10 +24,26 @@ def micros(interval: str) -> int:
     return int(number) * unit[name.rstrip("s")]
 
 
+def _later(start: str, interval_us: int) -> Column:
+    return F.timestamp_micros(F.unix_micros(start) + interval_us)
+
+
 def _keyed(rows: DataFrame, keys: Sequence[str], null_parts: bool) -> DataFrame:
     return rows if null_parts else without_nulls(rows, *keys)
 
 
+def _with_window(counts: DataFrame, keys: Sequence[str], width: str) -> DataFrame:
+    """Counts by window start, with the window in its place."""
+    end = _later("_start", micros(width))
+    window = F.struct(F.col("_start").alias("start"), end.alias("end"))
+    return counts.select(*keys, window.alias("window"), "count")
+
+
+def _span(first: str, last: str) -> Column:
+    """From the earliest first to the latest last time, as a window."""
+    return F.struct(F.min(first).alias("start"), F.max(last).alias("end")).alias("window")
+
+
 def running_count(
     rows: DataFrame, keys: Sequence[str], *, null_parts: bool = False
 ) -> DataFrame:
@@ -39,12 +55,16 @@ def tumbling_count(
     rows: DataFrame, keys: Sequence[str], width: str, ts: str = "timestamp",
     *, null_parts: bool = False,
 ) -> DataFrame:
-    """Count per key and epoch-aligned window of the given width."""
-    return (
-        _keyed(rows, keys, null_parts)
-        .groupBy(*keys, F.window(ts, width).alias("window"))
-        .count()
-    )
+    """Count per key and epoch-aligned window of the given width.
+
+    Streams group by the whole window, which carries the watermark. In batch
+    its start tells as much and makes for smaller rows to shuffle.
+    """
+    keyed, window = _keyed(rows, keys, null_parts), F.window(ts, width)
+    if rows.isStreaming:
+        return keyed.groupBy(*keys, window.alias("window")).count()
+    counts = keyed.groupBy(*keys, window["start"].alias("_start")).count()
+    return _with_window(counts, keys, width)
 
 
 def hopping_count(
@@ -56,15 +76,18 @@ def hopping_count(
     In batch, rows are first counted per ``advance`` slot, and only the slot
     counts are copied into the windows that cover them.
     """
-    hops = F.window(ts, width, advance).alias("window")
-    if rows.isStreaming or micros(width) % micros(advance):
+    hops_per_window, uneven = divmod(micros(width), micros(advance))
+    if rows.isStreaming or uneven:
+        hops = F.window(ts, width, advance).alias("window")
         return _keyed(rows, keys, null_parts).groupBy(*keys, hops).count()
     slots = tumbling_count(rows, keys, advance, ts, null_parts=null_parts)
-    return (
-        slots.select(*keys, F.col("window.start").alias(ts), "count")
-        .groupBy(*keys, hops)
+    starts = F.array(*[_later("window.start", -micros(advance) * i) for i in range(hops_per_window)])
+    counts = (
+        slots.select(*keys, F.explode(starts).alias("_start"), "count")
+        .groupBy(*keys, "_start")
         .agg(F.sum("count").alias("count"))
     )
+    return _with_window(counts, keys, width)
 
 
 def session_count(
@@ -85,8 +108,8 @@ def session_count(
     if rows.isStreaming:
         return (
             keyed.groupBy(*keys, F.session_window(ts, gap).alias("session"))
-            .agg(F.count("*").alias("count"), F.min(ts).alias("start"), F.max(ts).alias("end"))
-            .select(*keys, F.struct("start", "end").alias("window"), "count")
+            .agg(_span(ts, ts), F.count("*").alias("count"))
+            .select(*keys, "window", "count")
         )
     gap_us = micros(gap)
     at = F.unix_micros(ts)
@@ -101,6 +124,6 @@ def session_count(
         slots.withColumn("_opens", F.when(idle <= gap_us, 0).otherwise(1))
         .withColumn("_session", F.sum("_opens").over(so_far))
         .groupBy(*keys, "_session")
-        .agg(F.sum("_n").alias("count"), F.min("_first").alias("start"), F.max("_last").alias("end"))
-        .select(*keys, F.struct("start", "end").alias("window"), "count")
+        .agg(_span("_first", "_last"), F.sum("_n").alias("count"))
+        .drop("_session")
     )

@@ -22,8 +22,6 @@ from ..streaming.snapshot import periodic_snapshot
 from .batch import MARKER, UPDATE_DATE, bounds
 
 DELAY = "1 day"
-# Longer than the delay and the widest window together.
-CLOSING_AFTER = "3 days"
 
 
 def finish(spark: SparkSession, result: DataFrame, handler: streaming.Handler, name: str, final_only: bool) -> None:
@@ -38,7 +36,7 @@ def closed_events(spark: SparkSession, sf_dir: str) -> tuple[SparkSession, DataF
     """Events as a stream that ends by closing every window, and its session."""
     path = f"{sf_dir}/events.parquet"
     session = stream_session(spark)
-    closing = streaming.closing_event(pin_utc(spark), path, CLOSING_AFTER)
+    closing = streaming.closing_event(pin_utc(spark))
     stream = streaming.event_stream(session, path).union(streaming.event_stream(session, closing))
     return session, streaming.watermarked(stream, DELAY)
 
