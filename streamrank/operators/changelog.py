@@ -10,7 +10,8 @@ from .windows import tumbling_count
 
 
 def count_changelog(
-    rows: DataFrame, keys: Sequence[str], width: str, commit: str, ts: str = "timestamp"
+    rows: DataFrame, keys: Sequence[str], width: str, commit: str, ts: str = "timestamp",
+    *, null_parts: bool = False,
 ) -> DataFrame:
     """How windowed counts develop, one change per key, window and commit interval.
 
@@ -18,7 +19,7 @@ def count_changelog(
     ``old_count`` (null at first) and ``new_count``. ``commit`` must divide
     ``width``, so a window has a fixed number of changes per key.
     """
-    steps = tumbling_count(rows, keys, commit, ts).select(
+    steps = tumbling_count(rows, keys, commit, ts, null_parts=null_parts).select(
         *keys,
         F.window("window.start", width).alias("_whole"),
         F.col("window.end").alias("committed"),

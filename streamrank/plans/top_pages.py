@@ -25,7 +25,7 @@ def page_counts(
 ) -> DataFrame:
     """Views per page, industry and window; for batches and streams."""
     kept = rekey_views(flagged_views(views, marker), ts)
-    return tumbling_count(kept, ["page", "industry"], width, ts)
+    return tumbling_count(kept, ["page", "industry"], width, ts, null_parts=True)
 
 
 def top_pages(counts: DataFrame, n: int = TOP_N) -> DataFrame:

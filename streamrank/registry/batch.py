@@ -138,7 +138,9 @@ def stats_selector(spark, sf_dir):
 
 def page_count_changes(spark, sf_dir):
     views = filters.flagged_views(page_views(spark, sf_dir), MARKER)
-    return changelog.count_changelog(views, ["page", "industry"], "1 hour", "10 seconds")
+    return changelog.count_changelog(
+        views, ["page", "industry"], "1 hour", "10 seconds", null_parts=True
+    )
 
 
 def count_changelog(spark, sf_dir):

@@ -7,10 +7,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import projections
 from ..plans import rank_events
 from ..session import shared_dir
-from ..sinks import batches, rank_table
+from ..sinks import batches, landing, rank_table
+from ..sources import tables
 from .batch import UPDATE_DATE, halves, messages
 
 
+def landing_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records in a folder per day, hour and topic."""
+    records = tables.as_topic_records(tables.events(spark, sf_dir))
+    path = shared_dir(spark, "landing")
+    landing.land(landing.dated(records, F.col("timestamp")), path)
+    return landing.read_landed(spark, path)
+
+
 def idempotent_batch_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches, the second delivered twice."""
     earlier, later = halves(messages(spark, sf_dir))
@@ -33,6 +42,7 @@ def rank_table_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 DELIVERED = {
+    "landing_written": landing_written,
     "idempotent_batch_write": idempotent_batch_write,
     "rank_table_replayed": rank_table_replayed,
 }

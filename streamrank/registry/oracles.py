@@ -192,6 +192,7 @@ ORACLES = {
     "upsert_accumulate_common_rank": TWO_DELIVERIES,
     "uuid_header": "select count(*) as records, count(*) as ids, 1::bigint as most_per_id from events",
     "landing_rows": LANDED,
+    "landing_written": LANDED,
     "idempotent_batch_write": MESSAGES,
     "rank_table_replayed": TWO_DELIVERIES,
     "batched_commit_scan": MESSAGES,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 PATH_COLUMNS = ("day", "hour", "topic")
@@ -19,16 +19,32 @@ def dated(records: DataFrame, at: Column | None = None) -> DataFrame:
     )
 
 
+LANDED_DDL = "value string, day string, hour string, topic string"
+COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
+
+
 def land(rows: DataFrame, path: str) -> None:
     """Write dated rows as text files.
 
-    Rebalancing gathers small folders into few files, and splits a folder that
-    holds much of the data over many tasks.
+    Rebalancing brings each small folder to one task and so into one file, and
+    splits a folder that holds much of the data over many. Tasks are not merged
+    for being small: opening files is what takes them time.
     """
-    (
-        rows.hint("rebalance", *[F.col(c) for c in PATH_COLUMNS])
-        .write.mode("append").partitionBy(*PATH_COLUMNS).text(path)
-    )
+    conf = rows.sparkSession.conf
+    before = conf.get(COALESCE)
+    conf.set(COALESCE, "false")
+    try:
+        (
+            rows.hint("rebalance", *[F.col(c) for c in PATH_COLUMNS])
+            .write.mode("append").partitionBy(*PATH_COLUMNS).text(path)
+        )
+    finally:
+        conf.set(COALESCE, before)
+
+
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """Landed rows with the folder each came from."""
+    return spark.read.schema(LANDED_DDL).text(path)
 
 
 def land_stream(

@@ -10,7 +10,7 @@ from streamrank.operators.accumulate import upsert
 from streamrank.operators.offsets import next_offsets
 from streamrank.operators.projections import with_uuid
 from streamrank.sinks.batches import read_batches, write_batch
-from streamrank.sinks.landing import dated, land, land_stream
+from streamrank.sinks.landing import dated, land, land_stream, read_landed
 from streamrank.sinks.rank_table import add_counts, fold, read_rank_table
 
 RANK_DDL = (
@@ -78,8 +78,7 @@ EXPECTED = sorted([
 
 
 def landed(spark, path):
-    rows = spark.read.schema("value string, day string, hour string, topic string").text(path)
-    return rows_of(rows.select("day", "hour", "topic", "value"))
+    return rows_of(read_landed(spark, path).select("day", "hour", "topic", "value"))
 
 
 def test_landing_folders(spark, tmp_path):

@@ -3,12 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import Feed, at, clock, rows_of
+from helpers import SF_DIR, Feed, at, clock, rows_of
 from streamrank.operators.windows import running_count, session_count, tumbling_count
 from streamrank.plans.labelled_counts import play_sessions
 from streamrank.plans.rank_events import rank_counts, store_rank_counts
 from streamrank.plans.top_pages import page_counts, store_top_pages, top_pages
 from streamrank.plans.word_count import word_count
+from streamrank.registry import QUERIES
 from streamrank.session import stream_session
 from streamrank.sinks.batches import read_batches, write_batch
 from streamrank.sinks.rank_table import read_rank_table
@@ -188,6 +189,17 @@ def test_snapshots_report_running_totals(spark, session, tmp_path):
     assert rows_of(reports) == [("a", 11_000, "2"), ("a", 13_000, "3"), ("b", 11_000, "1")]
 
 
+def test_tables_of_many_files(spark, tmp_path):
+    """A table may be a folder of files, for batches and for streams."""
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("tumbling_count_1h", "top_pages_per_industry_hour"):
+        expected = rows_of(QUERIES[name](spark, SF_DIR))
+        assert rows_of(QUERIES[name](spark, str(tmp_path))) == expected
+        streamed = QUERIES[f"stream_{name}"](spark, str(tmp_path))
+        assert rows_of(streamed.select(QUERIES[name](spark, SF_DIR).columns)) == expected
+
+
 def test_batches_read_back_in_another_session(spark, tmp_path):
     write_batch(spark.range(3), 7, str(tmp_path / "x"))
     assert read_batches(spark.newSession(), str(tmp_path / "x")).count() == 3
