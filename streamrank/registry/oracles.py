@@ -190,7 +190,7 @@ ORACLES = {
             null::varchar as rank_name, n as rank_value, {UPDATE_DATE}::bigint as update_date
         from ({RANK_COUNTS})""",
     "upsert_accumulate_common_rank": TWO_DELIVERIES,
-    "uuid_header": "select count(*) as records, count(*) as ids, 1::bigint as most_per_id from events",
+    "uuid_header": "select count(*) as records, count(*) as ids, 36 as shortest, 36 as longest from events",
     "landing_rows": LANDED,
     "landing_written": LANDED,
     "idempotent_batch_write": MESSAGES,

@@ -34,7 +34,8 @@ def run(
     keys of the window in one batch. Otherwise every batch passes the current
     value of what changed in it. Input counts as consumed only after the handler
     returned, and a batch is passed again, under its number, after a failure.
-    Without ``every`` the query stops when it has caught up.
+    Batches start ``every`` so often, or, with ``"0 seconds"``, whenever there is
+    input. Without ``every`` the query stops when it has caught up.
     """
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (

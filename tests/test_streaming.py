@@ -39,6 +39,25 @@ def counts_by_hour(df):
     return {(r.key, r.h): r["count"] for r in df.select("key", F.date_format("window.start", "HH").alias("h"), "count").collect()}
 
 
+@pytest.mark.parametrize("every", ["0 seconds", "1 second"])
+def test_running_on(spark, session, tmp_path, every):
+    feed = Feed(tmp_path / "in")
+    feed.send(("a", at(0)))
+    path = str(tmp_path / "out")
+    query = run(
+        running_count(feed.stream(session), ["key"]), to_batches(path), name="running-on",
+        checkpoint=str(tmp_path / "cp"), final_only=False, every=every,
+    )
+    try:
+        query.processAllAvailable()
+        feed.send(("a", at(1)))
+        query.processAllAvailable()
+        assert query.name == "running-on" and query.isActive
+    finally:
+        query.stop()
+    assert rows_of(read_batches(spark, path).select("batch_id", "count")) == [(0, 1), (1, 2)]
+
+
 def test_late_and_too_late_rows(spark, session, tmp_path):
     feed = Feed(tmp_path / "in")
     feed.send(("a", clock("12:30:00")), ("a", clock("13:05:00")))   # watermark 12:55
