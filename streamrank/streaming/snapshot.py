@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -12,6 +14,9 @@ from ..operators.windows import tumbling_count
 
 SNAPSHOT_DDL = "key string, tick_ms long, value string"
 
+# The state handler travels with the query, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class PeriodicSnapshot(StatefulProcessor):
     """Adds up pre-counted rows of one key and reports the total on a timer.

@@ -1,6 +1,11 @@
 """The jobs as streams: lateness, restarts, replays, and agreement with batch."""
 
+import os
+import subprocess
+import sys
+
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from helpers import SF_DIR, Feed, at, clock, rows_of
@@ -15,7 +20,7 @@ from streamrank.sinks.batches import read_batches, write_batch
 from streamrank.sinks.rank_table import read_rank_table
 from streamrank.streaming.latest import latest
 from streamrank.streaming.run import fresh_checkpoint, run, to_batches, watermarked
-from streamrank.streaming.snapshot import periodic_snapshot
+from streamrank.streaming.snapshot import PeriodicSnapshot, periodic_snapshot
 from test_windows import PLAYS, SESSIONS
 
 
@@ -219,6 +224,15 @@ def test_tables_of_many_files(spark, tmp_path):
         assert rows_of(streamed.select(QUERIES[name](spark, SF_DIR).columns)) == expected
 
 
+def test_state_handler_needs_no_package_on_executors(tmp_path):
+    load = "import pickle, sys; print(type(pickle.load(sys.stdin.buffer)).__name__, 'streamrank' in sys.modules)"
+    found = subprocess.run(
+        [sys.executable, "-c", load], input=cloudpickle.dumps(PeriodicSnapshot()), cwd=tmp_path,
+        env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"}, capture_output=True, check=True,
+    )
+    assert found.stdout.split() == [b"PeriodicSnapshot", b"False"]
+
+
 def test_batches_read_back_in_another_session(spark, tmp_path):
     write_batch(spark.range(3), 7, str(tmp_path / "x"))
     assert read_batches(spark.newSession(), str(tmp_path / "x")).count() == 3
