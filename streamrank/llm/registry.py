@@ -1,9 +1,13 @@
 """The queries of this subpackage, by name, and the SQL of those that SQL can express."""
 
+from .language_id import op10_language
 from .simhash_dedup import op1_simhash
+from .token_output import op5_token_ids
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op5_token_ids": op5_token_ids,
+    "op10_language": op10_language,
 }
 
 ORACLES: dict[str, str] = {}
