@@ -1,12 +1,14 @@
 """The queries of this subpackage, by name, and the SQL of those that SQL can express."""
 
 from .language_id import op10_language
+from .quality_classifier import op7_quality
 from .simhash_dedup import op1_simhash
 from .token_output import op5_token_ids
 
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op5_token_ids": op5_token_ids,
+    "op7_quality": op7_quality,
     "op10_language": op10_language,
 }
 
