@@ -1,13 +1,17 @@
 """The queries of this subpackage, by name, and the SQL of those that SQL can express."""
 
+from .html_text import op4_html
 from .language_id import op10_language
 from .quality_classifier import op7_quality
 from .simhash_dedup import op1_simhash
+from .substring_dedup import op6_substrings
 from .token_output import op5_token_ids
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op4_html": op4_html,
     "op5_token_ids": op5_token_ids,
+    "op6_substrings": op6_substrings,
     "op7_quality": op7_quality,
     "op10_language": op10_language,
 }
