@@ -4,16 +4,23 @@ from .html_text import op4_html
 from .language_id import op10_language
 from .quality_classifier import op7_quality
 from .simhash_dedup import op1_simhash
+from .source_mixing import OP2_SQL, op2_mix
 from .substring_dedup import op6_substrings
 from .token_output import op5_token_ids
+from .token_rollups import OP8_SQL, op8_token_counts
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_mix": op2_mix,
     "op4_html": op4_html,
     "op5_token_ids": op5_token_ids,
     "op6_substrings": op6_substrings,
     "op7_quality": op7_quality,
+    "op8_token_counts": op8_token_counts,
     "op10_language": op10_language,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op2_mix": OP2_SQL,
+    "op8_token_counts": OP8_SQL,
+}
