@@ -8,10 +8,12 @@ from .source_mixing import OP2_SQL, op2_mix
 from .substring_dedup import op6_substrings
 from .token_output import op5_token_ids
 from .token_rollups import OP8_SQL, op8_token_counts
+from .vector_search import op3_neighbours
 
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_mix": op2_mix,
+    "op3_neighbours": op3_neighbours,
     "op4_html": op4_html,
     "op5_token_ids": op5_token_ids,
     "op6_substrings": op6_substrings,
