@@ -4,8 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamrank.llm.common import parked, table
+from streamrank.llm.common import is_held_out, parked, table
+from streamrank.llm.decontamination import without_leaks
+from streamrank.llm.quality_classifier import keep_quality, train_quality
 from streamrank.llm.simhash_dedup import deduplicated
+from streamrank.llm.source_mixing import mixed
+from streamrank.llm.token_output import document_digests, write_token_ids
+from streamrank.session import shared_dir
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go. Held-out labels are not learned from."""
+    labels = table(spark, sf_dir, "labels").where(~is_held_out())
+    return keep_quality(docs, train_quality(docs, labels))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,11 +24,30 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return deduplicated(docs)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents appear as often as their source's weight asks for, in shuffled order."""
+    return mixed(docs).select(*docs.columns)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of what is left, and what is read back from them for each document."""
+    return document_digests(spark, write_token_ids(docs, shared_dir(spark, "pipeline-tokens")))
+
+
 STAGES = [
+    ("quality classifier", quality),
     ("simhash near-dedup", near_dedup),
+    ("benchmark decontamination", decontaminate),
+    ("source mixing", mix),
+    ("token ids", token_ids),
 ]
 
-#: Fingerprints, trained weights and token ids are beyond SQL.
+#: Trained scores, fingerprints and token ids are beyond SQL.
 ORACLE_SQL = None
 
 

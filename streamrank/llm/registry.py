@@ -1,5 +1,6 @@
 """The queries of this subpackage, by name, and the SQL of those that SQL can express."""
 
+from .decontamination import op9_decontaminate
 from .html_text import op4_html
 from .language_id import op10_language
 from .quality_classifier import op7_quality
@@ -19,6 +20,7 @@ QUERIES = {
     "op6_substrings": op6_substrings,
     "op7_quality": op7_quality,
     "op8_token_counts": op8_token_counts,
+    "op9_decontaminate": op9_decontaminate,
     "op10_language": op10_language,
 }
 
