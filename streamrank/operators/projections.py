@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import drop_trailing_empty, split_words
 
+HEADERS = "array<struct<key: string, value: binary>>"
+
 
 def rekey_views(views: DataFrame, *carry: str) -> DataFrame:
     """One user for all, so that views group by page and industry; flags go null."""
@@ -83,8 +85,21 @@ def words(records: DataFrame, value: str = "value") -> DataFrame:
 
 
 def with_uuid(records: DataFrame) -> DataFrame:
-    """Tag each record with a unique id, as a header beside the body."""
-    return records.withColumn("uuid", F.expr("uuid()"))
+    """Tag each record with a unique id, as a header beside the body.
+
+    Headers the record already has stay. Topics are read and written with the
+    column in this shape.
+    """
+    own = F.array(F.struct(F.lit("uuid").alias("key"), F.encode(F.expr("uuid()"), "UTF-8").alias("value")))
+    if "headers" not in records.columns:
+        return records.withColumn("headers", own)
+    return records.withColumn("headers", F.concat(F.coalesce("headers", F.array().cast(HEADERS)), own))
+
+
+def header(name: str) -> Column:
+    """The text of the last header of that name, null without one."""
+    named = F.filter("headers", lambda h: h["key"] == name)
+    return F.decode(F.try_element_at(named, F.lit(-1))["value"], "UTF-8")
 
 
 def json_value(*columns: str) -> Column:

@@ -23,34 +23,7 @@ PAGE_VIEW = _record(
 PAGE_VIEW_STATS = _record(
     ("user", STRING), ("page", STRING), ("industry", STRING), ("count", LONG)
 )
-PAGE_VIEW_WITH_REGION = _record(("user", STRING), ("page", STRING), ("region", STRING))
-USER_PROFILE = _record(("experience", STRING, True), ("region", STRING))
 PLAY_EVENT = _record(("song_id", LONG), ("duration", LONG))
-SONG = _record(
-    ("id", LONG), ("album", STRING), ("artist", STRING), ("name", STRING), ("genre", STRING)
-)
-SONG_PLAY_COUNT = _record(("song_id", LONG), ("plays", LONG))
-WIKI_FEED = _record(("user", STRING), ("is_new", BOOLEAN), ("content", STRING, True))
-STORE_ORDER = _record(
-    ("customer_id", LONG), ("product_id", LONG), ("time_order_placed_at", LONG)
-)
-STORE_CUSTOMER = _record(("name", STRING), ("gender", STRING), ("region", STRING))
-STORE_PRODUCT = _record(("name", STRING), ("description", STRING), ("supplier_name", STRING))
-ENRICHED_ORDER = _record(
-    ("product", STORE_PRODUCT), ("customer", STORE_CUSTOMER), ("order", STORE_ORDER)
-)
-SERVICE_CUSTOMER = _record(
-    ("id", LONG), ("firstName", STRING), ("lastName", STRING), ("email", STRING), ("address", STRING)
-)
-SERVICE_ORDER = _record(
-    ("id", STRING), ("customerId", LONG), ("state", STRING), ("product", STRING),
-    ("quantity", INT), ("price", DOUBLE),
-)
-SERVICE_ORDER_VALUE = _record(("order", SERVICE_ORDER), ("value", DOUBLE))
-ORDER_VALIDATION = _record(
-    ("orderId", STRING), ("checkType", STRING), ("validationResult", STRING)
-)
-PAYMENT = _record(("id", STRING), ("orderId", STRING), ("ccy", STRING), ("amount", DOUBLE))
 
 # The accumulated rank table; the first four columns are its key.
 COMMON_RANK_KEYS = ("user_project", "rank_type", "rank_id", "rank_channel")

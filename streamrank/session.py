@@ -19,17 +19,14 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A sibling session with the settings a stateful query needs.
 
     The number of state partitions is the session's number of shuffle
-    partitions. The first run of a checkpoint fixes it, so on a cluster it must
-    be set for the largest load to come. Within one process it is kept to two
-    per core, since every micro-batch touches each of them.
+    partitions unless one is given. The first run of a checkpoint fixes it, so it
+    must be set for the largest load to come.
     """
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if spark.sparkContext.master.startswith("local"):
-        partitions = min(partitions, 2 * spark.sparkContext.defaultParallelism)
+    partitions = state_partitions or spark.conf.get("spark.sql.shuffle.partitions")
     sibling = pin_utc(spark.newSession())
     sibling.conf.set("spark.sql.shuffle.partitions", str(partitions))
     sibling.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)

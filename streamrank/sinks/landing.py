@@ -9,37 +9,44 @@ PATH_COLUMNS = ("day", "hour", "topic")
 
 
 def dated(records: DataFrame, at: Column | None = None) -> DataFrame:
-    """Record bodies with the folder they belong to, by default by wall clock."""
+    """Record bodies with the folder they belong to, by default by wall clock.
+
+    ``headers`` stay with records that have them.
+    """
     at = F.current_timestamp() if at is None else at
+    kept = ["headers"] if "headers" in records.columns else []
     return records.select(
         F.date_format(at, "yyyyMMdd").alias("day"),
         F.date_format(at, "HH").alias("hour"),
         "topic",
         F.col("value").cast("string").alias("value"),
+        *kept,
     )
 
 
 LANDED_DDL = "value string, day string, hour string, topic string"
-COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
+ADAPTIVE = "spark.sql.adaptive.enabled"
 
 
-def land(rows: DataFrame, path: str) -> None:
-    """Write dated rows as text files.
+def gathered(rows: DataFrame) -> DataFrame:
+    """The rows of a small folder in one task; those of a large one in several.
 
-    Rebalancing brings each small folder to one task and so into one file, and
-    splits a folder that holds much of the data over many. Tasks are not merged
-    for being small: opening files is what takes them time.
+    Without adaptive execution nothing is split, but a folder is still one task's.
     """
-    conf = rows.sparkSession.conf
-    before = conf.get(COALESCE)
-    conf.set(COALESCE, "false")
-    try:
-        (
-            rows.hint("rebalance", *[F.col(c) for c in PATH_COLUMNS])
-            .write.mode("append").partitionBy(*PATH_COLUMNS).text(path)
-        )
-    finally:
-        conf.set(COALESCE, before)
+    folders = [F.col(c) for c in PATH_COLUMNS]
+    if rows.sparkSession.conf.get(ADAPTIVE) == "true":
+        return rows.hint("rebalance", *folders)
+    return rows.repartition(*folders)
+
+
+def land(rows: DataFrame, path: str) -> None:
+    """Add dated rows to the text files of their folders."""
+    gathered(rows).write.mode("append").partitionBy(*PATH_COLUMNS).text(path)
+
+
+def land_with_headers(rows: DataFrame, path: str) -> None:
+    """Like ``land``, as parquet files that keep all columns, ``headers`` among them."""
+    gathered(rows).write.mode("append").partitionBy(*PATH_COLUMNS).parquet(path)
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
@@ -48,11 +55,18 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def land_stream(
-    rows: DataFrame, path: str, checkpoint: str, roll: str | None = "30 seconds"
+    rows: DataFrame, path: str, checkpoint: str, roll: str | None = "30 seconds", files: int = 8
 ) -> StreamingQuery:
-    """Land a stream, starting new files every ``roll``; without one, until caught up."""
+    """Land a stream, starting new files every ``roll``; without one, until caught up.
+
+    Rows with ``headers`` land as parquet, others as text. How much a micro-batch
+    takes does not depend on ``roll``: it takes all there is. A folder gets up to
+    ``files`` files each time, written by as many tasks.
+    """
+    dealt = rows.repartition(*PATH_COLUMNS, F.pmod(F.xxhash64("value"), F.lit(files)))
+    kind = "parquet" if "headers" in rows.columns else "text"
     writer = (
-        rows.writeStream.format("text").partitionBy(*PATH_COLUMNS)
+        dealt.writeStream.format(kind).partitionBy(*PATH_COLUMNS)
         .option("checkpointLocation", checkpoint).queryName("landing")
     )
     trigger = {"processingTime": roll} if roll else {"availableNow": True}

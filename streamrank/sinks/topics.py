@@ -13,19 +13,23 @@ def sink_options(
     servers: str = "localhost:9092",
     *,
     acks: str = "all",
-    retries: int = 0,
+    retries: int | None = None,
     batch_size: int = 16384,
     linger_ms: int = 1,
     buffer_memory: int = 33554432,
     override: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
-    """Options of a topic writer. A non-empty ``override`` replaces all of them."""
+    """Options of a topic writer. A non-empty ``override`` replaces all of them.
+
+    Without ``retries`` the client goes on for as long as its delivery timeout
+    allows, so that a moved partition leader does not fail the query.
+    """
     if override:
         return dict(override)
     return {
         "kafka.bootstrap.servers": servers,
         "kafka.acks": acks,
-        "kafka.retries": str(retries),
+        **({} if retries is None else {"kafka.retries": str(retries)}),
         "kafka.batch.size": str(batch_size),
         "kafka.linger.ms": str(linger_ms),
         "kafka.buffer.memory": str(buffer_memory),
@@ -56,5 +60,12 @@ def windowed_text(rows: DataFrame, key: Column, value: Column, window: str = "wi
 
 
 def write_topic(records: DataFrame, topic: str, options: Mapping[str, str]) -> None:
-    """Write ``key``/``value`` bytes in bulk; needs the Kafka connector package."""
-    records.write.format("kafka").options(**options).option("topic", topic).save()
+    """Write ``key``/``value`` bytes in bulk; needs the Kafka connector package.
+
+    A ``headers`` column, as ``with_uuid`` makes it, is written along.
+    """
+    with_headers = str("headers" in records.columns).lower()
+    (
+        records.write.format("kafka").options(**options)
+        .option("includeHeaders", with_headers).option("topic", topic).save()
+    )

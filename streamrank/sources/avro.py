@@ -2,21 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.avro.functions import from_avro
 
 from ..schemas import to_avsc
 
 
+def header_id(value: Column) -> Column:
+    """The schema id in a registry's header; null without such a header."""
+    framed = (F.octet_length(value) >= 5) & (F.hex(F.substring(value, 1, 1)) == "00")
+    return F.when(framed, F.conv(F.hex(F.substring(value, 2, 4)), 16, 10).cast("long"))
+
+
 def avro_values(
-    records: DataFrame, name: str, record: T.StructType, *, registry_header: bool = True
+    records: DataFrame, name: str, record: T.StructType, *, registry_header: bool = True,
+    schema_id: int | None = None,
 ) -> DataFrame:
     """Decode ``value`` and spread its fields over columns, keeping ``timestamp``.
 
     Producers that use a schema registry put five bytes (a zero and the schema
-    id) before the record.
+    id) before the record. Given a ``schema_id``, a record with another one fails
+    the query instead of being misread.
     """
     body = F.expr("substring(value, 6)") if registry_header else F.col("value")
+    if registry_header and schema_id is not None:
+        body = F.when(header_id(F.col("value")) == schema_id, body).when(
+            F.col("value").isNotNull(),
+            F.raise_error(F.concat(F.lit("unexpected schema id "), F.coalesce(header_id(F.col("value")).cast("string"), F.lit("none")))),
+        )
     return records.select(
         "timestamp", from_avro(body, to_avsc(name, record)).alias("record")
     ).select("timestamp", "record.*")

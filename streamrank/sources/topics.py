@@ -51,17 +51,19 @@ def earliest(servers: str, **more) -> dict[str, str]:
     return source_options(servers, starting_offsets="earliest", **more)
 
 
-def ingest_limits(servers: str, batch_size: int = 5000, **more) -> dict[str, str]:
-    """Bound a micro-batch to ``batch_size`` records; pair it with a 2 s trigger."""
-    return source_options(servers, max_offsets_per_trigger=batch_size, **more)
+def topic_stream(
+    spark: SparkSession, topics: str | Sequence[str], options: Mapping[str, str], *, headers: bool = False
+) -> DataFrame:
+    """Streaming scan of one or more topics; needs the Kafka connector package.
 
-
-def topic_stream(spark: SparkSession, topics: str | Sequence[str], options: Mapping[str, str]) -> DataFrame:
-    """Streaming scan of one or more topics; needs the Kafka connector package."""
+    Each micro-batch takes all there is, unless ``max_offsets_per_trigger`` is among
+    the options. With ``headers`` the records keep theirs.
+    """
     names = topics if isinstance(topics, str) else ",".join(topics)
+    columns = (*TOPIC_COLUMNS, "headers") if headers else TOPIC_COLUMNS
     return (
-        spark.readStream.format("kafka").options(**options).option("subscribe", names).load()
-        .select(*TOPIC_COLUMNS)
+        spark.readStream.format("kafka").options(**options).option("includeHeaders", str(headers).lower())
+        .option("subscribe", names).load().select(*columns)
     )
 
 
