@@ -1,4 +1,4 @@
-"""Tables seen as streams of changes, and collections kept under changes."""
+"""Tables seen as streams of changes."""
 
 from __future__ import annotations
 
@@ -35,25 +35,3 @@ def count_changelog(
         F.nullif(total - F.col("count"), F.lit(0)).alias("old_count"),
         total.alias("new_count"),
     )
-
-
-def retained(changes: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """What a collection holds after every change has removed its old entry and
-    added its new one.
-
-    ``columns`` identify an entry beside its count. Adding and removing are
-    signed ones, so the order of changes does not matter, tasks combine them
-    before the shuffle, and one group may spread over all of them.
-    """
-    entry = F.explode(F.array(
-        F.struct(F.col("new_count").alias("count"), F.lit(1).alias("sign")),
-        F.struct(F.col("old_count").alias("count"), F.lit(-1).alias("sign")),
-    ))
-    return (
-        changes.select(*columns, entry.alias("entry"))
-        .filter(F.col("entry.count").isNotNull())
-        .groupBy(*columns, F.col("entry.count").alias("count"))
-        .agg(F.sum("entry.sign").alias("_held"))
-        .filter(F.col("_held") > 0)
-        .drop("_held")
-    )

@@ -11,18 +11,28 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.labels import lines_of
 
 
+#: Parts of a group that are trimmed by tasks of their own.
+SALTS = 64
+
+
 def top_n(
     rows: DataFrame, group: Sequence[str], order: Sequence[Column], n: int
 ) -> DataFrame:
     """The first ``n`` rows of each group, with their ``position`` from 1.
 
     Every task trims its share of a group to ``n`` rows before the shuffle, so
-    a group of any size arrives as ``n`` rows per task.
+    a group of any size arrives as ``n`` rows per task. Spark does that up to a
+    threshold; for larger ``n`` a group is first spread over salts and trimmed
+    within each of them.
     """
-    ranked = Window.partitionBy(*group).orderBy(*order)
-    return rows.withColumn("position", F.row_number().over(ranked)).filter(
-        F.col("position") <= n
-    )
+    def trimmed(rows: DataFrame, *within: str) -> DataFrame:
+        ranked = Window.partitionBy(*group, *within).orderBy(*order)
+        return rows.withColumn("position", F.row_number().over(ranked)).filter(F.col("position") <= n)
+
+    if n > int(rows.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)))
+        rows = trimmed(salted, "_salt").drop("_salt", "position")
+    return trimmed(rows)
 
 
 def first_in_group(

@@ -17,11 +17,17 @@ from .filters import without_nulls
 
 
 def micros(interval: str) -> int:
-    """Length of an interval such as ``"30 minutes"`` in microseconds."""
-    unit = {"millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
-            "hour": 3_600_000_000, "day": 86_400_000_000}
-    number, name = interval.split()
-    return int(number) * unit[name.rstrip("s")]
+    """Length of an interval such as ``"1 hour 30 minutes"`` in microseconds.
+
+    Months and years have no fixed length, for windows of streams as well.
+    """
+    unit = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
+            "hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_000}
+    words = interval.lower().removeprefix("interval ").split()
+    pairs = [*zip(words[::2], words[1::2])]
+    if not words or len(words) % 2 or any(n.rstrip("s") not in unit for _, n in pairs):
+        raise ValueError(f"not an interval of a fixed length: {interval!r}")
+    return sum(int(number) * unit[name.rstrip("s")] for number, name in pairs)
 
 
 def _later(start: str, interval_us: int) -> Column:
@@ -69,14 +75,20 @@ def tumbling_count(
 
 def hopping_count(
     rows: DataFrame, keys: Sequence[str], width: str, advance: str, ts: str = "timestamp",
-    *, null_parts: bool = False,
+    *, null_parts: bool = False, final_only: bool = False,
 ) -> DataFrame:
     """Count per key and overlapping window of ``width``, one every ``advance``.
 
-    In batch, rows are first counted per ``advance`` slot, and only the slot
-    counts are copied into the windows that cover them.
+    Rows are first counted per ``advance`` slot, and only the slot counts are
+    copied into the windows that cover them. A stream can do so only if it is
+    ``final_only``, written in append mode; one that reports every change copies
+    its rows.
     """
     hops_per_window, uneven = divmod(micros(width), micros(advance))
+    if rows.isStreaming and final_only and not uneven:
+        slots = tumbling_count(rows, keys, advance, ts, null_parts=null_parts)
+        return slots.groupBy(*keys, F.window("window", width, advance).alias("window")).agg(
+            F.sum("count").alias("count"))
     if rows.isStreaming or uneven:
         hops = F.window(ts, width, advance).alias("window")
         return _keyed(rows, keys, null_parts).groupBy(*keys, hops).count()

@@ -17,9 +17,9 @@ def labelled(counts: DataFrame, key: str) -> DataFrame:
 
 def hot_words(
     rows: DataFrame, key: str = "key", width: str = "5 minutes", advance: str = "1 minute",
-    ts: str = "timestamp",
+    ts: str = "timestamp", *, final_only: bool = False,
 ) -> DataFrame:
-    return labelled(hopping_count(rows, [key], width, advance, ts), key)
+    return labelled(hopping_count(rows, [key], width, advance, ts, final_only=final_only), key)
 
 
 def play_sessions(
@@ -34,5 +34,11 @@ def printed(counts: DataFrame, key: str) -> DataFrame:
     return counts.select(line.alias("line"))
 
 
+def changes_as_topic_records(changes: DataFrame, key: str = "key") -> DataFrame:
+    """Every change of a session; one that has become part of another has a null value."""
+    label = window_label(F.col(key), F.col("window.start"), F.col("window.end"))
+    return keyed_longs(changes, label, F.when(~F.col("replaced"), F.col("count")))
+
+
 def as_topic_records(labelled_counts: DataFrame) -> DataFrame:
     return keyed_longs(labelled_counts, F.col("label"), F.col("count"))

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.wire import bytes_to_windowed_key
 from ..operators import changelog, filters, offsets, projections, ranking, windows
-from ..operators.accumulate import upsert
 from ..plans import labelled_counts, rank_events, search_words, state_snapshot, top_pages, word_count
 from ..schemas import PAGE_VIEW
 from ..sinks import landing
@@ -16,7 +15,6 @@ from ..sources.topics import subscribed, typed
 
 # The marker the stand-in views carry: part of the types "click" and "purchase".
 MARKER = "c"
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 # Fixed so that results can be compared; users leave it to the clock.
 UPDATE_DATE = 1_706_745_600_000
 
@@ -55,9 +53,12 @@ def source_pageviews(spark, sf_dir):
     return views.select(*PAGE_VIEW.fieldNames(), micros_of())
 
 
+SUBSCRIBED = ("click", "purchase", "view")
+
+
 def multi_topic_scan(spark, sf_dir):
     records = tables.as_topic_records(tables.events(spark, sf_dir))
-    return subscribed(records, EVENT_TYPES).select(
+    return subscribed(records, SUBSCRIBED).select(
         "topic", "partition", "offset", "key", "value", micros_of()
     )
 
@@ -149,8 +150,8 @@ def count_changelog(spark, sf_dir):
 
 
 def retractable_collect(spark, sf_dir):
-    held = changelog.retained(page_count_changes(spark, sf_dir), ["industry", "window", "page"])
-    return bounds(ranking.standings(held, top_pages.GROUP))
+    """The collection of a group's pages, each with its rank; changes of counts just replace them."""
+    return bounds(ranking.standings(page_counts(spark, sf_dir), top_pages.GROUP))
 
 
 def take_first_per_group(spark, sf_dir):
@@ -211,23 +212,14 @@ def halves(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return records.filter(F.col("timestamp") < noon), records.filter(F.col("timestamp") >= noon)
 
 
-def upsert_accumulate_common_rank(spark, sf_dir):
-    earlier, later = (
-        projections.common_rank_rows(rank_events.rank_counts(part), F.lit(UPDATE_DATE + i))
-        for i, part in enumerate(halves(messages(spark, sf_dir)))
-    )
-    return upsert(earlier, later)
-
-
 def landing_rows(spark, sf_dir):
     records = tables.as_topic_records(tables.events(spark, sf_dir))
     return landing.dated(records, F.col("timestamp"))
 
 
 def uuid_header(spark, sf_dir):
-    """Every record has an id of full length; that ids differ is left to the tests,
-    since counting them would shuffle them all."""
-    tagged = projections.with_uuid(messages(spark, sf_dir))
+    """Every record has an id of full length; ``landing_with_uuid`` counts that they differ."""
+    tagged = projections.with_uuid(messages(spark, sf_dir)).withColumn("uuid", projections.header("uuid"))
     return tagged.agg(
         F.count("*").alias("records"), F.count("uuid").alias("ids"),
         F.min(F.length("uuid")).alias("shortest"), F.max(F.length("uuid")).alias("longest"),
@@ -266,7 +258,6 @@ BATCH = {
     "word_count": word_counts,
     "state_snapshot": snapshot,
     "common_rank_rows": common_rank_rows,
-    "upsert_accumulate_common_rank": upsert_accumulate_common_rank,
     "landing_rows": landing_rows,
     "uuid_header": uuid_header,
 }

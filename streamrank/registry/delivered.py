@@ -21,14 +21,38 @@ def landing_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def idempotent_batch_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two batches, the second delivered twice."""
+    """Batches delivered twice: the first and the last with fewer rows, and with none, the second time."""
     earlier, later = halves(messages(spark, sf_dir))
     path = shared_dir(spark, "batches")
-    for batch_id, rows in ((0, earlier), (1, later), (1, later)):
+    everything = messages(spark, sf_dir)
+    for batch_id, rows in ((0, everything), (0, earlier), (1, later), (1, later), (2, later), (2, later.limit(0))):
         batches.write_batch(rows, batch_id, path)
     return batches.read_batches(spark, path).select("event_id", "value")
 
 
+def landing_with_uuid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records landed with a unique id in their headers: how many ids there are, and how many differ."""
+    records = projections.with_uuid(tables.as_topic_records(tables.events(spark, sf_dir)))
+    path = shared_dir(spark, "landing-uuid")
+    landing.land_with_headers(landing.dated(records, F.col("timestamp")), path)
+    ids = spark.read.parquet(path).select(projections.header("uuid").alias("uuid"))
+    return ids.agg(F.count("*").alias("records"), F.count("uuid").alias("ids"),
+                   F.count_distinct("uuid").alias("distinct_ids"))
+
+
+def upsert_accumulate_common_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries to the rank table, the first with names, and a fold between reads."""
+    path = shared_dir(spark, "named-rank")
+    earlier, later = (
+        projections.common_rank_rows(rank_events.rank_counts(part), F.lit(UPDATE_DATE + i))
+        for i, part in enumerate(halves(messages(spark, sf_dir)))
+    )
+    named = earlier.withColumn("rank_name", F.concat(F.lit("name of "), "rank_id"))
+    rank_table.add_counts(named, 0, path, fold_every=1)
+    rank_table.add_counts(later, 1, path, fold_every=1)
+    return rank_table.read_rank_table(spark, path)
+
+
 def rank_table_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches of counts, the second delivered twice."""
     path = shared_dir(spark, "common-rank")
@@ -43,6 +67,8 @@ def rank_table_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 DELIVERED = {
     "landing_written": landing_written,
+    "landing_with_uuid": landing_with_uuid,
+    "upsert_accumulate_common_rank": upsert_accumulate_common_rank,
     "idempotent_batch_write": idempotent_batch_write,
     "rank_table_replayed": rank_table_replayed,
 }

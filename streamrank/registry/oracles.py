@@ -104,6 +104,12 @@ RANK_TABLE = f"""
         null::varchar as rank_name, sum(n)::bigint as rank_value, {{update_date}} as update_date
     from ({RANK_COUNTS}) group by user_project, rank_type, rank_id, coalesce(rank_channel, '')"""
 
+NAMED_RANK_TABLE = """
+    select user_project, rank_type, rank_id, coalesce(rank_channel, '') as rank_channel,
+        max(case when {half} then null else 'name of ' || rank_id end) as rank_name,
+        sum(n)::bigint as rank_value, max(case when {half} then {later} else {earlier} end)::bigint as update_date
+    from ({counts}) group by user_project, rank_type, rank_id, coalesce(rank_channel, '')"""
+
 HALF = "minute >= timestamp '2024-01-16 12:00:00'"
 TWO_DELIVERIES = RANK_TABLE.format(
     update_date=f"max(case when {HALF} then {UPDATE_DATE + 1} else {UPDATE_DATE} end)::bigint"
@@ -135,6 +141,10 @@ def long_hex(value: str) -> str:
 
 
 SNAPSHOT = "select event_type as \"key\", count(*)::varchar as value from events group by event_type"
+SNAPSHOT_REPORTS = """
+    select event_type as "key", epoch_ms(second) + 1000 as tick_ms,
+        (sum(n) over (partition by event_type order by second))::bigint::varchar as value
+    from (select event_type, date_trunc('second', ts) as second, count(*) as n from events group by all)"""
 WORD_COUNT = f'select word, count(*) as "count" from ({WORDS}) group by word'
 
 ORACLES = {
@@ -142,7 +152,8 @@ ORACLES = {
     "source_pageviews": VIEWS,
     "multi_topic_scan": """
         select event_type as topic, (user_id % 8)::integer as "partition", event_id as "offset",
-            user_id::varchar as "key", props as value, epoch_us(ts) as ts_us from events""",
+            user_id::varchar as "key", props as value, epoch_us(ts) as ts_us from events
+        where event_type in ('click', 'purchase', 'view')""",
     "next_offset_per_partition": """
         select event_type as topic, (user_id % 8)::integer as "partition", max(event_id) + 1 as next_offset
         from events group by all""",
@@ -189,10 +200,12 @@ ORACLES = {
         select user_project, rank_type, rank_id, coalesce(rank_channel, '') as rank_channel,
             null::varchar as rank_name, n as rank_value, {UPDATE_DATE}::bigint as update_date
         from ({RANK_COUNTS})""",
-    "upsert_accumulate_common_rank": TWO_DELIVERIES,
+    "upsert_accumulate_common_rank": NAMED_RANK_TABLE.format(
+        half=HALF, later=UPDATE_DATE + 1, earlier=UPDATE_DATE, counts=RANK_COUNTS),
     "uuid_header": "select count(*) as records, count(*) as ids, 36 as shortest, 36 as longest from events",
     "landing_rows": LANDED,
     "landing_written": LANDED,
+    "landing_with_uuid": "select count(*) as records, count(*) as ids, count(*) as distinct_ids from events",
     "idempotent_batch_write": MESSAGES,
     "rank_table_replayed": TWO_DELIVERIES,
     "batched_commit_scan": MESSAGES,
@@ -203,6 +216,8 @@ ORACLES = {
     "stream_hopping_count_labelled": HOPPING,
     "stream_session_count_labelled": SESSIONS,
     "stream_word_count": WORD_COUNT,
-    "stream_state_snapshot": SNAPSHOT,
+    "stream_state_snapshot": SNAPSHOT_REPORTS,
+    "stream_top_pages_live": TOP_PAGES,
+    "stream_sessions_live": SESSIONS,
     "stream_rank_table": RANK_TABLE.format(update_date=f"{UPDATE_DATE}::bigint"),
 }

@@ -18,12 +18,19 @@ from ..sinks.rank_table import read_rank_table
 from ..sources import tables
 from ..streaming import run as streaming
 from ..streaming.latest import latest
+from ..streaming.live import current_sessions, live_sessions, live_top_pages
 from ..streaming.snapshot import periodic_snapshot
 from .batch import MARKER, UPDATE_DATE, bounds
 
 DELAY = "1 day"
 
 
+def session_for(spark: SparkSession) -> SparkSession:
+    """These tables are small, and every micro-batch touches each state partition."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return stream_session(spark, min(partitions, 2 * spark.sparkContext.defaultParallelism))
+
+
 def finish(spark: SparkSession, result: DataFrame, handler: streaming.Handler, name: str, final_only: bool) -> None:
     query = streaming.run(
         result, handler, name=name, checkpoint=streaming.fresh_checkpoint(spark, name),
@@ -35,7 +42,7 @@ def finish(spark: SparkSession, result: DataFrame, handler: streaming.Handler, n
 def closed_events(spark: SparkSession, sf_dir: str) -> tuple[SparkSession, DataFrame]:
     """Events as a stream that ends by closing every window, and its session."""
     path = f"{sf_dir}/events.parquet"
-    session = stream_session(spark)
+    session = session_for(spark)
     closing = streaming.closing_event(pin_utc(spark))
     stream = streaming.event_stream(session, path).union(streaming.event_stream(session, closing))
     return session, streaming.watermarked(stream, DELAY)
@@ -81,7 +88,7 @@ def stream_search_words(spark, sf_dir):
 def stream_hot_words(spark, sf_dir):
     path = finals(
         spark, sf_dir, "stream-hot-words",
-        lambda events: labelled_counts.hot_words(events, "event_type"),
+        lambda events: labelled_counts.hot_words(events, "event_type", final_only=True),
     )
     return read_batches(spark, path).drop("batch_id")
 
@@ -107,15 +114,46 @@ def stream_snapshot(spark, sf_dir):
     path = finals(
         spark, sf_dir, "stream-snapshot", lambda events: periodic_snapshot(events, "event_type")
     )
-    reports = read_batches(spark, path).drop("batch_id")
-    last = reports.groupBy("key").agg(F.max_by("value", "tick_ms").alias("value"))
-    return last.select("key", "value")
+    return read_batches(spark, path).drop("batch_id")
+
+
+def in_parts(spark: SparkSession, sf_dir: str, name: str, columns: list[str], parts: int = 4) -> tuple[str, str]:
+    """The events in files that follow each other in time, for a stream of several micro-batches."""
+    path = shared_dir(spark, name)
+    rows = pin_utc(spark).read.parquet(f"{sf_dir}/events.parquet").select(*columns)
+    ends = F.lit(31 // parts + 1)
+    for part in range(parts):
+        at = F.floor((F.dayofmonth("ts") - 1) / ends)
+        rows.where(at == part if part < parts - 1 else at >= part).coalesce(1).write.mode("append").parquet(path)
+    return path, rows.schema.simpleString()[7:-1].replace(":", " ")
+
+
+def stream_top_pages_live(spark, sf_dir):
+    """Lists of open hours after every micro-batch; the last one of each is its final list."""
+    source, ddl = in_parts(spark, sf_dir, "live-views", ["event_id", "ts", "user_id", "event_type", "value", "props"])
+    session, path = session_for(spark), shared_dir(spark, "live-pages")
+    stream = session.readStream.schema(ddl).option("maxFilesPerTrigger", 1).parquet(source)
+    views = tables.as_page_views(streaming.watermarked(tables.with_event_time(stream), DELAY))
+    handler = live_top_pages(f"{path}/kept", streaming.to_batches(f"{path}/lists"))
+    finish(spark, top_pages.page_counts(views, MARKER), handler, "live-pages", final_only=False)
+    return bounds(latest(read_batches(spark, f"{path}/lists"), top_pages.GROUP))
+
+
+def stream_sessions_live(spark, sf_dir):
+    """Every change of a session over several micro-batches; what stands at the end."""
+    source, ddl = in_parts(spark, sf_dir, "live-plays", ["user_id", "ts"])
+    session, path = session_for(spark), shared_dir(spark, "live-sessions")
+    stream = session.readStream.schema(ddl).option("maxFilesPerTrigger", 1).parquet(source)
+    handler = live_sessions(f"{path}/kept", streaming.to_batches(f"{path}/changes"), key="user_id")
+    finish(spark, tables.with_event_time(stream), handler, "live-sessions", final_only=True)
+    standing = current_sessions(read_batches(spark, f"{path}/changes"), ["user_id"])
+    return labelled_counts.labelled(standing, "user_id")
 
 
 def stream_changes(spark, sf_dir):
     """Counts in update mode: every change is stored, the last per key is the table."""
     path = shared_dir(spark, "stream-changes")
-    session = stream_session(spark)
+    session = session_for(spark)
     stream = streaming.watermarked(
         streaming.event_stream(session, f"{sf_dir}/events.parquet"), DELAY
     )
@@ -126,7 +164,7 @@ def stream_changes(spark, sf_dir):
 
 def stream_word_count(spark, sf_dir):
     path = shared_dir(spark, "stream-words")
-    session = stream_session(spark)
+    session = session_for(spark)
     documents = streaming.table_stream(session, f"{sf_dir}/documents.parquet", "text string")
     counts = word_count.word_count(projections.lines(documents))
     finish(spark, counts, streaming.to_batches(path), "stream-words", final_only=False)
@@ -136,7 +174,7 @@ def stream_word_count(spark, sf_dir):
 def batched_commit_scan(spark, sf_dir):
     """Each batch is processed before it counts as consumed."""
     path = shared_dir(spark, "commit-scan")
-    session = stream_session(spark)
+    session = session_for(spark)
     records = tables.as_behaviour_json(
         streaming.event_stream(session, f"{sf_dir}/events.parquet")
     )
@@ -155,4 +193,6 @@ STREAMED = {
     "stream_word_count": stream_word_count,
     "stream_state_snapshot": stream_snapshot,
     "stream_rank_table": stream_rank_table,
+    "stream_top_pages_live": stream_top_pages_live,
+    "stream_sessions_live": stream_sessions_live,
 }

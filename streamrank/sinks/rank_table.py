@@ -2,42 +2,65 @@
 
 Adding commutes, so every batch is stored as it comes and readers add up what
 is there. Nothing is read or rewritten on the way in, however large the table
-is, and the batch number makes replays harmless.
+is, and the batch number makes replays harmless. Every so many batches what came
+before is folded into a base; readers take the newest complete base and the
+batches after it, so neither the folders nor the work of reading grow with time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.accumulate import accumulate
 from ..schemas import COMMON_RANK
-from .batches import read_batches, write_batch
+from .batches import committed, remove, write_batch
 
+#: Batches from one base to the next.
+FOLD_EVERY = 100
 
-def add_counts(rank_rows: DataFrame, batch_id: int, path: str) -> None:
-    """Add rank rows to the table, combined per key first."""
-    write_batch(accumulate(rank_rows), batch_id, path)
 
+def _last_base(spark: SparkSession, path: str) -> int:
+    return max(committed(spark, f"{path}/bases", "base_id"), default=-1)
 
-def read_rank_table(spark: SparkSession, path: str) -> DataFrame:
-    """The table with all committed batches added up."""
-    totals = accumulate(read_batches(spark, path))
-    unnamed = totals.withColumn("rank_name", F.lit(None).cast("string"))
-    return unnamed.select(*COMMON_RANK.fieldNames())
 
+def add_counts(rank_rows: DataFrame, batch_id: int, path: str, fold_every: int = FOLD_EVERY) -> None:
+    """Add rank rows to the table, combined per key first.
 
-def fold(spark: SparkSession, path: str, into: str, upto: int) -> None:
-    """Copy the table with all batches up to ``upto`` folded into that one.
+    A batch that a base already covers is a replay and changes nothing.
+    """
+    spark = rank_rows.sparkSession
+    if batch_id <= _last_base(spark, path):
+        return
+    write_batch(accumulate(rank_rows), batch_id, f"{path}/batches")
+    if batch_id and batch_id % fold_every == 0:
+        fold(spark, path, batch_id - 1)
+
+
+def read_rank_table(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
+    """The table with all committed batches, or those up to a number, added up."""
+    base = _last_base(spark, path)
+    batches = [n for n in committed(spark, f"{path}/batches") if n > base and (upto is None or n <= upto)]
+    folders = [f"{path}/bases/base_id={base}"] * (base >= 0) + [f"{path}/batches/batch_id={n}" for n in batches]
+    if not folders:
+        return spark.createDataFrame([], COMMON_RANK)
+    stored = spark.read.schema(COMMON_RANK).parquet(*folders)
+    return accumulate(stored).select(*COMMON_RANK.fieldNames())
+
+
+def fold(spark: SparkSession, path: str, upto: int) -> None:
+    """Folds all batches up to ``upto`` into a base, which Spark marks complete last.
 
-    Readers and the writing query move to the new path once it is written.
-    Batches after ``upto`` are copied unchanged, and replays of them still
-    replace their own rows, so ``upto`` must lie before any batch that may
-    still be replayed.
+    ``upto`` must lie before any batch that may still be replayed. What the base
+    before this one had replaced is removed; the newer leftovers stay until the
+    next fold, for readers that have begun with them.
     """
-    stored = read_batches(spark, path)
-    add_counts(stored.filter(stored.batch_id <= upto).drop("batch_id"), upto, into)
-    later = stored.filter(stored.batch_id > upto)
-    (
-        later.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id").parquet(into)
-    )
+    before = _last_base(spark, path)
+    if upto <= before:
+        return
+    read_rank_table(spark, path, upto).write.mode("overwrite").parquet(f"{path}/bases/base_id={upto}")
+    for n in committed(spark, f"{path}/bases", "base_id"):
+        if n < before:
+            remove(spark, f"{path}/bases/base_id={n}")
+    for n in committed(spark, f"{path}/batches"):
+        if n <= before:
+            remove(spark, f"{path}/batches/batch_id={n}")

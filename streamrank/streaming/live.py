@@ -1,0 +1,121 @@
+"""Results of open windows and sessions, kept up to date micro-batch by micro-batch.
+
+What has changed is stored under the batch's number, and only the groups it touches
+are worked out again from what is stored. A replayed batch reads the batches before
+it and replaces its own rows, so it gives the same result.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+
+from ..operators.windows import micros, session_count
+from ..plans.top_pages import GROUP, TOP_N, top_pages
+from ..sinks.batches import exists
+from .run import Handler
+
+
+def _store(rows: DataFrame, batch_id: int, path: str, day: str) -> None:
+    """A batch of changes, in a folder for each day that they belong to."""
+    (
+        rows.withColumn("_day", F.date_format(day, "yyyyMMdd").cast("int"))
+        .write.mode("overwrite").partitionBy("_day").parquet(f"{path}/batch_id={batch_id}")
+    )
+
+
+def _stored(spark: SparkSession, path: str, schema, upto: int, days: tuple[int, int]) -> DataFrame:
+    """The changes of the batches up to ``upto`` that belong to the days from first to last."""
+    from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+
+    columns = StructType([*schema, StructField("batch_id", LongType()), StructField("_day", IntegerType())])
+    if not exists(spark, path):
+        return spark.createDataFrame([], columns)
+    rows = spark.read.schema(columns).parquet(path)
+    return rows.where((F.col("batch_id") <= upto) & F.col("_day").between(*days))
+
+
+def _days(rows: DataFrame, first, last) -> tuple[int, int] | None:
+    day = "yyyyMMdd"
+    found = rows.agg(F.date_format(F.min(first), day).cast("int"), F.date_format(F.max(last), day).cast("int")).first()
+    return None if found[0] is None else (found[0], found[1])
+
+
+def live_top_pages(path: str, send: Handler, n: int = TOP_N) -> Handler:
+    """Handler for a stream of changed page counts (``update`` mode).
+
+    Passes the new lists of the industries and windows that the batch touches to
+    ``send``: a page that another has overtaken leaves the list with that. Counts of
+    a page only grow, so the largest stored one is the current one. The counts of a
+    group are never held in one place, and of the days stored only those of touched
+    windows are read.
+    """
+    def handler(changed: DataFrame, batch_id: int) -> None:
+        spark = changed.sparkSession
+        _store(changed, batch_id, path, "window.start")
+        own = _stored(spark, path, changed.schema, batch_id, (0, 99999999)).where(F.col("batch_id") == batch_id)
+        days = _days(own, "window.start", "window.start")
+        touched = own.select(*GROUP).distinct()
+        known = _stored(spark, path, changed.schema, batch_id, days or (0, 0)).join(touched, list(GROUP), "left_semi")
+        counts = known.groupBy("page", *GROUP).agg(F.max("count").alias("count"))
+        send(top_pages(counts, n), batch_id)
+
+    return handler
+
+
+def merged_sessions(held: DataFrame, new: DataFrame, keys: Sequence[str], gap: str) -> DataFrame:
+    """Keys, window, count and ``replaced`` of the sessions that ``new`` ones change.
+
+    Both sides have keys, ``window`` and ``count``. Sessions at most ``gap`` apart are
+    one. A held session that has become part of another comes back as replaced.
+    """
+    both = held.select(*keys, "window", "count", F.lit(False).alias("_new")).unionByName(
+        new.select(*keys, "window", "count", F.lit(True).alias("_new")))
+    in_order = Window.partitionBy(*keys).orderBy("window.start", "window.end")
+    reached = F.max("window.end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    idle = F.unix_micros("window.start") - F.unix_micros(reached)
+    opens = F.when(idle <= micros(gap), 0).otherwise(1)
+    numbered = both.withColumn("_opens", opens).withColumn(
+        "_session", F.sum("_opens").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    span = F.struct(F.min("window.start").alias("start"), F.max("window.end").alias("end"))
+    parts = F.collect_list(F.when(~F.col("_new"), F.struct("window", "count")))
+    sessions = numbered.groupBy(*keys, "_session").agg(
+        span.alias("window"), F.sum("count").alias("count"), F.max("_new").alias("_changed"), parts.alias("_held"),
+    ).where("_changed")
+    gone = F.transform(
+        F.filter("_held", lambda s: s["window"] != F.col("window")),
+        lambda s: F.struct(s["window"].alias("window"), s["count"].alias("count"), F.lit(True).alias("replaced")))
+    now = F.array(F.struct("window", "count", F.lit(False).alias("replaced")))
+    return sessions.select(*keys, F.explode(F.concat(now, gone)).alias("s")).select(*keys, "s.*")
+
+
+def current_sessions(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The sessions that stand after all ``changes``, stored with their ``batch_id``."""
+    newest = F.max_by(F.struct("count", "replaced"), F.col("batch_id")).alias("s")
+    return changes.groupBy(*keys, "window").agg(newest).where("not s.replaced").select(*keys, "window", "s.count")
+
+
+def live_sessions(path: str, send: Handler, key: str = "key", gap: str = "30 minutes", ts: str = "timestamp") -> Handler:
+    """Handler for a stream of rows; passes every change of a session to ``send``.
+
+    A batch's rows are first counted into sessions of their own, slot by slot, so a
+    busy key costs a row per slot. They meet the stored sessions of their keys that end
+    late enough to touch them. Rows join their session however late they come.
+    """
+    def handler(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        new = session_count(rows, [key], gap, ts).persist()
+        try:
+            schema = new.select(key, "window", "count", F.lit(True).alias("replaced")).schema
+            reach = F.timestamp_micros(F.unix_micros("window.start") - micros(gap))
+            days = _days(new, reach, "window.start")
+            stored = _stored(spark, path, schema, batch_id - 1, (days[0] if days else 99999999, 99999999))
+            near = stored.join(new.select(key).distinct(), key, "left_semi")
+            _store(merged_sessions(current_sessions(near, [key]), new, [key], gap), batch_id, path, "window.end")
+        finally:
+            new.unpersist()
+        own = _stored(spark, path, schema, batch_id, (0, 99999999)).where(F.col("batch_id") == batch_id)
+        send(own.select(key, "window", "count", "replaced"), batch_id)
+
+    return handler

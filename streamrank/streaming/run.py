@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -64,7 +65,10 @@ def table_stream(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     A plain path has to be a folder, so it is given as a pattern that only it
     matches.
     """
-    return spark.readStream.schema(ddl).parquet(f"{path[:-1]}[{path[-1]}]")
+    *parents, name = path.rstrip("/").split("/")
+    plain = next(i for i, c in enumerate(name) if c.isalnum())
+    marked = [re.sub(r"([*?\[\]{}\\])", r"\\\1", part) for part in ("/".join(parents), name[:plain], name[plain + 1:])]
+    return spark.readStream.schema(ddl).parquet(f"{marked[0]}/{marked[1]}[{name[plain]}]{marked[2]}")
 
 
 def event_stream(spark: SparkSession, path: str) -> DataFrame:

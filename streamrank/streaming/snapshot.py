@@ -1,4 +1,4 @@
-"""Counts per key, reported again for every second of stream time."""
+"""Counts per key, reported for every second of stream time in which they changed."""
 
 from __future__ import annotations
 
@@ -19,31 +19,23 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 class PeriodicSnapshot(StatefulProcessor):
-    """Adds up pre-counted rows of one key and reports the total on a timer.
+    """Adds up pre-counted rows of one key and reports the total at the end of each interval.
 
-    A timer fires once, so rows set the one that ends their interval. Between
-    arrivals the total cannot change and is not reported again.
+    An interval's count arrives once, when it has closed, and a micro-batch may bring
+    many of them. Between arrivals the total cannot change and is not reported again.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
         self.total = handle.getValueState("total", "total long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
         held = self.total.get()
-        total, tick_ms = held[0] if held else 0, 0
-        for frame in rows:
-            total += int(frame["count"].sum())
-            tick_ms = max(tick_ms, int(frame["tick_ms"].max()))
-        self.total.update((total,))
-        self.handle.registerTimer(tick_ms)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        counts = pd.concat([frame[["tick_ms", "count"]] for frame in rows]).sort_values("tick_ms")
+        totals = counts["count"].cumsum() + (held[0] if held else 0)
+        self.total.update((int(totals.iloc[-1]),))
         yield pd.DataFrame({
-            "key": [key[0]],
-            "tick_ms": [expiredTimerInfo.getExpiryTimeInMs()],
-            "value": [str(self.total.get()[0])],
+            "key": [key[0]] * len(counts), "tick_ms": counts["tick_ms"].to_numpy(),
+            "value": totals.astype(str).to_numpy(),
         })
 
     def close(self) -> None:
@@ -58,7 +50,6 @@ def periodic_snapshot(rows: DataFrame, key: str, every: str = "1 second", ts: st
     """
     counted = tumbling_count(rows, [key], every, ts).select(
         F.col(key).cast("string").alias("key"),
-        F.window_time("window").alias("at"),
         F.unix_millis("window.end").alias("tick_ms"),
         "count",
     )
@@ -66,5 +57,5 @@ def periodic_snapshot(rows: DataFrame, key: str, every: str = "1 second", ts: st
         PeriodicSnapshot(),
         outputStructType=SNAPSHOT_DDL,
         outputMode="Append",
-        timeMode="EventTime",
+        timeMode="None",
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from helpers import Feed, at, clock, rows_of
 from streamrank.operators.accumulate import upsert
 from streamrank.operators.offsets import next_offsets
-from streamrank.operators.projections import with_uuid
+from streamrank.operators.projections import header, with_uuid
 from streamrank.sinks.batches import read_batches, write_batch
 from streamrank.sinks.landing import dated, land, land_stream, read_landed
 from streamrank.sinks.rank_table import add_counts, fold, read_rank_table
@@ -29,9 +29,17 @@ def test_writing_a_number_again_replaces_it(spark, tmp_path):
     write_batch(spark.range(5), 1, path)
     write_batch(spark.range(5), 1, path)
     assert read_batches(spark, path).count() == 15
+    write_batch(spark.range(0), 1, path)
+    assert read_batches(spark, path).count() == 10
     assert dict(read_batches(spark, path).dtypes)["batch_id"] == "bigint"
 
 
+def test_reading_before_the_first_batch(spark, tmp_path):
+    found = read_batches(spark, str(tmp_path / "none"), "key string")
+    assert found.columns == ["key", "batch_id"] and found.count() == 0
+    assert read_rank_table(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_failed_batch_leaves_nothing(spark, tmp_path):
     path = str(tmp_path / "out")
     write_batch(spark.range(10), 0, path)
@@ -58,13 +66,21 @@ def test_rank_table_adds_up_once(spark, tmp_path):
     expected = [("p", "t", "a", "", None, 7, 12), ("p", "t", "b", "", None, 1, 12)]
     assert rows_of(read_rank_table(spark, path)) == expected
 
-    add_counts(ranks(spark, ("b", None, 9, 13)), 2, path)
-    folded = str(tmp_path / "folded")
-    fold(spark, path, folded, upto=1)
-    assert rows_of(read_rank_table(spark, folded)) == rows_of(read_rank_table(spark, path))
-    assert sorted(os.listdir(folded))[-2:] == ["batch_id=1", "batch_id=2"]
-    add_counts(ranks(spark, ("b", None, 9, 13)), 2, folded)
-    assert rows_of(read_rank_table(spark, folded))[1][5] == 10
+    add_counts(ranks(spark, ("b", "Bun", 9, 13)), 2, path)
+    before = rows_of(read_rank_table(spark, path))
+    fold(spark, path, upto=1)
+    assert rows_of(read_rank_table(spark, path)) == before
+    add_counts(ranks(spark, ("b", None, 99, 13)), 1, path)  # a replay of what the base covers
+    add_counts(ranks(spark, ("b", "Bun", 9, 13)), 2, path)
+    assert rows_of(read_rank_table(spark, path)) == before and before[1][4:6] == ("Bun", 10)
+
+
+def test_rank_table_folders_do_not_pile_up(spark, tmp_path):
+    path = str(tmp_path / "ranks")
+    for batch_id in range(12):
+        add_counts(ranks(spark, ("a", None, 1, batch_id)), batch_id, path, fold_every=3)
+    assert rows_of(read_rank_table(spark, path)) == [("p", "t", "a", "", None, 12, 11)]
+    assert len(os.listdir(f"{path}/batches")) <= 7 and len(os.listdir(f"{path}/bases")) <= 2
 
 
 TOPIC_DDL = "topic string, value string, timestamp timestamp"
@@ -129,9 +145,10 @@ def test_landing_goes_by_the_clock(spark):
 
 
 def test_uuids(spark):
-    tagged = with_uuid(spark.range(1000))
-    assert tagged.filter("uuid is null").count() == 0
-    assert tagged.select("uuid").distinct().count() == 1000
+    tagged = with_uuid(with_uuid(spark.range(1000)))
+    ids = tagged.select(header("uuid").alias("uuid"), F.size("headers").alias("n"))
+    assert ids.filter("uuid is null or n <> 2").count() == 0
+    assert ids.select("uuid").distinct().count() == 1000
 
 
 def test_next_offsets(spark):

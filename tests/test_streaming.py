@@ -19,7 +19,9 @@ from streamrank.session import stream_session
 from streamrank.sinks.batches import read_batches, write_batch
 from streamrank.sinks.rank_table import read_rank_table
 from streamrank.streaming.latest import latest
-from streamrank.streaming.run import fresh_checkpoint, run, to_batches, watermarked
+from streamrank.streaming.run import fresh_checkpoint, run, to_batches, watermarked, table_stream
+from streamrank.functions.labels import window_label
+from streamrank.streaming.live import current_sessions, live_sessions
 from streamrank.streaming.snapshot import PeriodicSnapshot, periodic_snapshot
 from test_windows import PLAYS, SESSIONS
 
@@ -213,6 +215,51 @@ def test_snapshots_report_running_totals(spark, session, tmp_path):
     assert rows_of(reports) == [("a", 11_000, "2"), ("a", 13_000, "3"), ("b", 11_000, "1")]
 
 
+def test_snapshots_of_many_seconds_in_one_batch(spark, session, tmp_path):
+    feed = Feed(tmp_path / "in")
+    feed.send(*(("a", at(1000 * second + i)) for second in range(20) for i in range(3)))
+    feed.send(("end", at(60_000)))
+    path = str(tmp_path / "out")
+    play(periodic_snapshot(watermarked(feed.stream(session), "0 seconds"), "key"), to_batches(path), tmp_path / "cp")
+    reports = read_batches(spark, path).filter("key = 'a'").select("tick_ms", "value")
+    assert sorted(map(tuple, reports.collect())) == [(1000 * s + 1000, str(3 * s + 3)) for s in range(20)]
+
+
+def test_live_sessions_change_by_change(spark, session, tmp_path):
+    """The nine updates of the golden plays, and the session that another has replaced."""
+    feed = Feed(tmp_path / "in")
+    for key, ms in PLAYS:
+        feed.send((key, at(ms)))
+    path = str(tmp_path / "out")
+    handler = live_sessions(f"{path}/kept", to_batches(f"{path}/changes"))
+    play(feed.stream(session), handler, tmp_path / "cp")
+    changes = read_batches(spark, f"{path}/changes")
+    label = window_label(F.col("key"), F.col("window.start"), F.col("window.end"))
+    found = {}
+    for row in changes.select("batch_id", label.alias("label"), "count", "replaced").collect():
+        found.setdefault(row.batch_id, []).append((row.label, row["count"], row.replaced))
+    assert [(label, count) for i in range(9) for label, count, gone in found[i] if not gone] == [
+        ("jo@1484823406597->1484823406597", 1), ("bill@1484823466597->1484823466597", 1),
+        ("sarah@1484823526597->1484823526597", 1), ("jo@1484825207597->1484825207597", 1),
+        ("bill@1484823466597->1484825206597", 2), ("sarah@1484827006597->1484827006597", 1),
+        ("jo@1484823406597->1484825207597", 3), ("bill@1484828806597->1484828806597", 1),
+        ("sarah@1484827006597->1484827186597", 2),
+    ]
+    assert sorted(label for label, _, gone in found[6] if gone) == [
+        "jo@1484823406597->1484823406597", "jo@1484825207597->1484825207597"]
+    standing = current_sessions(changes, ["key"])
+    assert dict(rows_of(standing.select(label, "count"))) == SESSIONS
+
+
+def test_streams_of_folders_with_odd_names(spark, tmp_path):
+    for name in ("plain", "odd[1]{x}*"):
+        path = f"{tmp_path}/{name}"
+        spark.range(3).write.parquet(f"{tmp_path}/made-{len(name)}")
+        os.rename(f"{tmp_path}/made-{len(name)}", path)
+        for written in (path, path + "/"):
+            assert table_stream(spark, written, "id long").schema.simpleString() == "struct<id:bigint>"
+
+
 def test_tables_of_many_files(spark, tmp_path):
     """A table may be a folder of files, for batches and for streams."""
     events = spark.read.parquet(f"{SF_DIR}/events.parquet")

@@ -119,3 +119,10 @@ def test_labels(spark):
         ("w@-60000->60000", 1), ("w@0->120000", 1),
     ]
     assert rows_of(printed(tumbling_count(rows, ["key"], "1 hour"), "key")) == [("w>0=1",)]
+
+
+def test_interval_lengths():
+    assert micros("1 week") == 7 * micros("1 day") and micros("1 hour 30 minutes") == 90 * micros("1 minute")
+    for odd in ("1 month", "soon", "", "5"):
+        with pytest.raises(ValueError, match="fixed length"):
+            micros(odd)
