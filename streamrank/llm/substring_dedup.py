@@ -22,7 +22,8 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import mapped, parked, table
+from ..session import shared_dir
+from .common import discard, mapped, parked, table
 
 LENGTH = 20
 SEED = 6
@@ -71,13 +72,13 @@ def seeds_of(hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _seeds(batch: dict[str, list], length: int) -> Iterable[dict]:
-    for doc, text in zip(batch["doc"], batch["text"]):
+    for t1, text in zip(batch["t1"], batch["text"]):
         found, places = seeds_of(word_hashes(words_of(text)), length)
         if len(found):
             # Neighbouring windows share a seed; equal windows have it in two places.
             _, first = np.unique(places, return_index=True)
             seeds, counts = np.unique(found[first], return_counts=True)
-            yield {"seed": seeds.view(np.int64), "doc": np.full(len(seeds), doc), "n": counts}
+            yield {"seed": seeds.view(np.int64), "t1": np.full(len(seeds), t1), "again": counts > 1}
 
 
 def _indexed(hashes: np.ndarray, shared: list[int] | None, length: int) -> tuple[np.ndarray, ...]:
@@ -152,18 +153,24 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     rows = docs.select(
         "doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("t1"),
         F.xxhash64(F.lit(1), "text").alias("t2"), F.col("text").cast("binary").alias("text"))
-    texts = rows.select("doc", "text")
-    seeds = parked(mapped(texts, "seed long, doc long, n int", _seeds, length), "seeds")
-    twice = seeds.groupBy("seed").agg(F.sum("n").alias("times")).where("times > 1").select("seed")
-    shared = seeds.join(twice, "seed").groupBy("doc").agg(F.collect_set("seed").alias("shared"))
-    # Copies of a whole text: the first one stands for all.
+    spark = docs.sparkSession
+    place = shared_dir(spark, "seeds")
+    seeds = parked(mapped(rows.select("t1", "text"), "seed long, t1 long, again boolean", _seeds, length), "seeds", place)
+    # In two texts, or in two places of one; copies of a text are no news.
+    twice = seeds.groupBy("seed").agg(
+        F.min("t1").alias("low"), F.max("t1").alias("high"), F.max("again").alias("again")
+    ).where("low <> high or again").select("seed")
+    shared = seeds.join(twice, "seed").groupBy("t1").agg(F.collect_set("seed").alias("shared"))
+    # Of the copies of a whole text the first one stands for all.
     names = rows.select("doc", "t1", "t2").distinct()
     first = names.groupBy("t1", "t2").agg(F.min("doc").alias("first"))
     known = names.join(first, ["t1", "t2"]).select("doc", "t1", "t2", (F.col("doc") > F.col("first")).alias("is_copy"))
-    known = parked(known.join(shared, "doc", "left").withColumn(
+    known = parked(known.join(shared, "t1", "left").withColumn(
         "shared", F.when(~F.col("is_copy"), F.col("shared"))), "known")
+    discard(spark, place)
     leading = known.where("shared is not null").select("doc", "t1", "t2", "shared")
-    found = mapped(rows.join(leading, ["doc", "t1", "t2"]).select("doc", "text", "shared"),
+    # The texts are dealt out once: both joins below read the same columns by the same keys.
+    found = mapped(rows.join(leading, ["doc", "t1", "t2"]).select("doc_id", "doc", "text", "shared"),
                    "one long, two long, doc long", _windows, length)
     owners = found.groupBy("one", "two").agg(F.min("doc").alias("doc"))
     own = owners.groupBy("doc").agg(F.collect_set("one").alias("own"))
