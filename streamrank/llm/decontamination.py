@@ -2,20 +2,19 @@
 
 Documents and items are cut into overlapping passages of words. The TF-IDF vectors of
 the corpus' passages, over hashed words, get a randomised singular value decomposition
-in one distributed pass: every task multiplies its passages with a random matrix and
-back, the products are added up block by block, and a small eigenproblem gives the
-leading singular vectors. In their space, with all directions weighed alike, each
-document passage is compared with every item passage by cosine. Candidates are scored
-again by the full TF-IDF cosine, and then word by word: the longest common subsequence
-of the item and the document around the passage says how much of the item is there in
-order. Much of it is a leak; a fair part is one if the item's answer, its last
-sentence, is there too.
+in one distributed pass: the matrix is multiplied with a sparse random one, every task
+adds up the Gram matrix of its products, and the eigenvectors of the sum turn a product
+into coordinates along the leading left singular vectors. There, with all directions
+weighed alike, each document passage is compared with every item passage by cosine.
+Candidates are scored again by the full TF-IDF cosine, and then word by word: the
+longest common subsequence of the item and the document around the passage says how
+much of the item is there in order. Much of it is a leak; a fair part is one if the
+item's answer, its last sentence, is there too.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -29,23 +28,52 @@ from .common import mapped, parked, table
 #: Words of a passage, and from one passage to the next.
 PASSAGE, STEP = 32, 16
 FEATURES = 1 << 13
-RANK = 128
-#: Rows of the product that travel together, and tokens that a task multiplies at a time.
-ROWS, CHUNK = 64, 1 << 15
+#: Columns of the random matrix, and leading directions that are kept.
+SKETCH, RANK = 192, 128
+#: Tokens that a task multiplies at a time.
+CHUNK = 1 << 15
 #: The least cosines of a candidate, in the latent space and of the full vectors.
-LATENT_COSINE, FULL_COSINE = 0.45, 0.45
+LATENT_COSINE, FULL_COSINE = 0.35, 0.4
 #: Shares of an item's words, in order: a leak, and a leak if the answer is there.
 COPIED, PARAPHRASED, ANSWERED = 0.75, 0.55, 0.8
 #: Text of the items that are sent to the tasks at once; more take further passes.
-ITEM_BYTES = 4 << 20
+ITEM_BYTES = 128 << 10
 
-_WORD = re.compile(r"\w+").findall
+_IN_WORD = np.array([chr(i).isalnum() and i < 128 or i == 95 or i >= 128 for i in range(256)])
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SENTENCE = re.compile(r"[.!?]\s|\n")
 
 
 def tokens_of(text: str | None) -> np.ndarray:
-    """A 32-bit number for each word, in lower case."""
-    return np.array([zlib.crc32(w.encode()) for w in _WORD((text or "").lower())], np.uint32)
+    """A 32-bit number for each word, in lower case.
+
+    Words are runs of letters, digits and underscores; Latin and general punctuation
+    beyond ASCII ends a word as well. All words of a text are hashed at once, from
+    running sums over its bytes.
+    """
+    octets = np.frombuffer((text or "").lower().encode(), np.uint8)
+    if not len(octets):
+        return np.zeros(0, np.uint32)
+    inside = _IN_WORD[octets]
+    if not text.isascii():
+        latin = np.nonzero((octets[:-1] == 0xC2) & (octets[1:] < 0xC0))[0]
+        general = np.nonzero((octets[:-2] == 0xE2) & (octets[1:-1] >> 1 == 0x40))[0]
+        for spots, length in ((latin, 2), (general, 3)):
+            for i in range(length):
+                inside[spots + i] = False
+    edges = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
+    starts, ends = np.nonzero(edges == 1)[0], np.nonzero(edges == -1)[0]
+    powers = np.full(len(octets), _FACTOR)
+    back = np.full(len(octets), _INVERSE)
+    powers[0] = back[0] = 1
+    np.multiply.accumulate(powers, out=powers)
+    np.multiply.accumulate(back, out=back)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((octets.astype(np.uint64) + np.uint64(1)) * powers)])
+    words = (sums[ends] - sums[starts]) * back[starts]
+    words ^= words >> np.uint64(29)
+    words *= np.uint64(0xBF58476D1CE4E5B9)
+    return (words >> np.uint64(32)).astype(np.uint32)
 
 
 def answer_of(text: str | None) -> np.ndarray:
@@ -79,32 +107,35 @@ def tokenised(docs: DataFrame, label: str = "tokens") -> DataFrame:
 
 
 def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The features of many documents' tokens, and where their passages start, without overlap."""
-    held, starts, n = [], [], 0
+    """The features of many documents' tokens, and the passage of each, without overlap."""
+    held: list[np.ndarray] = []
+    places: list[np.ndarray] = []
+    n, passage = 0, 0
     for batch in batches:
         for value in batch.column(0):
-            tokens = np.frombuffer(value.as_py(), np.uint32)
+            tokens = np.frombuffer(value.as_buffer(), np.uint32)
             for i in range(0, len(tokens), CHUNK):
-                part = (tokens[i:i + CHUNK] % FEATURES).astype(np.int64)
+                part = tokens[i:i + CHUNK] & np.uint32(FEATURES - 1)
                 held.append(part)
-                starts.append(np.arange(0, len(part), PASSAGE) + n)
+                places.append(np.arange(len(part)) // PASSAGE + passage)
                 n += len(part)
+                passage += -(-len(part) // PASSAGE)
                 if n >= CHUNK:
-                    yield np.concatenate(held), np.concatenate(starts)
-                    held, starts, n = [], [], 0
+                    yield np.concatenate(held).astype(np.int64), np.concatenate(places)
+                    held, places, n, passage = [], [], 0, 0
     if n:
-        yield np.concatenate(held), np.concatenate(starts)
+        yield np.concatenate(held).astype(np.int64), np.concatenate(places)
 
 
 def inverse_frequencies(tokens: DataFrame) -> np.ndarray:
     """The IDF of each feature over all passages of ``tokens``."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, total = np.zeros(FEATURES, np.int64), 0
-        for features, starts in passages(batches):
-            place = np.searchsorted(starts, np.arange(len(features)), side="right") - 1
-            pairs = np.unique(place * FEATURES + features)
-            seen += np.bincount(pairs % FEATURES, minlength=FEATURES)
-            total += len(starts)
+        for features, places in passages(batches):
+            pairs = np.sort((places * FEATURES + features).astype(np.int32))
+            once = pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])]
+            seen += np.bincount(once & (FEATURES - 1), minlength=FEATURES)
+            total += int(places[-1]) + 1
         yield pa.RecordBatch.from_arrays(
             [pa.array([-1, *range(FEATURES)], pa.int32()), pa.array([total, *seen.tolist()], pa.int64())],
             names=["feature", "n"])
@@ -115,49 +146,42 @@ def inverse_frequencies(tokens: DataFrame) -> np.ndarray:
     return np.log((1 + df.get(-1, 0)) / (1 + seen)).astype(np.float32)
 
 
-def latent_basis(tokens: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
-    """Leading right singular vectors of the passages' TF-IDF matrix over their singular values.
+def drawn_columns() -> tuple[np.ndarray, np.ndarray]:
+    """The random matrix: each feature has one column and a sign."""
+    draw = np.random.default_rng(1)
+    return draw.integers(0, SKETCH, FEATURES), draw.choice([-1.0, 1.0], FEATURES)
+
 
-    One pass multiplies the matrix with a random one and with its own transpose; the
-    Nystroem method turns that product into the decomposition. Partial products are
-    added up per block of rows, first within salts, so no task gathers them all.
+def latent_basis(tokens: DataFrame, idf: np.ndarray) -> np.ndarray:
+    """What turns a passage's product with the random matrix into latent coordinates.
+
+    The products' Gram matrix covers all passages. Tasks' sums are added up within
+    salts first, so that no task meets them all; each is ``SKETCH`` squared.
     """
-    def draw() -> np.ndarray:
-        return np.random.default_rng(1).standard_normal((FEATURES, rank)).astype(np.float32)
+    columns, signs = drawn_columns()
+    weights = signs * idf
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weighed, product = draw() * idf[:, None], np.zeros((FEATURES, rank), np.float32)
-        for features, starts in passages(batches):
-            place = np.searchsorted(starts, np.arange(len(features)), side="right") - 1
-            norm = np.add.reduceat(idf[features] ** 2, starts)
-            rows = np.add.reduceat(weighed[features], starts, axis=0) / np.maximum(norm, 1e-6)[:, None]
-            order = np.argsort(features, kind="stable")
-            ranked = features[order]
-            firsts = np.nonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))[0]
-            product[ranked[firsts]] += np.add.reduceat(rows[place[order]], firsts, axis=0)
-        product *= idf[:, None]
-        blocks = [product[i:i + ROWS].tobytes() for i in range(0, FEATURES, ROWS)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array(blocks, pa.binary())],
-                                         names=["block", "part"])
-
-    def added(frame: pd.DataFrame) -> bytes:
-        return sum(np.frombuffer(p, np.float32).astype(float) for p in frame["part"]).astype(np.float32).tobytes()
-
-    def salted(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"block": [key[0]], "part": [added(frame)]})
-
-    kind = "block int, part binary"
-    parts = tokens.select("tokens").mapInArrow(multiply, kind).withColumn("salt", F.spark_partition_id() % 64)
-    once = parts.groupBy("block", "salt").applyInPandas(salted, kind)
-    rows = once.groupBy("block").applyInPandas(salted, kind).orderBy("block").collect()
+        gram = np.zeros((SKETCH, SKETCH))
+        for features, places in passages(batches):
+            rows = int(places[-1]) + 1
+            product = np.bincount(places * SKETCH + columns[features], weights[features], rows * SKETCH)
+            product = product.reshape(rows, SKETCH).astype(np.float32)
+            product /= np.linalg.norm(product, axis=1, keepdims=True) + 1e-9
+            gram += product.T @ product
+        yield pa.RecordBatch.from_arrays([pa.array([gram.tobytes()], pa.binary())], names=["part"])
+
+    def added(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"part": [sum(np.frombuffer(p) for p in frame["part"]).tobytes()]})
+
+    parts = tokens.select("tokens").mapInArrow(multiply, "part binary")
+    once = parts.groupBy((F.spark_partition_id() % 64).alias("salt")).applyInPandas(added, "part binary")
+    rows = once.groupBy(F.lit(0).alias("all")).applyInPandas(added, "part binary").collect()
     if not rows:
-        return np.zeros((FEATURES, rank), np.float32)
-    product = np.concatenate([np.frombuffer(r["part"], np.float32) for r in rows]).reshape(FEATURES, rank).astype(float)
-    small = draw().astype(float).T @ product
-    values, vectors = np.linalg.eigh((small + small.T) / 2)
-    root = vectors / np.sqrt(np.maximum(values, max(1e-9 * abs(values).max(), 1e-12)))
-    left, singular, _ = np.linalg.svd(product @ root, full_matrices=False)
-    return (left / np.maximum(singular, max(1e-6 * singular.max(), 1e-12))).astype(np.float32)
+        return np.zeros((SKETCH, RANK), np.float32)
+    values, vectors = np.linalg.eigh(np.frombuffer(rows[0]["part"]).reshape(SKETCH, SKETCH))
+    values, vectors = values[::-1][:RANK], vectors[:, ::-1][:, :RANK]
+    return (vectors / np.sqrt(np.maximum(values, max(1e-6 * values[0], 1e-12)))).astype(np.float32)
 
 
 def windows_of(tokens: np.ndarray) -> np.ndarray:
@@ -176,47 +200,65 @@ class Items:
     basis: np.ndarray
 
     def prepared(self) -> dict[str, np.ndarray]:
-        weighed = self.basis * self.idf[:, None]
+        columns, signs = drawn_columns()
         owner, full = [], []
         for i, tokens in enumerate(self.tokens):
             for start in windows_of(tokens):
                 features = (tokens[start:start + PASSAGE] % FEATURES).astype(np.int64)
                 owner.append(i)
-                full.append(np.bincount(features, minlength=FEATURES).astype(np.float32) * self.idf)
-        full = np.array(full, np.float32).reshape(-1, FEATURES)
-        latent = full @ self.basis
-        return {"weighed": weighed, "owner": np.array(owner, np.int64),
+                # One more feature stands for the filling of short passages.
+                full.append(np.bincount(features, minlength=FEATURES + 1).astype(np.float32)[:FEATURES] * self.idf)
+        full = np.pad(np.array(full, np.float32).reshape(-1, FEATURES), ((0, 0), (0, 1)))
+        product = np.zeros((len(full), SKETCH), np.float32)
+        for column in range(SKETCH):
+            mine = columns == column
+            product[:, column] = full[:, :FEATURES][:, mine] @ signs[mine].astype(np.float32)
+        latent = product @ self.basis
+        return {"owner": np.array(owner, np.int64), "idf": np.append(self.idf, 0).astype(np.float32),
+                "columns": np.append(columns, 0), "weights": np.append(signs * self.idf, 0),
                 "full": full / (np.linalg.norm(full, axis=1, keepdims=True) + 1e-9),
                 "latent": latent / (np.linalg.norm(latent, axis=1, keepdims=True) + 1e-9)}
 
-    def candidates(self, tokens: np.ndarray, ready: dict[str, np.ndarray]) -> Iterator[tuple[int, int, float]]:
-        """Start of a passage, item and full cosine of each pair that passes both cosines."""
-        features = (tokens % FEATURES).astype(np.int64)
-        for low in range(0, len(tokens), CHUNK):
-            part = features[low:low + CHUNK + PASSAGE]
-            starts = windows_of(part[:CHUNK + STEP])
-            halves = np.add.reduceat(ready["weighed"][part], np.arange(0, len(part), STEP), axis=0)
-            made = halves[:len(starts)].copy()
-            more = halves[1:len(starts) + 1]
-            made[:len(more)] += more
-            made /= np.linalg.norm(made, axis=1, keepdims=True) + 1e-9
-            at, item = np.nonzero(made @ ready["latent"].T >= LATENT_COSINE)
-            if not len(at):
-                continue
-            padded = np.concatenate([part, np.zeros(PASSAGE, np.int64)])
-            spots = starts[at][:, None] + np.arange(PASSAGE)
-            inside = (spots < len(part)) * self.idf[padded[spots]]
-            dots = (ready["full"][item[:, None], padded[spots]] * inside).sum(1)
-            cosines = dots / (np.sqrt((inside ** 2).sum(1)) + 1e-9)
-            for k in np.nonzero(cosines >= FULL_COSINE)[0]:
-                yield low + int(starts[at[k]]), int(ready["owner"][item[k]]), float(cosines[k])
-
-    def leaks(self, tokens: np.ndarray, ready: dict[str, np.ndarray]) -> dict[int, tuple[float, float, bool]]:
+    def candidates(self, docs: list[np.ndarray], ready: dict[str, np.ndarray]) -> Iterator[tuple[int, int, int, float]]:
+        """Document, start of a passage, item and full cosine of each pair that passes both cosines.
+
+        The documents' tokens lie in steps of half a passage, so neighbouring halves add
+        up to the overlapping passages.
+        """
+        steps = np.array([-(-len(d) // STEP) for d in docs])
+        ends = np.cumsum(steps)
+        firsts = ends - steps
+        features = np.full(int(ends[-1]) * STEP + PASSAGE, FEATURES)
+        for first, tokens in zip(firsts, docs):
+            features[first * STEP:first * STEP + len(tokens)] = tokens & np.uint32(FEATURES - 1)
+        body, halves = features[:int(ends[-1]) * STEP], int(ends[-1])
+        place = np.arange(len(body)) // STEP
+        product = np.bincount(place * SKETCH + ready["columns"][body], ready["weights"][body], halves * SKETCH)
+        product = product.reshape(halves, SKETCH).astype(np.float32)
+        doc = np.repeat(np.arange(len(docs)), steps)
+        last = np.zeros(halves, bool)
+        last[ends[steps > 0] - 1] = True
+        made = product
+        made[:-1][~last[:-1]] += product[1:][~last[:-1]]
+        starts = np.nonzero(~last | (steps[doc] == 1))[0]
+        made = made[starts] @ self.basis
+        made /= np.linalg.norm(made, axis=1, keepdims=True) + 1e-9
+        at, item = np.nonzero(made @ ready["latent"].T >= LATENT_COSINE)
+        if not len(at):
+            return
+        spots = starts[at][:, None] * STEP + np.arange(PASSAGE)
+        # A passage ends with its document.
+        inside = spots < (ends[doc[starts[at]]] * STEP)[:, None]
+        words = np.where(inside, features[spots], FEATURES)
+        dots = (ready["full"][item[:, None], words] * ready["idf"][words]).sum(1)
+        cosines = dots / (np.sqrt((ready["idf"][words] ** 2).sum(1)) + 1e-9)
+        for k in np.nonzero(cosines >= FULL_COSINE)[0]:
+            half = starts[at[k]]
+            yield int(doc[half]), int(half - firsts[doc[half]]) * STEP, int(ready["owner"][item[k]]), float(cosines[k])
+
+    def leaks(self, tokens: np.ndarray, spots: dict[int, list[tuple[int, float]]]) -> dict[int, tuple[float, float, bool]]:
         """item -> cosine, share of its words found in order, whether its answer is there."""
         found: dict[int, tuple[float, float, bool]] = {}
-        spots: dict[int, list[tuple[int, float]]] = {}
-        for start, item, cosine in self.candidates(tokens, ready):
-            spots.setdefault(item, []).append((start, cosine))
         for item, hits in spots.items():
             words = self.tokens[item]
             reach = -1
@@ -234,14 +276,33 @@ class Items:
         return found
 
 
+def _runs(tokens: list[np.ndarray]) -> Iterator[list[int]]:
+    """The places of documents with words, in runs of about ``CHUNK`` tokens."""
+    held, n = [], 0
+    for i, part in enumerate(tokens):
+        if len(part):
+            held.append(i)
+            n += len(part)
+        if n >= CHUNK:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
 def _retrieved(batch: dict[str, list], items: Items) -> Iterable[dict]:
     ready = items.prepared()
     out: dict[str, list] = {k: [] for k in ("row_a", "row_b", "doc_id", "item_id", "cosine", "share", "answered")}
-    for row_a, row_b, doc_id, value in zip(batch["row_a"], batch["row_b"], batch["doc_id"], batch["tokens"]):
-        tokens = np.frombuffer(value, np.uint32)
-        for item, (cosine, share, answered) in sorted(items.leaks(tokens, ready).items()):
-            for column, v in zip(out, (row_a, row_b, doc_id, items.names[item], cosine, share, answered)):
-                out[column].append(v)
+    tokens = [np.frombuffer(value, np.uint32) for value in batch["tokens"]]
+    for run in _runs(tokens):
+        spots: dict[int, dict[int, list[tuple[int, float]]]] = {}
+        for doc, start, item, cosine in items.candidates([tokens[i] for i in run], ready):
+            spots.setdefault(run[doc], {}).setdefault(item, []).append((start, cosine))
+        for i, hits in spots.items():
+            for item, (cosine, share, answered) in sorted(items.leaks(tokens[i], hits).items()):
+                row = (batch["row_a"][i], batch["row_b"][i], batch["doc_id"][i], items.names[item], cosine, share, answered)
+                for column, v in zip(out, row):
+                    out[column].append(v)
     yield out
 
 
