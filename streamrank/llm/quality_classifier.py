@@ -116,7 +116,7 @@ def _frequencies(batch: dict[str, list]) -> Iterable[dict]:
 
 def _labelled(batch: dict[str, list], idf: np.ndarray) -> Iterable[dict]:
     yield {"doc_id": batch["doc_id"], "quality": batch["quality"],
-           "vector": [vector_of(t, idf) for t in batch["text"]]}
+           "vector": [vector_of(t, idf).tobytes() for t in batch["text"]]}
 
 
 def train_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> QualityModel:
@@ -134,8 +134,8 @@ def train_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LA
         F.avg("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     texts = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").groupBy("doc_id").agg(
         F.min("text").alias("text"), F.min("quality").alias("quality"))  # an id may be repeated
-    rows = mapped(texts, "doc_id long, quality double, vector array<float>", _labelled, idf).orderBy("doc_id").collect()
-    made = np.array([r["vector"] for r in rows], np.float32).reshape(-1, WIDTH)
+    rows = mapped(texts, "doc_id long, quality double, vector binary", _labelled, idf).orderBy("doc_id").collect()
+    made = np.frombuffer(b"".join(r["vector"] for r in rows), np.float32).reshape(-1, WIDTH)
     basis = np.linalg.eigh((made.T @ made).astype(float))[1][:, ::-1][:, :RANK].astype(np.float32)
     latent = made @ basis
     latent /= np.linalg.norm(latent, axis=1, keepdims=True) + 1e-9
