@@ -281,14 +281,15 @@ def row_keys() -> list[Column]:
             F.xxhash64(F.lit(7), "text", "doc_id").alias("row_b")]
 
 
-def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, bits: int = 16) -> DataFrame:
+def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, bits: int = 20) -> DataFrame:
     """row_a, row_b (see ``row_keys``), doc_id, group: near-duplicates share a group.
 
     Two texts are linked if the Jaccard similarity of their sets of ``words``-word
     shingles, A-Z in lower case, is ``similarity`` (0.8 at least) or more; texts of
     fewer words are one shingle, and texts without words are alike. ``bits`` is how
-    far apart the SimHash fingerprints of a candidate pair may be. A group is the
-    signature of one of its shingle sets.
+    far apart the SimHash fingerprints of a candidate pair may be: at a similarity of
+    0.8 they differ in 10 bits on average, and one pair in ten thousand in over 20.
+    A group is the signature of one of its shingle sets.
     """
     if similarity < 0.8:
         raise ValueError("the index is laid out for similarities of 0.8 and more")
