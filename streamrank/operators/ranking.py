@@ -38,8 +38,8 @@ def top_n(
 def first_in_group(
     rows: DataFrame, group: Sequence[str], order: Sequence[Column], value: Column
 ) -> DataFrame:
-    """``value`` of the first row of each group, by a plain aggregate."""
-    return rows.groupBy(*group).agg(F.min_by(value, F.struct(*order)).alias("first"))
+    """``value`` of the first row of each group, one row per task and group shuffled."""
+    return top_n(rows, group, order, 1).select(*group, value.alias("first"))
 
 
 def listed(top: DataFrame, group: Sequence[str], item: str, alias: str) -> DataFrame:

@@ -5,6 +5,7 @@ import re
 import pytest
 
 from helpers import SF_DIR
+from streamrank.operators.accumulate import accumulate
 from streamrank.registry.batch import BATCH
 
 
@@ -58,6 +59,14 @@ def test_messages_are_parsed_once(spark, name):
     assert plan_of(spark, name).count("from_json(") == 1
 
 
+def test_first_rows_and_rank_tables_need_no_sorted_aggregation(spark):
+    plan = plan_of(spark, "take_first_per_group")
+    assert ", 1, Partial" in plan and "SortAggregate" not in plan
+    counted = accumulate(BATCH["common_rank_rows"](spark, SF_DIR))
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Join" not in plan
+
+
 @pytest.mark.parametrize("name", ["tumbling_count_1h", "word_count", "session_count_labelled", "common_rank_rows"])
 def test_counts_are_combined_before_the_shuffle(spark, name):
     plan = plan_of(spark, name)
