@@ -213,9 +213,9 @@ def _sketched(batch: dict[str, list], words: int) -> Iterable[dict]:
     out: dict[str, list] = {"row_a": batch["row_a"], "row_b": batch["row_b"], "doc_id": batch["doc_id"],
                             "fp": [], "sig": [], "keys": []}
     for text in batch["text"]:
-        hashes = shingle_hashes(text, words)
-        distinct = np.unique(hashes)
-        out["fp"].append(np.uint64(fingerprint(hashes)).astype(np.int64))
+        distinct = np.unique(shingle_hashes(text, words))
+        # Of the set, as Jaccard is: a line's repeats would outvote the rest of a text.
+        out["fp"].append(np.uint64(fingerprint(distinct)).astype(np.int64))
         out["sig"].append(np.uint64(xxhash.xxh64_intdigest(distinct.tobytes(), SEED)).astype(np.int64))
         out["keys"].append(part_keys(distinct).view(np.int64))
     yield out

@@ -133,6 +133,18 @@ def test_near_duplicates_are_all_found(spark):
     assert ids(kept) == sorted({least.get(i, i) for i, _ in rows})
 
 
+def test_repeated_lines_hide_no_near_duplicate(spark):
+    """Jaccard looks at sets, so how often a line stands in a text must not matter."""
+    draw = np.random.default_rng(17)
+    rows = []
+    for i in range(40):
+        body = " ".join(f"b{i}w{draw.integers(9999)}" for _ in range(300))
+        line = " ".join(f"l{i}w{j}" for j in range(12))
+        rows += [(2 * i, f"{body} {line}"), (2 * i + 1, f"{body} {' '.join([line] * 40)}")]
+    kept = simhash_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert ids(kept) == [2 * i for i in range(40)]
+
+
 def test_one_document_of_a_group_stays(odd, none):
     kept = simhash_dedup.deduplicated(odd)
     assert ids(kept) == [1, 3, 6, 7, 8] and kept.columns == odd.columns
