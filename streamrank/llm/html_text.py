@@ -4,8 +4,10 @@ A page is a sequence of words, which score positive, and tags, which score negat
 The weights are learned from labelled pages: those that declare their main part
 themselves (``article``, ``main``, a content class), whose tokens inside are compared
 with those outside. One linear scan finds the contiguous run of blocks with the
-highest score. Menus, notices, comments and the like are skipped as whole elements by
-tag, role or class name, also amid the article.
+highest score. A declaration adds to the score where it holds a fair share of the page's
+words. Menus, footers and the like are skipped as whole elements by tag or role, unless
+an article or main part begins in them; the words of elements named like notices,
+comments or forms score negative, unless such an element wraps the page's text.
 """
 
 from __future__ import annotations
@@ -28,7 +30,12 @@ BLOCK_TAGS = frozenset(
     "tbody td tfoot th thead tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TAGS = frozenset("script style title textarea noscript template iframe svg math canvas audio video object".split())
-SKIPPED_TAGS = frozenset("nav header footer aside form button select menu dialog label fieldset".split())
+SKIPPED_TAGS = frozenset("nav header footer aside button select menu dialog label".split())
+#: Elements that may wrap a whole page: like those with a name in ``SKIPPED_WORDS`` they score negative.
+NEGATIVE_TAGS = frozenset(["form", "fieldset"])
+#: Elements of text, which no name makes negative inside a declared part.
+TEXT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 section p blockquote pre table ul ol dl figure".split())
+PROSE_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre".split())
 SKIPPED_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 SKIPPED_WORDS = frozenset(
@@ -51,6 +58,12 @@ _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 PLAIN_WORD, LINK_WORD, UNKNOWN_TAG = 1.0, 0.1, -1.0
 #: The least that a word counts, and the most that a tag does.
 LEAST_WORD, LIGHTEST_TAG = 0.01, -0.01
+#: The share of a page's words that a declaration must hold to count.
+BELIEVED = 0.3
+#: What a declaration adds for a block and for each word in it, and what words beside it keep.
+BLOCK_BONUS, WORD_BONUS, BESIDE = 24.0, 2.0, 0.1
+#: What a word of a negative element costs.
+NEGATIVE_WORD = -1.0
 
 
 def name_words(value: str) -> Iterator[list[str]]:
@@ -71,14 +84,24 @@ def is_skipped(tag: str, attrs: dict[str, str], declared: bool) -> bool:
         return True
     if not attrs:
         return False
-    if attrs.get("role", "").lower() in SKIPPED_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true":
+    if attrs.get("role", "").lower() in SKIPPED_ROLES:
         return True
-    if "display:none" in attrs.get("style", "").replace(" ", "").lower():
-        return True
-    return any(
+    return is_hidden(attrs)
+
+
+def is_hidden(attrs: dict[str, str]) -> bool:
+    return ("hidden" in attrs or attrs.get("aria-hidden") == "true"
+            or "display:none" in attrs.get("style", "").replace(" ", "").lower())
+
+
+def is_negative(tag: str, attrs: dict[str, str], declared: bool) -> bool:
+    """Whether an element's tag or one of its names speaks against its being text."""
+    if tag in ("html", "body", "main"):
+        return False
+    return tag in NEGATIVE_TAGS or any(
         words and words[0] not in TURNED_OFF and not SKIPPED_WORDS.isdisjoint(words)
         and not (declared and tag.startswith("h") and "header" in words)
-        for key in ("class", "id") for words in name_words(attrs.get(key, "")))
+        for key in ("class", "id") if key in attrs for words in name_words(attrs[key]))
 
 
 def declares(tag: str, attrs: dict[str, str]) -> int:
@@ -93,6 +116,24 @@ def declares(tag: str, attrs: dict[str, str]) -> int:
     return 0
 
 
+@dataclass
+class Doubt:
+    """An open element whose tag or name speaks against it, and what is in it."""
+
+    tag: str
+    inside: bool  # a declared part
+    wraps: bool = False  # a declared part, or most of a page's words
+    n: int = 0
+    prose: int = 0
+    most: bool = False
+
+    def holds(self, declared: bool) -> bool:
+        """Whether its words count against it, on a page with an article or main part or without."""
+        if self.wraps or self.most and not declared:
+            return False
+        return not self.inside or self.tag not in TEXT_TAGS and 2 * self.prose <= self.n
+
+
 @dataclass
 class Block:
     """A run of text between two block boundaries, and the tags since the one before."""
@@ -100,7 +141,14 @@ class Block:
     parts: list[str] = field(default_factory=list)
     words: Counter = field(default_factory=Counter)
     tags: list[str] = field(default_factory=list)
-    level: int = 0
+    levels: frozenset[int] = frozenset()
+    doubts: tuple[Doubt, ...] = ()
+
+    def negative(self, declared: bool) -> bool:
+        return any(d.holds(declared) for d in self.doubts)
+
+    def size(self) -> int:
+        return self.words.total()
 
     def text(self) -> str:
         return " ".join(html.unescape("".join(self.parts)).split())
@@ -109,17 +157,22 @@ class Block:
 def blocks_of(page: str | None, keep_skipped: bool = False) -> list[Block]:
     """The page's blocks in order, skipped elements left out unless asked for."""
     blocks, current = [], Block()
-    opened: list[tuple[str, int]] = []  # tags that are open, with their declaration
-    skipping, depth, at = "", 0, 0
+    opened: list[tuple[str, int, Doubt | None]] = []  # tags that are open, with their declaration
+    doubts: list[Doubt] = []
+    skipping, hidden, depth, at = "", False, 0, 0
     page = page or ""
 
     def level() -> int:
-        return max((d for _, d in opened), default=0)
+        return max((d for _, d, _ in opened), default=0)
 
     def ended() -> None:
         nonlocal current
         if any(not p.isspace() for p in current.parts):
-            current.level = level()
+            current.levels = frozenset(d for _, d, _ in opened if d)
+            current.doubts = tuple(d for _, _, d in opened if d)
+            for doubt in current.doubts:
+                doubt.n += current.size()
+                doubt.prose += sum(n for kind, n in current.words.items() if kind in PROSE_TAGS)
             blocks.append(current)
             current = Block()
         else:
@@ -127,8 +180,8 @@ def blocks_of(page: str | None, keep_skipped: bool = False) -> list[Block]:
 
     def said(text: str) -> None:
         if text and not skipping:
-            context = next((t for t, _ in reversed(opened) if t in BLOCK_TAGS), "")
-            kind = "a" if any(t == "a" for t, _ in opened[-4:]) else context
+            context = next((t for t, _, _ in reversed(opened) if t in BLOCK_TAGS), "")
+            kind = "a" if any(t == "a" for t, _, _ in opened[-4:]) else context
             current.parts.append(text)
             current.words[kind] += len(text.split())
 
@@ -169,8 +222,8 @@ def blocks_of(page: str | None, keep_skipped: bool = False) -> list[Block]:
             continue
         attrs = attributes(found["rest"])
         if skipping:
-            ends = skipping == "p" and tag in BLOCK_TAGS or skipping in ("nav", "header", "menu") and (
-                tag == "main" or tag == "article" and not is_skipped(tag, attrs, False))
+            ends = skipping == "p" and tag in BLOCK_TAGS or not hidden and (tag == "main" or tag == "article" and not (
+                is_skipped(tag, attrs, False) or is_negative(tag, attrs, False)))
             if not ends:
                 depth += tag == skipping
                 continue
@@ -188,18 +241,39 @@ def blocks_of(page: str | None, keep_skipped: bool = False) -> list[Block]:
                         break
         if not keep_skipped and tag not in VOID_TAGS and is_skipped(tag, attrs, level() > 0):
             ended() if tag in BLOCK_TAGS else None
-            skipping, depth = tag, 1
+            skipping, hidden, depth = tag, is_hidden(attrs), 1
             current.tags.append(tag)
             continue
         if tag == "br":
             current.parts.append(" ")
         if tag not in VOID_TAGS and not found["rest"].endswith("/"):
-            opened.append((tag, declares(tag, attrs)))
+            doubt, kind = None, declares(tag, attrs)
+            if is_negative(tag, attrs, level() > 0):
+                doubt, kind = Doubt(tag, level() > 0), 0
+                doubts.append(doubt)
+            elif kind > 1:
+                for _, _, around in opened:
+                    if around:
+                        around.wraps = True
+            opened.append((tag, kind, doubt))
         current.tags.append(tag)
     ended()
+    whole = sum(b.size() for b in blocks)
+    for doubt in doubts:
+        doubt.most = 2 * doubt.n > whole
     return blocks
 
 
+def believed(blocks: list[Block]) -> int:
+    """The clearest declaration that holds a fair share of the words not spoken against, 0 without one."""
+    declared = any(b.levels & {2, 3} for b in blocks)
+    sizes = [(b.levels, b.size()) for b in blocks if not b.negative(declared)]
+    whole = sum(n for _, n in sizes)
+    held = {kind: sum(n for levels, n in sizes if kind in levels) for kind in (3, 2, 1)}
+    most = max(held.values())
+    return next((kind for kind, n in held.items() if n and n >= BELIEVED * whole and 2 * n >= most), 0)
+
+
 @dataclass(frozen=True)
 class HtmlModel:
     """Learned weights of words, by the tag around them, and of tags."""
@@ -207,40 +281,39 @@ class HtmlModel:
     words: dict[str, float]
     tags: dict[str, float]
 
-    def score(self, block: Block, main: int) -> tuple[float, float]:
+    def score(self, block: Block, main: int, negative: bool = False) -> tuple[float, float]:
         """What the words of a block add and the tags before it cost.
 
-        ``main`` is the clearest declaration on the page. Where there is one, words
-        outside count next to nothing and tags inside cost next to nothing.
+        ``main`` is the declaration that is believed on the page, which adds a bonus
+        inside and lets words beside it count less.
         """
+        cost = sum(self.tags.get(t, UNKNOWN_TAG) for t in block.tags)
+        if negative:
+            return NEGATIVE_WORD * max(1, block.size()), cost
         words = sum(n * self.words.get(kind, LINK_WORD if kind == "a" else PLAIN_WORD)
                     for kind, n in block.words.items())
-        cost = sum(self.tags.get(t, UNKNOWN_TAG) for t in block.tags)
-        if main and block.level == main:
-            return max(words, 1.0), 1e-6 * cost
-        if main:
-            return 1e-3 * LEAST_WORD * words, cost + UNKNOWN_TAG
-        return words, cost
+        if main and main in block.levels:
+            return words + WORD_BONUS * block.size() + BLOCK_BONUS, cost
+        return BESIDE * words if main else words, cost
 
     def extract(self, page: str | None) -> str:
         """The text of the best contiguous run of blocks, one to a line."""
         blocks = blocks_of(page)
-        main = max((b.level for b in blocks), default=0)
+        main, declared = believed(blocks), any(b.levels & {2, 3} for b in blocks)
+        against = [b.negative(declared) for b in blocks]
         best, start, end = 0.0, 0, 0
         total, since = 0.0, 0
         for i, block in enumerate(blocks):
-            gain, cost = self.score(block, main)
+            gain, cost = self.score(block, main, against[i])
             if total + cost <= 0:
                 total, since = 0.0, i
             else:
                 total += cost
-            total += gain
+            total = max(0.0, total + gain)
             if total > best:
                 best, start, end = total, since, i + 1
-        if main:  # what lies between the parts of a page that declares several is not in any
-            chosen = [b for b in blocks[start:end] if b.level == main]
-        else:
-            chosen = blocks[start:end]
+        # Amid the run, what scores negative by itself is a break in the text, no part of it.
+        chosen = [b for b, no in zip(blocks[start:end], against[start:end]) if not no]
         return "\n".join(filter(None, (b.text() for b in chosen)))
 
 
@@ -249,11 +322,11 @@ def _counted(batch: dict[str, list]) -> Iterable[dict]:
     known = BLOCK_TAGS | VOID_TAGS | frozenset("a b i em strong span small u code sub sup font label button".split())
     for page in batch["html"]:
         blocks = blocks_of(page, keep_skipped=True)
-        main = max((b.level for b in blocks), default=0)
+        main = believed(blocks)
         if not main:
             continue
         for block in blocks:
-            inside = block.level == main
+            inside = main in block.levels
             for kind, n in block.words.items():
                 counts["word", kind, inside] += n
             for tag in block.tags:

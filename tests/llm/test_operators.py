@@ -262,6 +262,21 @@ def test_all_test_pages_without_their_declaration(spark):
     assert np.mean([a.text == b.text for a, b in zip(said, found)]) > 0.95
 
 
+MODEL = html_text.HtmlModel({"p": 3.0, "h2": 2.0, "h3": 2.0, "a": 0.01}, {"p": -0.01, "h2": -0.1, "a": -1.0, "div": -1.0})
+BODY = "".join(f"<p>{' '.join(f's{i}w{j}' for j in range(40))}</p>" for i in range(6))
+BODY_TEXT = "\n".join(" ".join(f"s{i}w{j}" for j in range(40)) for i in range(6))
+
+
+@pytest.mark.parametrize("around", ["<main>%s</main>", "<div class=content>%s</div>"])
+def test_teaser_articles_beside_the_main_text(around):
+    cards = "".join(f"<article><h3><a href=x>card {i}</a></h3><p>few words {i}</p></article>" for i in range(3))
+    latest = f"<section class=latest>{cards}</section>"
+    for page in (around % BODY + latest, latest + around % BODY):
+        assert MODEL.extract(f"<html><body>{page}</body></html>") == BODY_TEXT
+    # Where nothing else is declared the teasers may come along, but the text stays.
+    assert BODY_TEXT in MODEL.extract(f"<body><div>{BODY}</div>{latest}</body>")
+
+
 # Tokens
 
 @pytest.mark.parametrize("planes", ["byte", "bit"])
