@@ -277,6 +277,20 @@ def test_teaser_articles_beside_the_main_text(around):
     assert BODY_TEXT in MODEL.extract(f"<body><div>{BODY}</div>{latest}</body>")
 
 
+@pytest.mark.parametrize("around", [
+    "<div class=page-with-sidebar>%s</div>", "<form>%s</form>", "<form><main>%s</main></form>", "<aside><article>%s</article></aside>"])
+def test_wrappers_do_not_hide_a_page(around):
+    assert MODEL.extract(f"<body>{around % BODY}</body>") == BODY_TEXT
+
+
+def test_names_inside_an_article():
+    said = ("<h2 id=discussion>Discussion</h2><p>It was talked over</p><section id=related-work><h2 id=search>Search</h2>"
+            "<p>Others did it</p></section><div id=copyright><p>Law of copies</p></div>")
+    found = MODEL.extract(f"<article>{BODY}<div class=share><a href=x>Tweet this</a></div>{said}</article>"
+                          f"<section id=comments>{BODY.replace('s', 'c')}</section>")
+    assert found == BODY_TEXT + "\nDiscussion\nIt was talked over\nSearch\nOthers did it\nLaw of copies"
+
+
 # Tokens
 
 @pytest.mark.parametrize("planes", ["byte", "bit"])
