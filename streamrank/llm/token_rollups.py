@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import shared_dir
-from .common import discard, table
+from .common import discard, parked, table
 
 KEYS = ["source", "lang", "tokenizer_version"]
 TOTALS = "source string, lang string, tokenizer_version string, n_docs long, n_tokens long"
@@ -118,24 +118,39 @@ def counted(docs: DataFrame, version: str) -> DataFrame:
                        pieces.cast("long").alias("n_tokens"), F.md5("text").alias("digest"))
 
 
+def both_counted(docs: DataFrame) -> DataFrame:
+    """The keys of each row, its counts under every version of ``COUNTERS``, and its text's digest.
+
+    Each count is one column of one select, so that no row has to be found again by an id
+    that others may share. Null texts have the empty digest, which equals only itself.
+    """
+    counts = (F.coalesce(F.regexp_count("text", F.lit(p)), F.lit(0)).cast("long").alias(v) for v, p in COUNTERS.items())
+    digest = F.coalesce(F.unhex(F.md5("text")), F.lit(b""))
+    return docs.select("doc_id", "source", "lang", *counts, digest.alias("digest"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after four batches over all documents, one of them committed twice.
 
     Every document is inserted under the first version. Copies of a text in a smaller
-    doc_id are deleted. What is left is revised to the second version, which moves its
+    doc_id are deleted, and so are rows without a doc_id; null texts are copies of each
+    other. Rows with the smallest doc_id of a text all stay. What is left is revised to the second version, which moves its
     counts. At last all documents are inserted once more under the first version.
     """
     store = RollupStore(spark, shared_dir(spark, "token-rollup"))
-    docs = table(spark, sf_dir, "documents")
-    before, after = counted(docs, "words-1"), counted(docs, "pieces-2")
-    first = before.groupBy("digest").agg(F.min("doc_id").alias("first"))
-    copies = before.join(first, "digest").where("doc_id > first")
-    kept = first.select(F.col("first").alias("doc_id"))
-    old = before.select("doc_id", F.col("n_tokens").alias("old_n_tokens"), F.lit("words-1").alias("old_tokenizer_version"))
+    docs = parked(both_counted(table(spark, sf_dir, "documents")), "token-counts")
+    first = docs.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    marked = docs.join(first, "digest").withColumn("kept", F.coalesce(F.col("doc_id") == F.col("first"), F.lit(False)))
+    before = docs.withColumnsRenamed({"words-1": "n_tokens"}).withColumn("tokenizer_version", F.lit("words-1"))
+    copies = marked.where("not kept").select(
+        *KEYS[:2], F.lit("words-1").alias("tokenizer_version"), F.col("words-1").alias("n_tokens"))
+    revised = marked.where("kept").select(
+        *KEYS[:2], F.lit("pieces-2").alias("tokenizer_version"), F.col("pieces-2").alias("n_tokens"),
+        F.col("words-1").alias("old_n_tokens"), F.lit("words-1").alias("old_tokenizer_version"))
     store.commit(0, before.withColumn("op", F.lit("insert")))
     for _ in range(2):  # the second is a replay
         store.commit(1, copies.withColumn("op", F.lit("delete")))
-    store.commit(2, after.join(kept, "doc_id", "left_semi").join(old, "doc_id").withColumn("op", F.lit("revise")))
+    store.commit(2, revised.withColumn("op", F.lit("revise")))
     store.fold(1)
     store.commit(3, before.withColumn("op", F.lit("insert")))
     return store.totals()

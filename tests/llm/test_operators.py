@@ -422,6 +422,18 @@ def test_rollups_add_up_once(spark, tmp_path):
 
 # Benchmark
 
+def test_rollups_of_null_texts_and_repeated_rows(spark, tmp_path):
+    import duckdb
+
+    rows = [(1, "a b"), (1, "a b"), (2, "a b"), (3, None), (4, None), (5, None), (1, "c! d"), (6, "c! d"), (None, "e"), (7, "")]
+    docs = spark.createDataFrame([(i, t, "s", "en") for i, t in rows], "doc_id long, text string, source string, lang string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    found = {tuple(r) for r in token_rollups.op8_token_counts(spark, str(tmp_path)).collect()}
+    db = duckdb.connect()
+    db.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert found == set(db.execute(token_rollups.OP8_SQL).fetchall())
+
+
 def test_leaks_and_paraphrases(spark, odd, none):
     draw = np.random.default_rng(17)
     word = lambda n=1: [f"{'bcdfgh'[i % 6]}o{i}" for i in draw.integers(0, 3000, n)]
