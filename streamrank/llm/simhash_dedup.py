@@ -16,7 +16,9 @@ own, and a task returns a spanning forest of the links it finds, never all pairs
 fingerprints may differ in a fifth of their bits and no slice of them stays equal for
 sure. There the ring's segments are parts of the shingle set: shingles are dealt by
 hash to more parts than a pair of similar sets may have differences, so one part is
-equal; the fingerprints' chain test and count prune, and exact Jaccard decides.
+equal and, with enough shingles, not empty; the fingerprints' chain test and count
+prune, and exact Jaccard decides. Pairs with a small set meet by an exact prefix filter
+instead, and go to exact Jaccard without the fingerprints.
 """
 
 from __future__ import annotations
@@ -35,9 +37,11 @@ SEGMENTS = 8
 BLOCK = 1024
 #: Shingle hashes that one side of an exact comparison holds.
 BLOCK_HASHES = 400_000
-#: Parts of a shingle set that are indexed. Every one of them for sets of up to
-#: 4 * PARTS shingles; beyond, similar sets miss all of these with a chance below 1e-5.
+#: Parts of a shingle set that are indexed, all of them for sets of up to 63 shingles.
+#: Similar sets miss all of these with a small chance, so smaller sets have prefixes.
 PARTS = 24
+#: Pairs with a set of fewer shingles meet by prefix. The other set has up to a quarter more.
+SMALL = 32
 
 
 def shingle_hashes(text: bytes | None, words: int) -> np.ndarray:
@@ -209,15 +213,24 @@ def part_keys(hashes: np.ndarray) -> np.ndarray:
     return np.concatenate(found) if n else np.zeros(1, np.uint64)
 
 
+def prefix_keys(hashes: np.ndarray) -> np.ndarray:
+    """The least hashes of a set; sets with a Jaccard similarity of 0.8 or more share one."""
+    n = len(hashes)
+    return np.sort(hashes)[:n - int(np.ceil(0.8 * n - 1e-9)) + 1] if n else hashes
+
+
 def _sketched(batch: dict[str, list], words: int) -> Iterable[dict]:
     out: dict[str, list] = {"row_a": batch["row_a"], "row_b": batch["row_b"], "doc_id": batch["doc_id"],
-                            "fp": [], "sig": [], "keys": []}
+                            "fp": [], "sig": [], "keys": [], "prefix": [], "small": []}
     for text in batch["text"]:
         distinct = np.unique(shingle_hashes(text, words))
         # Of the set, as Jaccard is: a line's repeats would outvote the rest of a text.
         out["fp"].append(np.uint64(fingerprint(distinct)).astype(np.int64))
         out["sig"].append(np.uint64(xxhash.xxh64_intdigest(distinct.tobytes(), SEED)).astype(np.int64))
-        out["keys"].append(part_keys(distinct).view(np.int64))
+        both = distinct if len(distinct) <= (SMALL - 1) / 0.8 else distinct[:0]
+        out["keys"].append((part_keys(distinct) if len(distinct) >= SMALL else distinct[:0]).view(np.int64))
+        out["prefix"].append(prefix_keys(both).view(np.int64))
+        out["small"].append(np.sort(both.view(np.int64)))  # as _verified takes them
     yield out
 
 
@@ -286,17 +299,18 @@ def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, bits:
 
     Two texts are linked if the Jaccard similarity of their sets of ``words``-word
     shingles, A-Z in lower case, is ``similarity`` (0.8 at least) or more; texts of
-    fewer words are one shingle, and texts without words are alike. ``bits`` is how
-    far apart the SimHash fingerprints of a candidate pair may be: at a similarity of
-    0.8 they differ in 10 bits on average, and one pair in ten thousand in over 20.
+    fewer words are one shingle, and texts without words are alike. Pairs with a set under
+    ``SMALL`` shingles are all found. ``bits`` is how far apart the SimHash fingerprints of
+    other candidate pairs may be: at a similarity of 0.8 they differ in 10 bits on average,
+    and one or two pairs in ten thousand in over 20.
     A group is the signature of one of its shingle sets.
     """
     if similarity < 0.8:
         raise ValueError("the index is laid out for similarities of 0.8 and more")
     rows = docs.select(*row_keys(), "doc_id", F.col("text").cast("binary").alias("text"))
-    sketch = parked(mapped(rows, "row_a long, row_b long, doc_id long, fp long, sig long, keys array<long>",
-                           _sketched, words), "sketches")
-    classes = sketch.groupBy("sig").agg(F.min(F.struct("row_a", "row_b", "fp", "keys")).alias("first"))
+    sketch = parked(mapped(rows, "row_a long, row_b long, doc_id long, fp long, sig long, keys array<long>, "
+                           "prefix array<long>, small array<long>", _sketched, words), "sketches")
+    classes = sketch.groupBy("sig").agg(F.min(F.struct("row_a", "row_b", "fp", "keys", "prefix", "small")).alias("first"))
     classes = parked(classes.select("sig", "first.*"), "classes")
     keyed = classes.select("sig", "fp", F.explode("keys").alias("key")).distinct()
     met_here = _blocks(keyed, "key", F.struct("sig", "fp"), F.lit(1), BLOCK)
@@ -306,7 +320,10 @@ def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, bits:
     texts = rows.join(wanted, ["row_a", "row_b"]).select("root", "sig", "text").dropDuplicates(["sig"])
     sets = parked(mapped(texts, "root long, sig long, n long, hashes array<long>", _shingled, words), "sets")
     compared = _blocks(sets, "root", F.struct("sig", "hashes"), F.col("n") + 1, BLOCK_HASHES)
-    fine = components(mapped(compared, "a long, b long", _verified, similarity).distinct())
+    short = classes.select("sig", "small", F.explode("prefix").alias("key"))
+    met_short = _blocks(short, "key", F.struct("sig", F.col("small").alias("hashes")), F.size("small") + 1, BLOCK_HASHES)
+    links = [mapped(pairs, "a long, b long", _verified, similarity) for pairs in (compared, met_short)]
+    fine = components(links[0].union(links[1]).distinct())
     return sketch.join(fine.withColumnRenamed("node", "sig"), "sig", "left").select(
         "row_a", "row_b", "doc_id", F.coalesce("root", "sig").alias("group"))
 

@@ -145,6 +145,27 @@ def test_repeated_lines_hide_no_near_duplicate(spark):
     assert ids(kept) == [2 * i for i in range(40)]
 
 
+def test_short_near_duplicates_are_all_found(spark):
+    """One word added at the end of eight leaves 4 of 5 shingles: every such pair is found."""
+    rows = []
+    for i in range(3000):
+        text = " ".join(f"t{i}w{j}" for j in range(8))
+        rows += [(2 * i, text), (2 * i + 1, f"{text} more")]
+    kept = simhash_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert ids(kept) == [2 * i for i in range(3000)]
+
+
+def test_prefixes_of_similar_sets_meet():
+    draw = np.random.default_rng(19)
+    for n in range(1, simhash_dedup.SMALL):
+        for m in range(n, int(n / 0.8 + 1e-9) + 1):
+            shared = next(s for s in range(n + 1) if s >= 0.8 * (n + m - s) - 1e-9)
+            for _ in range(20):
+                pool = draw.permutation(draw.integers(0, 1 << 63, n + m - shared).astype(np.uint64))
+                a, b = np.sort(pool[:n]), np.sort(pool[n - shared:])
+                assert np.intersect1d(simhash_dedup.prefix_keys(a), simhash_dedup.prefix_keys(b)).size
+
+
 def test_one_document_of_a_group_stays(odd, none):
     kept = simhash_dedup.deduplicated(odd)
     assert ids(kept) == [1, 3, 6, 7, 8] and kept.columns == odd.columns
