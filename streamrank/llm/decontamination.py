@@ -10,6 +10,10 @@ Candidates are scored again by the full TF-IDF cosine, and then word by word: th
 longest common subsequence of the item and the document around the passage says how
 much of the item is there in order. Much of it is a leak; a fair part is one if the
 item's answer, its last sentence, is there too.
+
+Items of up to half a passage would be outvoted by the words around them there, so they
+are compared with stretches of about their own length: all that hold enough of an item's
+words are candidates.
 """
 
 from __future__ import annotations
@@ -36,6 +40,8 @@ CHUNK = 1 << 15
 LATENT_COSINE, FULL_COSINE = 0.35, 0.4
 #: Shares of an item's words, in order: a leak, and a leak if the answer is there.
 COPIED, PARAPHRASED, ANSWERED = 0.75, 0.55, 0.8
+#: Words of the longest item that is also compared with stretches of its own length.
+SHORT = 16
 #: Text of the items that are sent to the tasks at once; more take further passes.
 ITEM_BYTES = 128 << 10
 
@@ -276,6 +282,63 @@ class Items:
         return found
 
 
+    def short_lists(self) -> dict[str, np.ndarray]:
+        """The words of the short items, each with the items that have it."""
+        pairs = [(w, i) for i, t in enumerate(self.tokens) if len(t) <= SHORT for w in np.unique(t).tolist()]
+        words, items = np.array(sorted(pairs), np.int64).reshape(-1, 2).T
+        vocabulary, first, count = np.unique(words, return_index=True, return_counts=True)
+        sizes = np.array([len(t) for t in self.tokens])
+        return {"vocabulary": vocabulary.astype(np.uint32), "first": first, "count": count, "items": items,
+                "need": np.ceil(PARAPHRASED * sizes - 1e-9).astype(np.int64), "reach": sizes + (sizes + 1) // 2}
+
+    def short_leaks(self, docs: list[np.ndarray], lists: dict[str, np.ndarray]) -> Iterator[tuple[int, int, tuple]]:
+        """Document, item and what ``leaks`` says of it, for short items.
+
+        A stretch begins at one of the item's words and is half as long again as the
+        item. Its words that the item has are no fewer than their common subsequence, so
+        no stretch that is a leak is left out.
+        """
+        if not len(lists["vocabulary"]):
+            return
+        gap = 2 * SHORT  # no stretch reaches into the next document
+        starts = np.cumsum([0] + [len(d) + gap for d in docs])
+        place = np.concatenate([np.arange(len(d)) + s for d, s in zip(docs, starts)])
+        words = np.concatenate(docs)
+        spot = np.minimum(np.searchsorted(lists["vocabulary"], words), len(lists["vocabulary"]) - 1)
+        hit = lists["vocabulary"][spot] == words
+        place, spot = place[hit], spot[hit]
+        counts = lists["count"][spot]
+        offsets = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        item = lists["items"][np.repeat(lists["first"][spot], counts) + offsets]
+        width = int(starts[-1]) + gap
+        met = np.sort(item * width + np.repeat(place, counts))
+        item = met // width
+        last = np.arange(len(met)) + lists["need"][item] - 1
+        inside = np.minimum(last, len(met) - 1)
+        near = (last < len(met)) & (met[inside] < met + lists["reach"][item])
+        found: dict[tuple[int, int], tuple[float, float, bool]] = {}
+        for i, at in zip(item[near].tolist(), (met[near] % width).tolist()):
+            doc = int(np.searchsorted(starts, at, "right")) - 1
+            best = found.get((doc, i), (0.0, 0.0, False))
+            if best[1] == 1.0 and best[2]:
+                continue
+            at -= int(starts[doc])
+            own, stretch = self.tokens[i], docs[doc][at:at + int(lists["reach"][i])]
+            share = common_length(own, stretch) / len(own)
+            answer = self.answers[i]
+            answered = common_length(answer, stretch) >= ANSWERED * len(answer)
+            if share >= COPIED or share >= PARAPHRASED and answered:
+                cosine = max(self.cosine(own, stretch[:len(own)]), self.cosine(own, stretch))
+                if cosine >= FULL_COSINE:
+                    found[doc, i] = (max(best[0], cosine), max(best[1], share), best[2] or answered)
+        for (doc, i), value in found.items():
+            yield doc, i, value
+
+    def cosine(self, a: np.ndarray, b: np.ndarray) -> float:
+        x, y = (np.bincount((t % FEATURES).astype(np.int64), minlength=FEATURES) * self.idf for t in (a, b))
+        return float(x @ y / (np.linalg.norm(x) * np.linalg.norm(y) + 1e-9))
+
+
 def _runs(tokens: list[np.ndarray]) -> Iterator[list[int]]:
     """The places of documents with words, in runs of about ``CHUNK`` tokens."""
     held, n = [], 0
@@ -291,15 +354,20 @@ def _runs(tokens: list[np.ndarray]) -> Iterator[list[int]]:
 
 
 def _retrieved(batch: dict[str, list], items: Items) -> Iterable[dict]:
-    ready = items.prepared()
+    ready, lists = items.prepared(), items.short_lists()
     out: dict[str, list] = {k: [] for k in ("row_a", "row_b", "doc_id", "item_id", "cosine", "share", "answered")}
     tokens = [np.frombuffer(value, np.uint32) for value in batch["tokens"]]
     for run in _runs(tokens):
         spots: dict[int, dict[int, list[tuple[int, float]]]] = {}
         for doc, start, item, cosine in items.candidates([tokens[i] for i in run], ready):
             spots.setdefault(run[doc], {}).setdefault(item, []).append((start, cosine))
-        for i, hits in spots.items():
-            for item, (cosine, share, answered) in sorted(items.leaks(tokens[i], hits).items()):
+        leaks = {i: items.leaks(tokens[i], hits) for i, hits in spots.items()}
+        for doc, item, (cosine, share, answered) in items.short_leaks([tokens[i] for i in run], lists):
+            mine = leaks.setdefault(run[doc], {})
+            best = mine.get(item, (0.0, 0.0, False))
+            mine[item] = (max(best[0], cosine), max(best[1], share), best[2] or answered)
+        for i, met in leaks.items():
+            for item, (cosine, share, answered) in sorted(met.items()):
                 row = (batch["row_a"][i], batch["row_b"][i], batch["doc_id"][i], items.names[item], cosine, share, answered)
                 for column, v in zip(out, row):
                     out[column].append(v)
@@ -311,7 +379,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text. Null and wordless texts
     match nothing. Repeated documents each have their rows; repeated items count as one,
-    and of items with one id and different texts the smallest text stands for the id.
+    and items with one id, or none, and different texts are searched and reported each.
     Null ids are kept as nulls. Other columns are left out.
     """
     spark = docs.sparkSession
@@ -319,12 +387,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     idf = inverse_frequencies(tokens)
     basis = latent_basis(tokens, idf)
     kind = "row_a long, row_b long, doc_id long, item_id long, cosine double, share double, answered boolean"
-    wanted = benchmark.where("text is not null").groupBy("item_id").agg(F.min("text").alias("text"))
+    wanted = benchmark.where("text is not null").select("item_id", "text").distinct()
     size = wanted.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // ITEM_BYTES))
     found = spark.createDataFrame([], kind)
     for block in range(blocks):
-        rows = wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id").collect()
+        rows = wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
         rows = [r for r in rows if len(tokens_of(r["text"]))]
         if rows:
             items = Items([r["item_id"] for r in rows], [tokens_of(r["text"]) for r in rows],

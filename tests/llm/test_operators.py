@@ -475,6 +475,23 @@ def test_leaks_and_paraphrases(spark, odd, none):
     assert decontamination.find_leaks(none, benchmark).count() == 0
 
 
+def test_short_items_and_shared_ids(spark):
+    """Verbatim items of few words amid others, common ones included; ids repeated or missing."""
+    draw = np.random.default_rng(23)
+    items, docs, expected = [], [], set()
+    for i in range(60):
+        size = (5, 6, 8, 10)[i % 4]
+        item = " ".join(f"z{min(int(draw.zipf(1.3)), 5000)}q{i if j % 2 else ''}" for j in range(size))
+        around = [f"z{min(int(draw.zipf(1.3)), 5000)}q" for _ in range(120)]
+        at = int(draw.integers(121))
+        docs.append((i, " ".join([*around[:at], item, *around[at:]])))
+        items.append((None if i % 3 == 0 else 7 if i % 3 == 1 else i, item))
+        expected.add((i, items[-1][0]))
+    found = decontamination.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                                       spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.where("share = 1").collect()} >= expected
+
+
 def test_common_subsequences():
     draw = np.random.default_rng(19)
     for _ in range(50):
