@@ -1,7 +1,8 @@
 """Document quality by the votes of the most similar labelled documents.
 
-Terms are a text's runs of one to three character classes, so that symbols, shouting,
-tables and the like show whatever the language, and how often words repeat. TF-IDF
+Terms are a text's words and its runs of three and four letters, both hashed, so that
+wording shows; its runs of one to three character classes, so that symbols, shouting,
+tables and the like show whatever the language; and how often words repeat. TF-IDF
 vectors, with document frequencies over all documents, are projected on the leading
 singular vectors of the labelled ones. The labelled latent-semantic vectors, a bounded
 number, go to every task, which computes the exact cosines of its documents with all
@@ -18,10 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import is_held_out, mapped, table
+from .decontamination import tokens_of
 
 #: Labelled documents that vote, drawn by the hash of their id.
 MAX_LABELLED = 4096
-RANK = 32
+RANK = 64
 NEIGHBOURS = 15
 #: A neighbour's vote counts as its cosine to this power.
 SHARPNESS = 8
@@ -38,7 +40,14 @@ _CLASS_OF = {
     _SYMBOL: "*#$%&@~^+=<>{}[]\\_/`",
 }
 TERMS = CLASSES + CLASSES ** 2 + CLASSES ** 3
-WIDTH = TERMS + 2
+#: Places that words and runs of letters are hashed to, and their length beside the other terms.
+WORDS, GRAMS = 1 << 12, 1 << 11
+WORD_SHARE, GRAM_SHARE = 0.7, 0.3
+#: The places of a vector: character classes, words, runs of letters, and two shares.
+COUNTED = TERMS + WORDS + GRAMS
+WIDTH = COUNTED + 2
+#: Directions beyond ``RANK`` and rounds of the randomised decomposition.
+SPARE, ROUNDS = 16, 6
 
 
 def _byte_classes() -> bytes:
@@ -71,12 +80,40 @@ def counts_of(text: str | None) -> tuple[np.ndarray, float, float]:
     return counts, again, max(0.0, repeated - 0.3 * min(1.0, float(np.log10(n)) / 3))
 
 
+def wording_of(text: str | None) -> np.ndarray:
+    """Counts of the hashed words, then of the hashed runs of three and four bytes, in lower case."""
+    words = np.bincount(tokens_of(text) & np.uint32(WORDS - 1), minlength=WORDS)
+    x = np.frombuffer((text or "").lower().encode(), np.uint8).astype(np.uint32)
+    grams = []
+    for n in (3, 4):
+        runs = np.full(max(0, len(x) - n + 1), n, np.uint32)
+        for i in range(n if len(runs) else 0):
+            runs = runs * np.uint32(0x01000193) ^ x[i:i + len(runs)]
+        grams.append((runs * np.uint32(0x9E3779B1)) >> np.uint32(21))
+    return np.concatenate([words, np.bincount(np.concatenate(grams), minlength=GRAMS)])
+
+
+def unit(values: np.ndarray) -> np.ndarray:
+    return values / (np.linalg.norm(values) + 1e-9)
+
+
 def vector_of(text: str | None, idf: np.ndarray) -> np.ndarray:
     counts, again, repeated = counts_of(text)
-    made = np.empty(WIDTH, np.float32)
-    made[:TERMS] = np.sqrt(counts / max(1, counts.sum())) * idf
-    made[TERMS:] = 2 * np.sqrt(again), 2 * repeated
-    return made / (np.linalg.norm(made) + 1e-9)
+    form = np.sqrt(counts / max(1, counts.sum())) * idf[:TERMS]
+    form = unit(np.append(form, (2 * np.sqrt(again), 2 * repeated)))
+    wording = np.sqrt(wording_of(text)) * idf[TERMS:]
+    made = np.concatenate([form[:TERMS], WORD_SHARE * unit(wording[:WORDS]), GRAM_SHARE * unit(wording[WORDS:]), form[TERMS:]])
+    return unit(made.astype(np.float32))
+
+
+def leading(made: np.ndarray) -> np.ndarray:
+    """The leading right singular vectors of ``made``, by a randomised subspace iteration."""
+    basis = np.random.default_rng(1).normal(size=(WIDTH, RANK + SPARE)).astype(np.float32)
+    for _ in range(ROUNDS):
+        basis = np.linalg.qr(made.T @ (made @ basis))[0]
+    turned = made @ basis
+    values = np.linalg.eigh((turned.T @ turned).astype(float))[1][:, ::-1][:, :RANK]
+    return (basis @ values).astype(np.float32)
 
 
 @dataclass(frozen=True)
@@ -107,16 +144,22 @@ class QualityModel:
 
 
 def _frequencies(batch: dict[str, list]) -> Iterable[dict]:
-    seen = np.zeros(TERMS, np.int64)
+    seen = np.zeros(COUNTED, np.int64)
     for text in batch["text"]:
-        seen += counts_of(text)[0] > 0
+        seen[:TERMS] += counts_of(text)[0] > 0
+        seen[TERMS:] += wording_of(text) > 0
     terms = np.nonzero(seen)[0]
     yield {"term": [-1, *terms], "n": [len(batch["text"]), *seen[terms]]}
 
 
 def _labelled(batch: dict[str, list], idf: np.ndarray) -> Iterable[dict]:
+    places, values = [], []  # without zeros, which the driver need not hold twice
+    for text in batch["text"]:
+        vector = vector_of(text, idf)
+        places.append(np.nonzero(vector)[0].astype(np.uint16))
+        values.append(vector[places[-1]])
     yield {"doc_id": batch["doc_id"], "quality": batch["quality"],
-           "vector": [vector_of(t, idf).tobytes() for t in batch["text"]]}
+           "places": [p.tobytes() for p in places], "vector": [v.tobytes() for v in values]}
 
 
 def train_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> QualityModel:
@@ -128,15 +171,17 @@ def train_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LA
     """
     frequencies = mapped(docs.select("text"), "term int, n long", _frequencies).groupBy("term").agg(F.sum("n").alias("n"))
     df = {r["term"]: r["n"] for r in frequencies.collect()}  # no more rows than there are terms
-    seen = np.array([df.get(t, 0) for t in range(TERMS)], float)
+    seen = np.array([df.get(t, 0) for t in range(COUNTED)], float)
     idf = (np.log((1 + df.get(-1, 0)) / (1 + seen)) + 0.2).astype(np.float32)
     drawn = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.avg("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     texts = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").groupBy("doc_id").agg(
         F.min("text").alias("text"), F.min("quality").alias("quality"))  # an id may be repeated
-    rows = mapped(texts, "doc_id long, quality double, vector binary", _labelled, idf).orderBy("doc_id").collect()
-    made = np.frombuffer(b"".join(r["vector"] for r in rows), np.float32).reshape(-1, WIDTH)
-    basis = np.linalg.eigh((made.T @ made).astype(float))[1][:, ::-1][:, :RANK].astype(np.float32)
+    rows = mapped(texts, "doc_id long, quality double, places binary, vector binary", _labelled, idf).orderBy("doc_id").collect()
+    made = np.zeros((len(rows), WIDTH), np.float32)
+    for vector, row in zip(made, rows):
+        vector[np.frombuffer(row["places"], np.uint16)] = np.frombuffer(row["vector"], np.float32)
+    basis = leading(made)
     latent = made @ basis
     latent /= np.linalg.norm(latent, axis=1, keepdims=True) + 1e-9
     return QualityModel(idf, basis, latent, np.array([r["quality"] for r in rows], float))

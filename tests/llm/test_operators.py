@@ -404,6 +404,22 @@ def test_quality_learns_what_is_marked(spark):
     assert np.mean([(r.score >= 0.3) == (r.quality == 1) for r in scored]) > 0.97
 
 
+def test_quality_learns_wording(spark):
+    """Bad and good texts of the same form, letters and length: only some of their words differ."""
+    draw = np.random.default_rng(29)
+    names = ["".join(draw.choice(list("abcdefghij"), 6)) for _ in range(620)]
+    rows = []
+    for i in range(1000):
+        words = [names[j] for j in draw.integers(20, 600, 60)]
+        for at in draw.choice(60, 12, replace=False):
+            words[at] = names[draw.integers(20) if i % 2 else 600 + draw.integers(20)]
+        rows.append((i, " ".join(words).capitalize() + ".", i % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = quality_classifier.train_quality(docs, docs.where("doc_id < 600"))
+    scores = {r.doc_id: r.score for r in quality_classifier.score_quality(docs, model).collect()}
+    assert np.mean([(scores[i] >= 0.5) == bool(i % 2) for i in range(600, 1000)]) > 0.95
+
+
 def test_quality_of_odd_documents(spark, odd, none):
     labels = spark.createDataFrame(
         [(1, 1, 0), (1, 0, 0), (2, None, 0), (6, 1, 1), (None, 0, 0), (99, 0, 0)], "doc_id long, quality int, toxic int")
