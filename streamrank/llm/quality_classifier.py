@@ -106,14 +106,28 @@ def vector_of(text: str | None, idf: np.ndarray) -> np.ndarray:
     return unit(made.astype(np.float32))
 
 
-def leading(made: np.ndarray) -> np.ndarray:
-    """The leading right singular vectors of ``made``, by a randomised subspace iteration."""
-    basis = np.random.default_rng(1).normal(size=(WIDTH, RANK + SPARE)).astype(np.float32)
+def dense(rows: list) -> Iterator[np.ndarray]:
+    """The collected vectors in blocks, so that the driver never holds all their zeros."""
+    for i in range(0, len(rows), BLOCK):
+        made = np.zeros((len(rows[i:i + BLOCK]), WIDTH), np.float32)
+        for vector, row in zip(made, rows[i:i + BLOCK]):
+            vector[np.frombuffer(row["places"], np.uint16)] = np.frombuffer(row["vector"], np.float32)
+        yield made
+
+
+def leading(rows: list) -> np.ndarray:
+    """The leading right singular vectors of the collected vectors, by a randomised subspace iteration."""
+    basis = np.random.default_rng(1).standard_normal((WIDTH, RANK + SPARE), np.float32)
     for _ in range(ROUNDS):
-        basis = np.linalg.qr(made.T @ (made @ basis))[0]
-    turned = made @ basis
-    values = np.linalg.eigh((turned.T @ turned).astype(float))[1][:, ::-1][:, :RANK]
-    return (basis @ values).astype(np.float32)
+        total = np.zeros_like(basis)
+        for made in dense(rows):
+            total += made.T @ (made @ basis)
+        basis = np.linalg.qr(total)[0]
+    gram = np.zeros((RANK + SPARE, RANK + SPARE))
+    for made in dense(rows):
+        turned = made @ basis
+        gram += turned.T @ turned
+    return (basis @ np.linalg.eigh(gram)[1][:, ::-1][:, :RANK]).astype(np.float32)
 
 
 @dataclass(frozen=True)
@@ -178,11 +192,8 @@ def train_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LA
     texts = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").groupBy("doc_id").agg(
         F.min("text").alias("text"), F.min("quality").alias("quality"))  # an id may be repeated
     rows = mapped(texts, "doc_id long, quality double, places binary, vector binary", _labelled, idf).orderBy("doc_id").collect()
-    made = np.zeros((len(rows), WIDTH), np.float32)
-    for vector, row in zip(made, rows):
-        vector[np.frombuffer(row["places"], np.uint16)] = np.frombuffer(row["vector"], np.float32)
-    basis = leading(made)
-    latent = made @ basis
+    basis = leading(rows)
+    latent = np.concatenate([np.zeros((0, RANK), np.float32), *(made @ basis for made in dense(rows))])
     latent /= np.linalg.norm(latent, axis=1, keepdims=True) + 1e-9
     return QualityModel(idf, basis, latent, np.array([r["quality"] for r in rows], float))
 
