@@ -2,6 +2,7 @@
 
 from .decontamination import op9_decontaminate
 from .html_text import op4_html
+from .importance_resampling import op13_resample
 from .language_id import op10_language
 from .quality_classifier import op7_quality
 from .simhash_dedup import op1_simhash
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_decontaminate": op9_decontaminate,
     "op10_language": op10_language,
+    "op13_resample": op13_resample,
 }
 
 ORACLES = {
