@@ -8,6 +8,7 @@ from .quality_classifier import op7_quality
 from .simhash_dedup import op1_simhash
 from .source_mixing import OP2_SQL, op2_mix
 from .substring_dedup import op6_substrings
+from .token_alignment import op11_align
 from .token_output import op5_token_ids
 from .token_rollups import OP8_SQL, op8_token_counts
 from .vector_search import op3_neighbours
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_decontaminate": op9_decontaminate,
     "op10_language": op10_language,
+    "op11_align": op11_align,
     "op13_resample": op13_resample,
 }
 
