@@ -5,6 +5,7 @@ from .html_text import op4_html
 from .importance_resampling import op13_resample
 from .language_id import op10_language
 from .quality_classifier import op7_quality
+from .secret_scan import op12_secrets
 from .simhash_dedup import op1_simhash
 from .source_mixing import OP2_SQL, op2_mix
 from .substring_dedup import op6_substrings
@@ -25,6 +26,7 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_language": op10_language,
     "op11_align": op11_align,
+    "op12_secrets": op12_secrets,
     "op13_resample": op13_resample,
 }
 
