@@ -27,7 +27,7 @@ from .sinks.landing import dated, land_stream
 from .sinks.topics import keyed_text, sink_options, write_topic
 from .sources.avro import avro_values
 from .sources.topics import earliest, topic_stream, typed
-from .streaming.live import live_sessions, live_top_pages
+from .streaming.keyed import heartbeat, live_hopping_count, live_session_changes
 from .streaming.run import Handler, run, watermarked
 from .streaming.snapshot import periodic_snapshot
 
@@ -36,16 +36,14 @@ Step = Callable[[DataFrame], DataFrame]
 
 @dataclass(frozen=True)
 class Job:
-    """``final_only`` jobs report a window once, when it has closed; the others
-    report every change. A ``handler`` works on each micro-batch of results with a
-    folder of its own, before they are encoded."""
+    """Jobs that are not ``final_only`` report every change. Those that are report a window
+    once, when it has closed, unless their state handlers pass changes on themselves."""
 
     decode: Step
     result: Step
     encode: Step
     final_only: bool = False
     late: str | None = "1 day"
-    handler: Callable[[str, Handler], Handler] | None = None
 
 
 def text_values(records: DataFrame) -> DataFrame:
@@ -59,7 +57,7 @@ def keyed_values(value: str) -> Step:
 
 def jobs(
     late: str = "1 day", width: str | None = None, advance: str = "1 minute", gap: str = "30 minutes",
-    marker: str = "ARTICLE", n: int = top_pages.TOP_N, schema_id: int | None = None,
+    marker: str = "ARTICLE", n: int = top_pages.TOP_N, schema_id: int | None = None, idle: str = "1 hour",
 ) -> dict[str, Job]:
     """The jobs by name, with their parameters; ``width`` is a job's own by default."""
     wide = {"width": width} if width else {}
@@ -77,8 +75,8 @@ def jobs(
             final_only=True, late=late,
         ),
         "top-pages-live": Job(
-            page_views, page_counts, top_pages.as_topic_records, late=late,
-            handler=lambda folder, send: live_top_pages(folder, send, n),
+            page_views, lambda views: top_pages.live_top_pages(views, marker, n, late=late, **wide),
+            top_pages.as_topic_records, final_only=True, late=None,
         ),
         "rank-events": Job(
             text_values, lambda rows: rank_events.rank_counts(rows, **wide), rank_events.as_topic_records, late=late),
@@ -93,10 +91,20 @@ def jobs(
             labelled_counts.as_topic_records, final_only=True, late=late,
         ),
         "play-sessions-live": Job(
-            keyed_values("bytes"), lambda rows: rows.select("key", "timestamp"), labelled_counts.changes_as_topic_records,
-            final_only=True, late=None, handler=lambda folder, send: live_sessions(folder, send, gap=gap),
+            keyed_values("bytes"), lambda rows: live_session_changes(rows, gap=gap, late=late),
+            labelled_counts.changes_as_topic_records, final_only=True, late=None,
+        ),
+        "hot-words-live": Job(
+            keyed_values("long"),
+            lambda rows: labelled_counts.labelled(
+                live_hopping_count(rows, "key", width or "5 minutes", advance, late), "key"),
+            labelled_counts.as_topic_records, final_only=True, late=None,
         ),
         "word-count": Job(text_values, word_count.word_count, word_count.as_topic_records, late=None),
+        "heartbeat": Job(
+            keyed_values("string"), lambda rows: heartbeat(rows, "key", width or "1 second", idle, late),
+            lambda reports: keyed_text(reports, F.col("key"), F.col("value")), final_only=True, late=None,
+        ),
         "snapshots": Job(
             keyed_values("string"),
             lambda rows: periodic_snapshot(rows, "key", **({"every": width} if width else {})),
@@ -118,21 +126,14 @@ def start_job(
     checkpoint: str,
     every: str | None = "10 seconds",
 ) -> StreamingQuery:
-    """Run a job over a stream of topic records, passing encoded results to ``write``.
-
-    What a job keeps beside Spark's state lies under the checkpoint too, so both
-    are reset together.
-    """
+    """Run a job over a stream of topic records, passing encoded results to ``write``."""
     rows = job.decode(records)
     result = job.result(watermarked(rows, job.late) if job.late else rows)
 
     def send(batch: DataFrame, batch_id: int) -> None:
         write(job.encode(batch), batch_id)
 
-    return run(
-        result, job.handler(f"{checkpoint.rstrip('/')}/kept", send) if job.handler else send,
-        name=name, checkpoint=checkpoint, final_only=job.final_only, every=every,
-    )
+    return run(result, send, name=name, checkpoint=checkpoint, final_only=job.final_only, every=every)
 
 
 def start_landing(
@@ -184,6 +185,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--width", help="width of windows, or time between snapshots; each job has its own")
     parser.add_argument("--advance", default="1 minute", help="time between overlapping windows")
     parser.add_argument("--gap", default="30 minutes", help="silence that ends a session")
+    parser.add_argument("--idle", default="1 hour", help="silence after which heartbeat forgets a key")
     parser.add_argument("--marker", default="ARTICLE", help="text in the flags of page views that count")
     parser.add_argument("--n", type=int, default=top_pages.TOP_N, help="length of top lists")
     parser.add_argument("--max-offsets", type=int, help="most records of a micro-batch; no limit by default")
@@ -212,7 +214,8 @@ def main(argv: list[str] | None = None) -> None:
             every=given.every or "2 seconds")
     else:
         job = jobs(
-            given.late, given.width, given.advance, given.gap, given.marker, given.n, given.schema_id)[given.job]
+            given.late, given.width, given.advance, given.gap, given.marker, given.n, given.schema_id,
+            given.idle)[given.job]
         write = to_topic(given.target, given.servers) if given.target else to_console(given.rows)
         query = start_job(
             job, records, write, name=given.job, checkpoint=given.checkpoint, every=given.every or "10 seconds")

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.labels import lines_of
 from ..operators.filters import flagged_views
 from ..operators.projections import rekey_views
 from ..operators.ranking import listed, top_n
 from ..operators.windows import tumbling_count
 from ..sinks.topics import windowed_text
+from ..streaming.keyed import live_top
 from ..streaming.run import Handler, to_batches
 
 GROUP = ("industry", "window")
@@ -37,6 +39,19 @@ def top_pages(counts: DataFrame, n: int = TOP_N) -> DataFrame:
     return listed(top_n(counts, GROUP, most_viewed(), n), GROUP, "page", "pages")
 
 
+def live_top_pages(
+    views: DataFrame, marker: str = "ARTICLE", n: int = TOP_N, width: str = "1 hour", late: str = "1 day",
+    ts: str = "timestamp",
+) -> DataFrame:
+    """``pages`` of the industries and open windows that a micro-batch of a stream changes.
+
+    Views without a page or an industry do not count.
+    """
+    kept = rekey_views(flagged_views(views, marker), ts)
+    lists = live_top(kept, "industry", "page", n, width, late, ts)
+    return lists.select(*GROUP, lines_of(F.col("items")).alias("pages"))
+
+
 def store_top_pages(path: str, n: int = TOP_N) -> Handler:
     """Handler for a stream of final page counts."""
     return to_batches(path, lambda counts: top_pages(counts, n))

@@ -145,6 +145,27 @@ SNAPSHOT_REPORTS = """
     select event_type as "key", epoch_ms(second) + 1000 as tick_ms,
         (sum(n) over (partition by event_type order by second))::bigint::varchar as value
     from (select event_type, date_trunc('second', ts) as second, count(*) as n from events group by all)"""
+HEARTBEATS = """
+    with slots as (
+        select user_id, epoch_ms(time_bucket(interval '1 hour', ts)) + 3600000 as tick, count(*) as n
+        from events group by all),
+    lives as (
+        select *, sum(opens) over (partition by user_id order by tick) as life
+        from (select *, case when tick - lag(tick) over (partition by user_id order by tick) <= 21600000
+                  then 0 else 1 end as opens from slots)),
+    ticks as (
+        select user_id, life, unnest(range(min(tick), max(tick) + 21600001, 3600000)) as tick_ms
+        from lives group by user_id, life)
+    select t.user_id::varchar as "key", t.tick_ms, sum(l.n)::bigint::varchar as value
+    from ticks t join lives l on l.user_id = t.user_id and l.life = t.life and l.tick <= t.tick_ms
+    group by t.user_id, t.life, t.tick_ms"""
+REGROUPED = """
+    select grp, string_agg(item, ',' order by n desc, item) as users,
+        string_agg(n::varchar, ',' order by n desc, item) as amounts
+    from (select *, row_number() over (partition by grp order by n desc, item) as place
+          from (select user_id::varchar as item, arg_max(event_type, (ts, event_id)) as grp, count(*) as n
+                from events group by user_id))
+    where place <= 20 group by grp"""
 WORD_COUNT = f'select word, count(*) as "count" from ({WORDS}) group by word'
 
 ORACLES = {
@@ -219,5 +240,8 @@ ORACLES = {
     "stream_state_snapshot": SNAPSHOT_REPORTS,
     "stream_top_pages_live": TOP_PAGES,
     "stream_sessions_live": SESSIONS,
+    "stream_hopping_live": HOPPING,
+    "stream_heartbeat": HEARTBEATS,
+    "stream_regrouped_lists": REGROUPED,
     "stream_rank_table": RANK_TABLE.format(update_date=f"{UPDATE_DATE}::bigint"),
 }

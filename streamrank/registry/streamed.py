@@ -18,7 +18,9 @@ from ..sinks.rank_table import read_rank_table
 from ..sources import tables
 from ..streaming import run as streaming
 from ..streaming.latest import latest
-from ..streaming.live import current_sessions, live_sessions, live_top_pages
+from ..streaming.keyed import (
+    current_sessions, heartbeat, live_hopping_count, live_lists, live_session_changes, table_changes,
+)
 from ..streaming.snapshot import periodic_snapshot
 from .batch import MARKER, UPDATE_DATE, bounds
 
@@ -117,37 +119,70 @@ def stream_snapshot(spark, sf_dir):
     return read_batches(spark, path).drop("batch_id")
 
 
-def in_parts(spark: SparkSession, sf_dir: str, name: str, columns: list[str], parts: int = 4) -> tuple[str, str]:
-    """The events in files that follow each other in time, for a stream of several micro-batches."""
-    path = shared_dir(spark, name)
-    rows = pin_utc(spark).read.parquet(f"{sf_dir}/events.parquet").select(*columns)
-    ends = F.lit(31 // parts + 1)
-    for part in range(parts):
-        at = F.floor((F.dayofmonth("ts") - 1) / ends)
-        rows.where(at == part if part < parts - 1 else at >= part).coalesce(1).write.mode("append").parquet(path)
-    return path, rows.schema.simpleString()[7:-1].replace(":", " ")
+def in_parts(
+    spark: SparkSession, sf_dir: str, name: str, job: Callable[[DataFrame], DataFrame], parts: int = 4,
+) -> DataFrame:
+    """All that ``job`` has passed on, with its ``batch_id``, while the events came part by part.
+
+    Each part follows the one before it in time. The query stops when it has caught up
+    and starts again from its checkpoint for the next one; the last part is an event
+    that closes every window.
+    """
+    rows = pin_utc(spark).read.parquet(f"{sf_dir}/events.parquet")
+    source, path = shared_dir(spark, f"{name}-source"), shared_dir(spark, name)
+    session, checkpoint = session_for(spark), streaming.fresh_checkpoint(spark, name)
+    at = F.floor((F.dayofmonth("ts") - 1) / F.lit(31 // parts + 1))
+    given = [rows.where(at == part if part < parts - 1 else at >= part) for part in range(parts)]
+    for part in [*given, spark.read.parquet(streaming.closing_event(spark, "2200-01-01"))]:
+        part.select(*rows.columns).write.mode("append").parquet(source)
+        stream = tables.with_event_time(session.readStream.schema(tables.EVENTS_DDL).parquet(source))
+        streaming.run(
+            job(stream), streaming.to_batches(path), name=name, checkpoint=checkpoint, final_only=True, every=None,
+        ).awaitTermination()
+    return read_batches(spark, path)
 
 
 def stream_top_pages_live(spark, sf_dir):
     """Lists of open hours after every micro-batch; the last one of each is its final list."""
-    source, ddl = in_parts(spark, sf_dir, "live-views", ["event_id", "ts", "user_id", "event_type", "value", "props"])
-    session, path = session_for(spark), shared_dir(spark, "live-pages")
-    stream = session.readStream.schema(ddl).option("maxFilesPerTrigger", 1).parquet(source)
-    views = tables.as_page_views(streaming.watermarked(tables.with_event_time(stream), DELAY))
-    handler = live_top_pages(f"{path}/kept", streaming.to_batches(f"{path}/lists"))
-    finish(spark, top_pages.page_counts(views, MARKER), handler, "live-pages", final_only=False)
-    return bounds(latest(read_batches(spark, f"{path}/lists"), top_pages.GROUP))
+    lists = in_parts(
+        spark, sf_dir, "live-pages", lambda events: top_pages.live_top_pages(tables.as_page_views(events.where("user_id >= 0")), MARKER))
+    return bounds(latest(lists, top_pages.GROUP))
 
 
 def stream_sessions_live(spark, sf_dir):
     """Every change of a session over several micro-batches; what stands at the end."""
-    source, ddl = in_parts(spark, sf_dir, "live-plays", ["user_id", "ts"])
-    session, path = session_for(spark), shared_dir(spark, "live-sessions")
-    stream = session.readStream.schema(ddl).option("maxFilesPerTrigger", 1).parquet(source)
-    handler = live_sessions(f"{path}/kept", streaming.to_batches(f"{path}/changes"), key="user_id")
-    finish(spark, tables.with_event_time(stream), handler, "live-sessions", final_only=True)
-    standing = current_sessions(read_batches(spark, f"{path}/changes"), ["user_id"])
-    return labelled_counts.labelled(standing, "user_id")
+    changes = in_parts(spark, sf_dir, "live-sessions", lambda events: live_session_changes(events, "user_id"))
+    return labelled_counts.labelled(current_sessions(changes.where("user_id >= 0"), ["user_id"]), "user_id")
+
+
+def stream_hopping_live(spark, sf_dir):
+    """Every change of an overlapping window; the last count of each."""
+    changes = in_parts(
+        spark, sf_dir, "live-hopping",
+        lambda events: live_hopping_count(events.where("user_id >= 0"), "event_type", "5 minutes", "1 minute"))
+    return labelled_counts.labelled(latest(changes, ["event_type", "window"]), "event_type")
+
+
+def stream_heartbeat(spark, sf_dir):
+    """The total of every live user at every hour, until six hours after the last event."""
+    reports = in_parts(
+        spark, sf_dir, "heartbeat", lambda events: heartbeat(events, "user_id", "1 hour", "6 hours"))
+    return reports.where("key <> '-1'").select("key", "tick_ms", "value")
+
+
+def stream_regrouped_lists(spark, sf_dir):
+    """Users by the type of their newest event, the busiest 20 of each; users change their group."""
+    def job(events: DataFrame) -> DataFrame:
+        updates = events.where("user_id >= 0").select(
+            "user_id", F.unix_micros("timestamp").alias("at"), F.col("event_id").alias("tie"),
+            F.col("event_type").alias("grp"), F.lit(1).cast("long").alias("amount"))
+        changes = table_changes(updates, "user_id").withColumn("slot", F.lit(0).cast("long"))
+        return live_lists(changes, 20)
+
+    lists = latest(in_parts(spark, sf_dir, "regrouped-lists", job), ["grp"])
+    return lists.select(
+        "grp", F.array_join("items", ",").alias("users"),
+        F.array_join(F.transform("amounts", lambda a: a.cast("string")), ",").alias("amounts"))
 
 
 def stream_changes(spark, sf_dir):
@@ -195,4 +230,7 @@ STREAMED = {
     "stream_rank_table": stream_rank_table,
     "stream_top_pages_live": stream_top_pages_live,
     "stream_sessions_live": stream_sessions_live,
+    "stream_hopping_live": stream_hopping_live,
+    "stream_heartbeat": stream_heartbeat,
+    "stream_regrouped_lists": stream_regrouped_lists,
 }

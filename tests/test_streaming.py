@@ -21,7 +21,9 @@ from streamrank.sinks.rank_table import read_rank_table
 from streamrank.streaming.latest import latest
 from streamrank.streaming.run import fresh_checkpoint, run, to_batches, watermarked, table_stream
 from streamrank.functions.labels import window_label
-from streamrank.streaming.live import current_sessions, live_sessions
+from streamrank.streaming.keyed import (
+    Heartbeat, current_sessions, heartbeat, live_hopping_count, live_lists, live_session_changes, live_top,
+)
 from streamrank.streaming.snapshot import PeriodicSnapshot, periodic_snapshot
 from test_windows import PLAYS, SESSIONS
 
@@ -231,9 +233,8 @@ def test_live_sessions_change_by_change(spark, session, tmp_path):
     for key, ms in PLAYS:
         feed.send((key, at(ms)))
     path = str(tmp_path / "out")
-    handler = live_sessions(f"{path}/kept", to_batches(f"{path}/changes"))
-    play(feed.stream(session), handler, tmp_path / "cp")
-    changes = read_batches(spark, f"{path}/changes")
+    play(live_session_changes(feed.stream(session)), to_batches(path), tmp_path / "cp")
+    changes = read_batches(spark, path)
     label = window_label(F.col("key"), F.col("window.start"), F.col("window.end"))
     found = {}
     for row in changes.select("batch_id", label.alias("label"), "count", "replaced").collect():
@@ -251,6 +252,87 @@ def test_live_sessions_change_by_change(spark, session, tmp_path):
     assert dict(rows_of(standing.select(label, "count"))) == SESSIONS
 
 
+def test_lists_under_signed_changes(spark, session, tmp_path):
+    """Items that shrink or leave make room for others; a group may lose all of them."""
+    feed = Feed(tmp_path / "in", "grp string, slot long, item string, delta long")
+    feed.send(*(("g", 0, f"i{i}", 10 + i) for i in range(40)), ("h", 0, "only", 1))
+    feed.send(("g", 0, "i39", -45), ("g", 0, "i38", -48), ("h", 0, "only", -1))
+    feed.send(("g", 0, "i0", 90), ("g", 0, "i37", 3), ("g", 0, "i1", 0))
+    path = str(tmp_path / "out")
+    play(live_lists(feed.stream(session), 3), to_batches(path), tmp_path / "cp")
+    found = {(r.batch_id, r.grp): list(zip(r["items"], r.amounts)) for r in read_batches(spark, path).collect()}
+    assert found == {
+        (0, "g"): [("i39", 49), ("i38", 48), ("i37", 47)], (0, "h"): [("only", 1)],
+        (1, "g"): [("i37", 47), ("i36", 46), ("i35", 45)], (1, "h"): [],
+        (2, "g"): [("i0", 100), ("i37", 50), ("i36", 46)],
+    }
+
+
+def test_closed_windows_leave_the_state(spark, session, tmp_path):
+    """A row for a window that the watermark has passed finds no state, and is dropped as late."""
+    feed = Feed(tmp_path / "in", "page string, industry string, timestamp timestamp")
+    feed.send(("p", "i", clock("10:10:00")), ("q", "i", clock("10:20:00")), (None, "i", clock("10:20:00")))
+    feed.send(("p", "i", clock("10:30:00")), ("p", "i", clock("11:10:00")))
+    feed.send(("r", "i", clock("14:00:00")))
+    feed.send(("q", "i", clock("10:40:00")), ("s", "i", clock("14:10:00")), ("s", "i", clock("14:11:00")))
+    path, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    play(live_top(feed.stream(session), "industry", "page", 2, "1 hour", "10 minutes"), to_batches(path), checkpoint)
+    lists = read_batches(spark, path).select("batch_id", F.date_format("window.start", "HH").alias("h"), "items", "amounts")
+    assert sorted((r.batch_id, r.h, r["items"], r.amounts) for r in lists.collect()) == [
+        (0, "10", ["p", "q"], [1, 1]), (1, "10", ["p", "q"], [2, 1]), (1, "11", ["p"], [1]),
+        (2, "14", ["r"], [1]), (3, "14", ["s", "r"], [2, 1])]
+    state = spark.read.format("statestore").option("stateVarName", "amounts").option("operatorId", 1)
+    kept = state.option("path", checkpoint).load()
+    assert {r.key.slot for r in kept.select("key").distinct().collect()} == {clock("14:00:00").timestamp() * 1_000_000}
+
+
+def test_hot_keys_reach_the_state_as_slots(spark, session, tmp_path):
+    """State handlers get a row per key, slot and task, not one per event."""
+    feed = Feed(tmp_path / "in")
+    feed.send(*(("a", at(i)) for i in range(5_000)))
+    path = str(tmp_path / "out")
+    query = run(live_hopping_count(feed.stream(session), "key", "5 minutes", "1 minute"), to_batches(path),
+                name="hot", checkpoint=str(tmp_path / "cp"), final_only=True, every=None)
+    query.awaitTermination()
+    assert {r["count"] for r in read_batches(spark, path).collect()} == {5_000}
+    assert read_batches(spark, path).count() == 5
+    seen = query.recentProgress[0]["stateOperators"][0]
+    assert seen["numRowsUpdated"] < 20
+    with pytest.raises(ValueError, match="divide"):
+        live_hopping_count(feed.stream(session), "key", "5 minutes", "2 minutes")
+
+
+def test_live_keys_report_at_every_tick_until_they_expire(spark, session, tmp_path):
+    feed = Feed(tmp_path / "in")
+    feed.send(("a", at(10_100)), ("a", at(10_900)), ("b", at(14_500)))
+    feed.send(("a", at(11_900)), ("b", at(16_000)))
+    feed.send(("b", at(20_000)), ("a", at(19_200)))
+    feed.send(("end", at(60_000)))
+    path = str(tmp_path / "out")
+    play(heartbeat(feed.stream(session), "key", "1 second", "3 seconds", "5 seconds"), to_batches(path), tmp_path / "cp")
+    reports = read_batches(spark, path).where("key <> 'end'").select("key", "tick_ms", "value")
+    assert rows_of(reports) == sorted(
+        [("a", t, v) for t, v in ((11_000, "2"), (12_000, "3"), (13_000, "3"), (14_000, "3"), (15_000, "3"))]
+        + [("a", t, "1") for t in (20_000, 21_000, 22_000, 23_000)]
+        + [("b", t, v) for t, v in ((15_000, "1"), (16_000, "1"), (17_000, "2"), (18_000, "2"), (19_000, "2"), (20_000, "2"))]
+        + [("b", t, "1") for t in (21_000, 22_000, 23_000, 24_000)])
+    with pytest.raises(ValueError, match="divide"):
+        heartbeat(feed.stream(session), "key", "2 seconds", "3 seconds")
+
+
+def test_live_state_does_not_read_what_was_stored(spark, session, tmp_path):
+    """A micro-batch reads its own input files and no results of the batches before it."""
+    feed = Feed(tmp_path / "in")
+    for i in range(6):
+        feed.send(*((f"k{j}", at(60_000 * i + j)) for j in range(50)))
+    path = str(tmp_path / "out")
+    query = run(live_session_changes(feed.stream(session), "key", "10 seconds"), to_batches(path),
+                name="cost", checkpoint=str(tmp_path / "cp"), final_only=True, every=None)
+    query.awaitTermination()
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [50] * 6
+    assert sorted(os.listdir(tmp_path)) == ["cp", "in", "out"]
+
+
 def test_streams_of_folders_with_odd_names(spark, tmp_path):
     for name in ("plain", "odd[1]{x}*"):
         path = f"{tmp_path}/{name}"
@@ -271,13 +353,14 @@ def test_tables_of_many_files(spark, tmp_path):
         assert rows_of(streamed.select(QUERIES[name](spark, SF_DIR).columns)) == expected
 
 
-def test_state_handler_needs_no_package_on_executors(tmp_path):
+@pytest.mark.parametrize("handler", [PeriodicSnapshot(), Heartbeat(1, 1)])
+def test_state_handler_needs_no_package_on_executors(handler, tmp_path):
     load = "import pickle, sys; print(type(pickle.load(sys.stdin.buffer)).__name__, 'streamrank' in sys.modules)"
     found = subprocess.run(
-        [sys.executable, "-c", load], input=cloudpickle.dumps(PeriodicSnapshot()), cwd=tmp_path,
+        [sys.executable, "-c", load], input=cloudpickle.dumps(handler), cwd=tmp_path,
         env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"}, capture_output=True, check=True,
     )
-    assert found.stdout.split() == [b"PeriodicSnapshot", b"False"]
+    assert found.stdout.split() == [type(handler).__name__.encode(), b"False"]
 
 
 def test_batches_read_back_in_another_session(spark, tmp_path):
