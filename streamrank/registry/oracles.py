@@ -226,6 +226,11 @@ ORACLES = {
     "uuid_header": "select count(*) as records, count(*) as ids, 36 as shortest, 36 as longest from events",
     "landing_rows": LANDED,
     "landing_written": LANDED,
+    "landing_replayed": f"select day, '00' as hour, topic, value from ({LANDED})",
+    "resumed_scan": """
+        select event_type as topic, (user_id % 8)::integer as "partition", event_id as "offset", props as value
+        from events""",
+    "stored_window_counts": tumbling("1 hour", 3_600_000),
     "landing_with_uuid": "select count(*) as records, count(*) as ids, count(*) as distinct_ids from events",
     "idempotent_batch_write": MESSAGES,
     "rank_table_replayed": TWO_DELIVERIES,

@@ -18,6 +18,7 @@ from ..sinks.rank_table import read_rank_table
 from ..sources import tables
 from ..streaming import run as streaming
 from ..streaming.latest import latest
+from ..streaming.state import stored_state
 from ..streaming.keyed import (
     current_sessions, heartbeat, live_hopping_count, live_lists, live_session_changes, table_changes,
 )
@@ -197,6 +198,17 @@ def stream_changes(spark, sf_dir):
     return bounds(latest(read_batches(spark, path), ["event_type", "window"]), end=True)
 
 
+def stored_window_counts(spark, sf_dir):
+    """The windowed counts as they lie in a stream's state, read from its checkpoint."""
+    session, checkpoint = session_for(spark), streaming.fresh_checkpoint(spark, "stored-counts")
+    stream = streaming.watermarked(streaming.event_stream(session, f"{sf_dir}/events.parquet"), "100 days")
+    counts = windows.tumbling_count(stream, ["event_type"], "1 hour")
+    streaming.run(
+        counts, lambda rows, batch_id: rows.write.format("noop").mode("overwrite").save(), name="stored-counts", checkpoint=checkpoint, final_only=False, every=None,
+    ).awaitTermination()
+    return bounds(stored_state(spark, checkpoint).select("event_type", "window", "count"), end=True)
+
+
 def stream_word_count(spark, sf_dir):
     path = shared_dir(spark, "stream-words")
     session = session_for(spark)
@@ -232,5 +244,6 @@ STREAMED = {
     "stream_sessions_live": stream_sessions_live,
     "stream_hopping_live": stream_hopping_live,
     "stream_heartbeat": stream_heartbeat,
+    "stored_window_counts": stored_window_counts,
     "stream_regrouped_lists": stream_regrouped_lists,
 }

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .commits import commit, compact, read_committed
+
 PATH_COLUMNS = ("day", "hour", "topic")
 
 
@@ -25,18 +30,23 @@ def dated(records: DataFrame, at: Column | None = None) -> DataFrame:
 
 
 LANDED_DDL = "value string, day string, hour string, topic string"
-ADAPTIVE = "spark.sql.adaptive.enabled"
+#: Rows of a folder that one task writes to one file.
+FILE_ROWS = 1_000_000
 
 
-def gathered(rows: DataFrame) -> DataFrame:
-    """The rows of a small folder in one task; those of a large one in several.
+def gathered(rows: DataFrame, file_rows: int = FILE_ROWS) -> DataFrame:
+    """The rows of a small folder in one task, those of a large one in several, all tasks at work.
 
-    Without adaptive execution nothing is split, but a folder is still one task's.
+    Folders are counted first, and dealt over as many partitions as the session has: most
+    of the time goes into making folders, which few tasks would do one after another.
     """
-    folders = [F.col(c) for c in PATH_COLUMNS]
-    if rows.sparkSession.conf.get(ADAPTIVE) == "true":
-        return rows.hint("rebalance", *folders)
-    return rows.repartition(*folders)
+    folders = list(PATH_COLUMNS)
+    sizes = rows.groupBy(*folders).agg(F.ceil(F.count("*") / file_rows).alias("_files"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in folders]
+    known = sizes.select(*(F.col(c).alias(f"_{c}") for c in folders), "_files")
+    dealt = rows.join(known, reduce(and_, same)).withColumn("_file", F.pmod(F.xxhash64("value"), "_files"))
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(partitions, *folders, "_file").select(*rows.columns)
 
 
 def land(rows: DataFrame, path: str) -> None:
@@ -49,6 +59,25 @@ def land_with_headers(rows: DataFrame, path: str) -> None:
     gathered(rows).write.mode("append").partitionBy(*PATH_COLUMNS).parquet(path)
 
 
+def land_batch(rows: DataFrame, batch_id: int, path: str, compact_every: int = 50) -> None:
+    """Land dated rows under their batch's number, all of them or none; a replay adds nothing.
+
+    The log of landed batches is the folder ``commits``. Every ``compact_every`` batches
+    the earlier ones are gathered into one base, so that a folder's files do not pile up:
+    it has a file per batch since the last base, and what its rows need in the base.
+    """
+    spark = rows.sparkSession
+    split = {"landed": list(PATH_COLUMNS)}
+    new = commit(spark, path, batch_id, {"landed": gathered(rows.select("value", *PATH_COLUMNS))}, split)
+    if new and batch_id and batch_id % compact_every == 0:
+        compact(spark, path, batch_id - 1, {"landed": LANDED_DDL}, split, {"landed": gathered})
+
+
+def read_batches_landed(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all landed batches, with the folder each belongs to."""
+    return read_committed(spark, path, "landed", LANDED_DDL)
+
+
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
     """Landed rows with the folder each came from."""
     return spark.read.schema(LANDED_DDL).text(path)

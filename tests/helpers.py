@@ -51,7 +51,7 @@ class Feed:
         os.makedirs(self.path, exist_ok=True)
 
     def send(self, *rows: tuple) -> None:
-        kinds = {"string": pa.string(), "binary": pa.binary(), "timestamp": pa.timestamp("us", "UTC"),
+        kinds = {"string": pa.string(), "int": pa.int32(), "binary": pa.binary(), "timestamp": pa.timestamp("us", "UTC"),
                  "long": pa.int64()}
         schema = pa.schema([(name, kinds[kind]) for name, kind in map(str.split, self.ddl.split(", "))])
         table = pa.Table.from_pylist([dict(zip(schema.names, row)) for row in rows], schema)

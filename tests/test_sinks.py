@@ -1,5 +1,6 @@
 """Batches under a number, the rank table, and landing folders."""
 
+import json
 import os
 
 import pytest
@@ -10,8 +11,11 @@ from streamrank.operators.accumulate import upsert
 from streamrank.operators.offsets import next_offsets
 from streamrank.operators.projections import header, with_uuid
 from streamrank.sinks.batches import read_batches, write_batch
-from streamrank.sinks.landing import dated, land, land_stream, read_landed
-from streamrank.sinks.rank_table import add_counts, fold, read_rank_table
+from streamrank.sinks import commits, rank_table
+from streamrank.sinks.commits import commit, compact, read_committed
+from streamrank.sinks.landing import dated, gathered, land, land_batch, land_stream, read_batches_landed, read_landed
+from streamrank.sinks.rank_table import add_counts, fold, look_up, read_rank_table
+from streamrank.streaming.run import run
 
 RANK_DDL = (
     "user_project string, rank_type string, rank_id string, rank_channel string, "
@@ -80,7 +84,151 @@ def test_rank_table_folders_do_not_pile_up(spark, tmp_path):
     for batch_id in range(12):
         add_counts(ranks(spark, ("a", None, 1, batch_id)), batch_id, path, fold_every=3)
     assert rows_of(read_rank_table(spark, path)) == [("p", "t", "a", "", None, 12, 11)]
-    assert len(os.listdir(f"{path}/batches")) <= 7 and len(os.listdir(f"{path}/bases")) <= 2
+    assert len(os.listdir(f"{path}/batches")) <= 7 and len(os.listdir(f"{path}/bases")) <= 4
+
+
+def files_read(df):
+    return {f.split("/bucket=")[1].split("/")[0] for f in df.inputFiles()}
+
+
+def test_a_lookup_reads_one_bucket(spark, tmp_path):
+    path = str(tmp_path / "ranks")
+    for batch_id in range(5):
+        rows = ranks(spark, *((f"id{i}", None, 1, batch_id) for i in range(60)))
+        add_counts(rows, batch_id, path, fold_every=2, buckets=8)
+    assert len(files_read(read_rank_table(spark, path))) == 8
+    key = {"user_project": "p", "rank_type": "t", "rank_id": "id7", "rank_channel": ""}
+    found = look_up(spark, path, key)
+    assert len(files_read(found)) == 1 and [(r.rank_id, r.rank_value) for r in found.collect()] == [("id7", 5)]
+    assert look_up(spark, path, key | {"rank_id": "none"}).count() == 0
+    both = look_up(spark, path, key, key | {"rank_id": "id8"})
+    assert sorted(r.rank_id for r in both.collect()) == ["id7", "id8"]
+    assert look_up(spark, str(tmp_path / "nothing"), key).count() == 0
+
+
+def test_only_touched_buckets_are_merged(spark, tmp_path):
+    path = str(tmp_path / "ranks")
+    add_counts(ranks(spark, *((f"id{i}", None, 1, 0) for i in range(60))), 0, path, buckets=8)
+    fold(spark, path, 0, 8)
+    add_counts(ranks(spark, ("id7", None, 1, 1)), 1, path)
+    fold(spark, path, 1)
+    assert len([f for f in os.listdir(f"{path}/bases/base_id=1") if f.startswith("bucket=")]) == 1
+    assert len(files_read(read_rank_table(spark, path))) == 8
+    assert {r.rank_id: r.rank_value for r in read_rank_table(spark, path).collect()} == {
+        f"id{i}": 1 + (i == 7) for i in range(60)}
+
+
+def test_a_fold_that_ends_before_its_manifest_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "ranks")
+    for batch_id in range(2):
+        add_counts(ranks(spark, ("a", None, 1, batch_id), ("b", None, 2, batch_id)), batch_id, path)
+    before = rows_of(read_rank_table(spark, path))
+
+    def lost(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(rank_table, "publish", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            fold(spark, path, 1)
+    assert os.path.isdir(f"{path}/bases/base_id=1") and rows_of(read_rank_table(spark, path)) == before
+    fold(spark, path, 1)
+    assert rows_of(read_rank_table(spark, path)) == before
+
+
+def failing(spark):
+    return spark.range(100, numPartitions=2).select(
+        F.when(F.col("id") == 99, F.raise_error("stop")).otherwise(F.col("id")).cast("long").alias("id"))
+
+
+def test_targets_of_a_batch_show_together(spark, tmp_path):
+    path = str(tmp_path / "out")
+
+    def shown(*names):
+        return [read_committed(spark, path, name, "id long").count() for name in names]
+
+    assert shown("a", "b") == [0, 0]
+    with pytest.raises(Exception, match="stop"):
+        commit(spark, path, 0, {"a": spark.range(5), "b": failing(spark)})
+    assert shown("a", "b") == [0, 0] and not os.listdir(f"{path}/a/_part=batch-0")
+    assert commit(spark, path, 0, {"a": spark.range(5), "b": spark.range(7)})
+    assert not commit(spark, path, 0, {"a": spark.range(50), "b": spark.range(70)})
+    assert commit(spark, path, 1, {"a": spark.range(1), "b": spark.range(0)})
+    assert shown("a", "b") == [6, 7]
+    assert read_committed(spark, path, "a", "id long", upto=0).count() == 5
+
+
+def test_a_batch_that_was_killed_leaves_nothing_to_see(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "out")
+    with monkeypatch.context() as patched:
+        patched.setattr(commits, "publish", lambda *args: (_ for _ in ()).throw(RuntimeError("killed")))
+        patched.setattr(commits, "remove", lambda *args: None)
+        with pytest.raises(RuntimeError):
+            commit(spark, path, 0, {"a": spark.range(5)})
+    assert os.listdir(f"{path}/a/_part=batch-0") and read_committed(spark, path, "a", "id long").count() == 0
+    commit(spark, path, 0, {"a": spark.range(3)})
+    assert read_committed(spark, path, "a", "id long").count() == 3
+    assert len(os.listdir(f"{path}/a/_part=batch-0")) == 1
+
+
+def test_compaction_keeps_rows_and_bounds_files(spark, tmp_path):
+    path, split = str(tmp_path / "out"), {"a": ["part"]}
+    for batch_id in range(9):
+        rows = spark.range(4).select(F.lit(batch_id).alias("n"), F.col("id").cast("string").alias("part"))
+        assert commit(spark, path, batch_id, {"a": rows}, split)
+        if batch_id in (3, 6):
+            compact(spark, path, batch_id - 1, {"a": "n int, part string"}, split, {"a": lambda r: r.repartition(1)})
+        compact(spark, path, -1, {"a": "n int, part string"}, split)
+    assert rows_of(read_committed(spark, path, "a", "n int, part string")) == sorted(
+        ((n, str(p)) for n in range(9) for p in range(4)), key=repr)
+    assert not commit(spark, path, 4, {"a": spark.range(4)})
+    parts = [f for f in os.listdir(f"{path}/a") if "batch" in f]
+    assert "_part=batch-0" not in parts and "_part=batch-2" not in parts and "_part=batch-8" in parts
+
+
+def test_a_job_goes_on_from_its_positions(spark, tmp_path):
+    """A stream that has lost its checkpoint reads each record once, from the positions stored with the rows."""
+    feed = Feed(tmp_path / "in", "topic string, partition int, offset long, value string")
+    path, session = str(tmp_path / "out"), spark.newSession()
+
+    def play(checkpoint):
+        def handler(rows, batch_id):
+            number = len(commits.manifests(spark, path))
+            fresh = commits.not_yet_read(rows, spark, path)
+            commit(spark, path, number, {"rows": fresh, commits.POSITIONS: next_offsets(fresh)})
+        run(feed.stream(session), handler, name="positions", checkpoint=str(tmp_path / checkpoint), final_only=True,
+            every=None).awaitTermination()
+
+    assert commits.starting_offsets(spark, path) == "earliest"
+    feed.send(*(("t", i % 2, i // 2, f"v{i}") for i in range(10)))
+    play("cp")
+    assert json.loads(commits.starting_offsets(spark, path)) == {"t": {"0": 5, "1": 5}}
+    feed.send(("t", 0, 5, "v10"), ("u", 0, 0, "w"))
+    play("other-cp")
+    assert json.loads(commits.starting_offsets(spark, path)) == {"t": {"0": 6, "1": 5}, "u": {"0": 1}}
+    rows = read_committed(spark, path, "rows", "topic string, partition int, offset long, value string")
+    assert sorted(r.value for r in rows.collect()) == sorted([f"v{i}" for i in range(11)] + ["w"])
+
+
+def test_readers_drop_replayed_records(spark):
+    records = spark.createDataFrame([(b"a", b"1"), (b"a", b"1"), (b"b", None), (None, b"2")], "key binary, value binary")
+    first, again = commits.numbered(records, 3), commits.numbered(records.repartition(3), 3)
+    other = commits.numbered(records, 4)
+    sent = first.union(again).union(other)
+    found = commits.without_replays(sent)
+    assert found.count() == 8 and sent.count() == 12
+    assert {(r.headers[0]["value"], r.headers[1]["value"]) for r in found.collect()} == {
+        (b"3", b"1"), (b"3", b"2"), (b"4", b"1"), (b"4", b"2")}
+
+
+def test_replayed_landing_adds_nothing(spark, tmp_path):
+    path = str(tmp_path / "land")
+    rows = dated(spark.createDataFrame(LANDED, TOPIC_DDL), F.col("timestamp"))
+    for batch_id in (0, 0, 1, 1, 2, 3, 4, 5):
+        land_batch(rows, batch_id, path, compact_every=2)
+    found = read_batches_landed(spark, path)
+    assert rows_of(found.select("day", "hour", "topic", "value")) == sorted(EXPECTED * 6, key=repr)
+    assert len([f for f in found.inputFiles() if "day=20240229" in f]) <= 3
 
 
 TOPIC_DDL = "topic string, value string, timestamp timestamp"
@@ -107,21 +255,17 @@ def test_landing_folders(spark, tmp_path):
     assert len(landed(spark, path)) == 6
 
 
-def test_landing_splits_a_large_folder(spark, tmp_path):
-    """One folder with nearly all the data is written by several tasks."""
-    session = spark.newSession()
-    session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
-    session.conf.set("spark.sql.files.openCostInBytes", "1")
-    path = str(tmp_path / "land")
-    rows = session.range(60_000, numPartitions=8).select(
+def test_landing_splits_a_large_folder(spark):
+    """One folder with nearly all the data is written by several tasks, a small one by one."""
+    rows = spark.range(60_000, numPartitions=8).select(
         F.lit("20240101").alias("day"), F.lit("00").alias("hour"),
         F.when(F.col("id") % 100 == 0, "small").otherwise("big").alias("topic"),
         F.sha2(F.col("id").cast("string"), 256).alias("value"),
     )
-    land(rows, path)
-    files = [f for f in os.listdir(f"{path}/day=20240101/hour=00/topic=big") if f.endswith(".txt")]
-    assert len(files) > 1
-    assert len(landed(spark, path)) == 60_000
+    tasks = gathered(rows, file_rows=10_000).groupBy("topic").agg(
+        F.count_distinct(F.spark_partition_id()).alias("tasks"), F.count("*").alias("rows"))
+    found = {r.topic: (r.tasks, r.rows) for r in tasks.collect()}
+    assert found["small"] == (1, 600) and found["big"][0] >= 3 and found["big"][1] == 59_400
 
 
 def test_landing_stream(spark, tmp_path):
