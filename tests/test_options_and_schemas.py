@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from streamrank import schemas
 from streamrank.session import shared_dir, stream_session
 from streamrank.sinks.topics import sink_options, write_topic
-from streamrank.sources.avro import avro_values, header_id
+from streamrank.sources.avro import avro_values, by_schema_id, header_id
 from streamrank.sources.topics import earliest, source_options, topic_stream
 
 
@@ -53,6 +53,30 @@ def test_connectors_need_their_packages(spark):
         avro_values(records, "PageView", schemas.PAGE_VIEW)
 
 
+def test_records_of_several_writer_schemas(spark):
+    """Each record goes to the decoder of its schema id; text stands for the record's bytes here."""
+    framed = lambda n, text: b"\x00" + n.to_bytes(4, "big") + text.encode()
+    rows = spark.createDataFrame(
+        [(1, framed(7, "a,1")), (2, framed(258, "b")), (3, framed(7, "c,2")), (4, None)], "id int, value binary")
+
+    def decoder(read):
+        return lambda body: F.when(body.isNotNull(), F.struct(*(c.alias(n) for c, n in zip(read(body.cast("string")), "xy"))))
+
+    decoders = {
+        7: decoder(lambda t: (F.split_part(t, F.lit(","), F.lit(1)), F.split_part(t, F.lit(","), F.lit(2)))),
+        258: decoder(lambda t: (t, F.lit(None).cast("string"))),
+    }
+    found = rows.select("id", by_schema_id(F.col("value"), decoders).alias("r")).orderBy("id").collect()
+    assert [r.r and tuple(r.r) for r in found] == [("a", "1"), ("b", None), ("c", "2"), None]
+    for odd in (framed(9, "d"), b"x", b"\x01\x00\x00\x00\x07z"):
+        more = rows.union(spark.createDataFrame([(5, odd)], "id int, value binary"))
+        with pytest.raises(Exception, match="unexpected schema id"):
+            more.select(by_schema_id(F.col("value"), decoders).alias("r")).collect()
+    with pytest.raises(AnalysisException, match="(?i)avro"):
+        avro_values(rows.withColumn("timestamp", F.current_timestamp()), "PageView", schemas.PAGE_VIEW,
+                    writers={7: schemas.PAGE_VIEW, 258: schemas.PAGE_VIEW_STATS})
+
+
 def test_page_view_schema_text():
     text = schemas.to_avsc("PageView", schemas.PAGE_VIEW)
     assert json.loads(text) == {
