@@ -35,6 +35,7 @@ SKIPPED_TAGS = frozenset("nav header footer aside button select menu dialog labe
 NEGATIVE_TAGS = frozenset(["form", "fieldset"])
 #: Elements of text, which no name makes negative inside a declared part.
 TEXT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 section p blockquote pre table ul ol dl figure".split())
+HEADING_TAGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PROSE_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre".split())
 SKIPPED_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
@@ -45,12 +46,24 @@ SKIPPED_WORDS = frozenset(
     "overlay newsletter subscribe subscription signup login register share sharing social related recommended "
     "recommendations trending comment comments commentlist disqus respond reply replies discussion form search "
     "searchform toolbar skip hidden".split())
+#: Names made of these alone, one of the first at least, speak against an element wherever it stands.
+STRONG_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored sponsors promo promotion "
+    "comment comments commentlist disqus respond reply replies cookie cookies consent gdpr newsletter subscribe "
+    "subscription signup login related recommended recommendations trending share sharing social popup modal "
+    "overlay widget widgets".split())
+FILLER_WORDS = frozenset(
+    "list lists box area section wrapper wrap container block item items thread panel bar notice notices form "
+    "posts articles stories links buttons inner outer".split())
+#: Block elements that end an open paragraph or item of their kind, and elements beyond which none is ended.
+CLOSING_TAGS = frozenset("p li dt dd tr td th div".split())
+FENCE_TAGS = frozenset("ul ol dl table div article section main body".split())
 CONTENT_WORDS = frozenset("article content main post entry story body text maincontent articlebody".split())
 TURNED_OFF = frozenset("with has no without".split())
 
 _TOKEN = re.compile(
     r"<!--(?P<comment>.*?)(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/<>]*+)(?P<rest>(?:\"[^\"]*+\"|'[^']*+'|[^'\"<>])*+)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -94,14 +107,19 @@ def is_hidden(attrs: dict[str, str]) -> bool:
             or "display:none" in attrs.get("style", "").replace(" ", "").lower())
 
 
-def is_negative(tag: str, attrs: dict[str, str], declared: bool) -> bool:
-    """Whether an element's tag or one of its names speaks against its being text."""
+def is_negative(tag: str, attrs: dict[str, str], declared: bool) -> int:
+    """How much an element's tag or names speak against its being text: 2 clearly, 1 somewhat, 0 not."""
     if tag in ("html", "body", "main"):
-        return False
-    return tag in NEGATIVE_TAGS or any(
-        words and words[0] not in TURNED_OFF and not SKIPPED_WORDS.isdisjoint(words)
-        and not (declared and tag.startswith("h") and "header" in words)
-        for key in ("class", "id") if key in attrs for words in name_words(attrs[key]))
+        return 0
+    found = int(tag in NEGATIVE_TAGS)
+    for key in ("class", "id"):
+        for words in name_words(attrs.get(key, "")):
+            if not words or words[0] in TURNED_OFF or SKIPPED_WORDS.isdisjoint(words) or (
+                    declared and tag.startswith("h") and "header" in words):
+                continue
+            strong = not STRONG_WORDS.isdisjoint(words) and all(w in STRONG_WORDS or w in FILLER_WORDS for w in words)
+            found = max(found, 2 if strong and tag not in HEADING_TAGS else 1)
+    return found
 
 
 def declares(tag: str, attrs: dict[str, str]) -> int:
@@ -122,16 +140,28 @@ class Doubt:
 
     tag: str
     inside: bool  # a declared part
+    strong: bool
+    around: Doubt | None
     wraps: bool = False  # a declared part, or most of a page's words
     n: int = 0
     prose: int = 0
     most: bool = False
+    against: bool = False
 
     def holds(self, declared: bool) -> bool:
-        """Whether its words count against it, on a page with an article or main part or without."""
-        if self.wraps or self.most and not declared:
+        """Whether its words count against it, on a page with an article or main part or without.
+
+        A clear name always does, unless it wraps the declared part; a form does that
+        does not hold most of the page; others are outweighed by text, where a declared
+        part has them.
+        """
+        if self.wraps:
+            return False
+        if self.strong:
+            return True
+        if self.most and (not declared or self.tag in NEGATIVE_TAGS):
             return False
-        return not self.inside or self.tag not in TEXT_TAGS and 2 * self.prose <= self.n
+        return not self.inside or self.tag in NEGATIVE_TAGS or self.tag not in TEXT_TAGS and 2 * self.prose <= self.n
 
 
 @dataclass
@@ -142,10 +172,10 @@ class Block:
     words: Counter = field(default_factory=Counter)
     tags: list[str] = field(default_factory=list)
     levels: frozenset[int] = frozenset()
-    doubts: tuple[Doubt, ...] = ()
+    doubt: Doubt | None = None  # the innermost
 
-    def negative(self, declared: bool) -> bool:
-        return any(d.holds(declared) for d in self.doubts)
+    def negative(self) -> bool:
+        return self.doubt is not None and self.doubt.against
 
     def size(self) -> int:
         return self.words.total()
@@ -154,25 +184,72 @@ class Block:
         return " ".join(html.unescape("".join(self.parts)).split())
 
 
+@dataclass(frozen=True)
+class Open:
+    """An open element, with what holds inside it, so that no look at the others is needed."""
+
+    tag: str = ""
+    level: int = 0
+    levels: frozenset[int] = frozenset()
+    doubt: Doubt | None = None
+    context: str = ""  # the innermost block element
+    near: dict[str, int] = field(default_factory=dict)  # places of paragraphs and items that a block may end
+
+
+class Stack:
+    """The open elements. Every step costs the same however deep they are, or closes what it passes."""
+
+    def __init__(self) -> None:
+        self.elements = [Open()]
+        self.counts: Counter = Counter()
+
+    @property
+    def top(self) -> Open:
+        return self.elements[-1]
+
+    def push(self, tag: str, kind: int, doubt: Doubt | None) -> None:
+        top, place = self.top, len(self.elements)
+        near = {} if tag in FENCE_TAGS else {**top.near, tag: place} if tag in CLOSING_TAGS else top.near
+        self.elements.append(Open(
+            tag, max(top.level, kind), top.levels | {kind} if kind else top.levels, doubt or top.doubt,
+            tag if tag in BLOCK_TAGS else top.context, near))
+        self.counts[tag] += 1
+
+    def cut(self, place: int) -> None:
+        for element in self.elements[place:]:
+            self.counts[element.tag] -= 1
+        del self.elements[place:]
+
+    def close(self, tag: str) -> None:
+        if self.counts[tag]:
+            while self.top.tag != tag:
+                self.cut(len(self.elements) - 1)
+            self.cut(len(self.elements) - 1)
+
+    def close_items(self, tag: str) -> None:
+        """A block closes an open paragraph, and an item the item before it."""
+        places = [self.top.near[t] for t in {"p", tag} if t in self.top.near]
+        if places:
+            self.cut(max(places))
+
+    def in_link(self) -> bool:
+        return any(e.tag == "a" for e in self.elements[-4:])
+
+
 def blocks_of(page: str | None, keep_skipped: bool = False) -> list[Block]:
     """The page's blocks in order, skipped elements left out unless asked for."""
     blocks, current = [], Block()
-    opened: list[tuple[str, int, Doubt | None]] = []  # tags that are open, with their declaration
-    doubts: list[Doubt] = []
+    stack, doubts = Stack(), []
     skipping, hidden, depth, at = "", False, 0, 0
     page = page or ""
 
-    def level() -> int:
-        return max((d for _, d, _ in opened), default=0)
-
     def ended() -> None:
         nonlocal current
         if any(not p.isspace() for p in current.parts):
-            current.levels = frozenset(d for _, d, _ in opened if d)
-            current.doubts = tuple(d for _, _, d in opened if d)
-            for doubt in current.doubts:
-                doubt.n += current.size()
-                doubt.prose += sum(n for kind, n in current.words.items() if kind in PROSE_TAGS)
+            current.levels, current.doubt = stack.top.levels, stack.top.doubt
+            if current.doubt:
+                current.doubt.n += current.size()
+                current.doubt.prose += sum(n for kind, n in current.words.items() if kind in PROSE_TAGS)
             blocks.append(current)
             current = Block()
         else:
@@ -180,10 +257,8 @@ def blocks_of(page: str | None, keep_skipped: bool = False) -> list[Block]:
 
     def said(text: str) -> None:
         if text and not skipping:
-            context = next((t for t, _, _ in reversed(opened) if t in BLOCK_TAGS), "")
-            kind = "a" if any(t == "a" for t, _, _ in opened[-4:]) else context
             current.parts.append(text)
-            current.words[kind] += len(text.split())
+            current.words["a" if stack.in_link() else stack.top.context] += len(text.split())
 
     while at < len(page):
         found = _TOKEN.search(page, at)
@@ -210,14 +285,11 @@ def blocks_of(page: str | None, keep_skipped: bool = False) -> list[Block]:
             if tag in BLOCK_TAGS:
                 ended()
             current.tags.append(tag)
-            for i in range(len(opened) - 1, -1, -1):
-                if opened[i][0] == tag:
-                    del opened[i:]
-                    break
+            stack.close(tag)
             continue
         if tag in RAW_TAGS:
-            closed = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             if not found["rest"].endswith("/"):
+                closed = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
                 at = closed.end() if closed else len(page)
             continue
         attrs = attributes(found["rest"])
@@ -230,16 +302,9 @@ def blocks_of(page: str | None, keep_skipped: bool = False) -> list[Block]:
             skipping = ""
         if tag in BLOCK_TAGS:
             ended()
-            if tag in ("p", "li", "dt", "dd", "tr", "td", "th") or tag == "div":
-                # A block closes an open paragraph, and an item the item before it.
-                stop = ("ul", "ol", "dl", "table", "div", "article", "section", "main", "body")
-                for i in range(len(opened) - 1, -1, -1):
-                    if opened[i][0] in ("p", tag) and opened[i][0] != "div":
-                        del opened[i:]
-                        break
-                    if opened[i][0] in stop:
-                        break
-        if not keep_skipped and tag not in VOID_TAGS and is_skipped(tag, attrs, level() > 0):
+            if tag in CLOSING_TAGS:
+                stack.close_items(tag)
+        if not keep_skipped and tag not in VOID_TAGS and is_skipped(tag, attrs, stack.top.level > 0):
             ended() if tag in BLOCK_TAGS else None
             skipping, hidden, depth = tag, is_hidden(attrs), 1
             current.tags.append(tag)
@@ -248,26 +313,36 @@ def blocks_of(page: str | None, keep_skipped: bool = False) -> list[Block]:
             current.parts.append(" ")
         if tag not in VOID_TAGS and not found["rest"].endswith("/"):
             doubt, kind = None, declares(tag, attrs)
-            if is_negative(tag, attrs, level() > 0):
-                doubt, kind = Doubt(tag, level() > 0), 0
+            against = is_negative(tag, attrs, stack.top.level > 0)
+            if against == 2 or against and kind < 2:
+                doubt, kind = Doubt(tag, stack.top.level > 0, against == 2, stack.top.doubt), 0
                 doubts.append(doubt)
-            elif kind > 1:
-                for _, _, around in opened:
-                    if around:
-                        around.wraps = True
-            opened.append((tag, kind, doubt))
+            elif kind > 1 and stack.top.doubt:
+                stack.top.doubt.wraps = True
+            stack.push(tag, kind, doubt)
         current.tags.append(tag)
     ended()
+    weigh(doubts, blocks)
+    return blocks
+
+
+def weigh(doubts: list[Doubt], blocks: list[Block]) -> None:
+    """Decides of each doubtful element whether it counts against its words; outer ones come first."""
+    for doubt in reversed(doubts):
+        if doubt.around:
+            doubt.around.n += doubt.n
+            doubt.around.prose += doubt.prose
+            doubt.around.wraps |= doubt.wraps
     whole = sum(b.size() for b in blocks)
+    declared = any(b.levels & {2, 3} for b in blocks)
     for doubt in doubts:
         doubt.most = 2 * doubt.n > whole
-    return blocks
+        doubt.against = doubt.holds(declared) or doubt.around is not None and doubt.around.against
 
 
 def believed(blocks: list[Block]) -> int:
     """The clearest declaration that holds a fair share of the words not spoken against, 0 without one."""
-    declared = any(b.levels & {2, 3} for b in blocks)
-    sizes = [(b.levels, b.size()) for b in blocks if not b.negative(declared)]
+    sizes = [(b.levels, b.size()) for b in blocks if not b.negative()]
     whole = sum(n for _, n in sizes)
     held = {kind: sum(n for levels, n in sizes if kind in levels) for kind in (3, 2, 1)}
     most = max(held.values())
@@ -299,8 +374,7 @@ class HtmlModel:
     def extract(self, page: str | None) -> str:
         """The text of the best contiguous run of blocks, one to a line."""
         blocks = blocks_of(page)
-        main, declared = believed(blocks), any(b.levels & {2, 3} for b in blocks)
-        against = [b.negative(declared) for b in blocks]
+        main, against = believed(blocks), [b.negative() for b in blocks]
         best, start, end = 0.0, 0, 0
         total, since = 0.0, 0
         for i, block in enumerate(blocks):
@@ -359,8 +433,9 @@ def _extracted(batch: dict[str, list], model: HtmlModel) -> Iterable[dict]:
 def extract_text(pages: DataFrame, model: HtmlModel) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every row of ``pages``.
 
-    Null or empty pages, and pages without a scoring word, have an empty text.
-    Repeated rows give repeated results; other columns are left out.
+    Null or empty pages, and pages without a scoring word, have an empty text; an empty
+    table gives no rows. Long pages take time in proportion to their length, however
+    they are nested. Repeated rows give repeated results; other columns are left out.
     """
     return mapped(pages.select("page_id", "url", "html"), "page_id long, url string, text string, n_chars long",
                   _extracted, model)
