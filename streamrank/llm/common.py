@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -37,13 +38,32 @@ def is_held_out(doc_id: str | Column = "doc_id", folds: int = 5) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == 0, F.lit(True))
 
 
+def give_back() -> None:
+    """Returns memory that is no longer used to the system: Spark keeps Python processes for later tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidied(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` on a task's batches, which gives its memory back at the end."""
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def mapped(
-    rows: DataFrame, schema: str, work: Callable[..., Iterable[dict[str, list]]], *args
+    rows: DataFrame, schema: str, work: Callable[..., Iterable[dict[str, list]]], *args, at_once: int = 1 << 14
 ) -> DataFrame:
     """Runs ``work(batch, *args)`` in the tasks, on Arrow batches turned into columns.
 
-    ``work`` gets a dict of Python lists and yields dicts of lists or arrays that
-    follow ``schema``.
+    ``work`` gets a dict of Python lists, of ``at_once`` rows at most, and yields dicts of
+    lists or arrays that follow ``schema``.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -53,13 +73,15 @@ def mapped(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target = to_arrow_schema(wanted, prefers_large_types=False)
         for batch in batches:
-            columns = {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)}
-            for out in work(columns, *args):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[f.name], type=f.type) for f in target], schema=target
-                )
-
-    return rows.mapInArrow(run, wanted)
+            for start in range(0, batch.num_rows, at_once):
+                part = batch.slice(start, at_once)
+                columns = {n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)}
+                for out in work(columns, *args):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(out[f.name], type=f.type) for f in target], schema=target
+                    )
+
+    return rows.mapInArrow(tidied(run), wanted)
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:

@@ -2,44 +2,55 @@
 
 One more coordinate gives all vectors the length of the longest, so that the largest
 inner product is the smallest distance, and the triangle inequality can prune. Vectors
-are dealt to shards by hash; a shard's tree is built and searched in one task, for a
-block of queries at a time, and the shards' nearest meet per query. A subtree is left
-out if the query's distance to its shell is more than ``1 / factor`` of the distance of
-the worst result so far: factor one is exact search, larger factors leave out more.
+are dealt to shards by hash; a shard's tree is built once and stored. Queries come in
+blocks of a fixed number, which go to all tasks: a task takes the stored trees as they
+come, searches each of them for the block, and only the nearest are shuffled, to meet
+per query. A subtree is left out if the query's distance to its shell is more than
+``1 / factor`` of the distance of the worst result so far: factor one is exact search,
+larger factors leave out more. What the search keeps is a bound on the distance; all
+points within it, and within the rounding of distances, are then scored exactly, so that
+ties are settled by id.
 
 Equal vectors are one point of a tree, which keeps their ids.
 """
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .common import parked, table
+from .common import parked, table, tidied
 
-#: Vectors of a shard, and queries that meet it in one task.
+#: Vectors of a shard, and queries that go to all tasks at once.
 SHARD = 16_384
 QUERY_BLOCK = 16_384
+#: Queries searched together in a task.
+GROUP = 1_024
 LEAF = 256
 FACTOR = 1.5
-#: Results kept beyond those asked for, until scores are recomputed in a fixed order.
-SPARE = 8
+#: Lengths beyond which distances could overflow; such shards are scored point by point.
+LONGEST = 1e150
+#: Share of the longest vector by which computed distances may be off.
+ROUNDING = 1e-6
 
 
 def searchable(vectors: DataFrame) -> DataFrame:
     """vec_id and embedding, in doubles, of the rows that can take part.
 
     Null, empty and zero vectors and those with null or non-finite components cannot;
-    nor can null ids. Of rows with one id the smallest vector stays.
+    nor can null ids. Rows with one id are rows of their own.
     """
     doubles = F.transform("embedding", lambda x: x.cast("double"))
     finite = F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return vectors.select("vec_id", doubles.alias("e")).where(
         F.col("vec_id").isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists("e", lambda x: x != 0)
-    ).groupBy("vec_id").agg(F.min("e").alias("embedding"))
+    ).withColumnRenamed("e", "embedding")
 
 
 @dataclass
@@ -74,10 +85,15 @@ class Tree:
             split(0, len(points))
         return Tree(points, order, nodes)
 
-    def search(self, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
-        """Distances and points of the ``k`` nearest of each query, unsorted; -1 where there are fewer."""
+    def search(self, queries: np.ndarray, k: int, factor: float, slack: float) -> tuple[np.ndarray, np.ndarray]:
+        """(query, point) pairs that hold the ``k`` nearest of each query, ties included.
+
+        The first walk finds how far the k-th nearest is; the second one takes all points
+        that are no farther, by more than ``slack`` at least.
+        """
         best = np.full((len(queries), k), np.inf)
-        found = np.full((len(queries), k), -1)
+        pairs: list[tuple[np.ndarray, np.ndarray]] = []
+        bound: np.ndarray | None = None
 
         def visit(at: int, asked: np.ndarray) -> None:
             lo, hi, vantage, shell, near, far = self.nodes[at]
@@ -86,11 +102,12 @@ class Tree:
                 x, y = queries[asked], self.points[members]
                 square = (x * x).sum(1)[:, None] + (y * y).sum(1)[None] - 2 * (x @ y.T)
                 away = np.sqrt(np.maximum(square, 0))
-                every = np.concatenate([best[asked], away], axis=1)
-                names = np.concatenate([found[asked], np.broadcast_to(members, away.shape)], axis=1)
-                chosen = np.argpartition(every, k - 1, axis=1)[:, :k]
-                best[asked] = np.take_along_axis(every, chosen, 1)
-                found[asked] = np.take_along_axis(names, chosen, 1)
+                if bound is None:
+                    every = np.concatenate([best[asked], away], axis=1)
+                    best[asked] = np.partition(every, k - 1, axis=1)[:, :k]
+                else:
+                    row, column = np.nonzero(away <= bound[asked][:, None])
+                    pairs.append((asked[row], members[column]))
                 return
             away = np.linalg.norm(queries[asked] - self.points[vantage], axis=1)
             inner, outer = shell
@@ -100,78 +117,144 @@ class Tree:
                 if mask.any():
                     visit(first, asked[mask])
                     left = asked[mask]
-                    worst = best[left].max(axis=1)
+                    worst = (best[left].max(axis=1) if bound is None else bound[left]) + slack
                     open_ = ~(factor * gap[mask] > worst)
                     if open_.any():
                         visit(second, left[open_])
 
-        if self.nodes and len(queries):
-            visit(0, np.arange(len(queries)))
-        return best, found
-
-
-def _searched(key: tuple, members: pd.DataFrame, asked: pd.DataFrame, k: int, factor: float, longest: float):
-    empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(
-        {"query_id": "int64", "vec_id": "int64", "score": "float64"})
-    if not len(members) or not len(asked):
-        return empty
-    members = members.sort_values("vec_id")
-    ids = members["vec_id"].to_numpy()
-    raw = np.stack(members["embedding"].to_numpy())
-    _, first, which = np.unique(raw, axis=0, return_index=True, return_inverse=True)
-    holders: list[list[int]] = [[] for _ in first]
-    for place, point in enumerate(which.ravel()):
-        if len(holders[point]) <= k:  # in id order; no more can be among the nearest
-            holders[point].append(ids[place])
-    raw = raw[first]
-    length = np.sqrt(np.maximum(longest ** 2 - (raw * raw).sum(1), 0))
-    tree = Tree.build(np.concatenate([raw, length[:, None]], axis=1))
-    names = asked["query_id"].to_numpy()
-    queries = np.stack(asked["embedding"].to_numpy())
-    flat = np.concatenate([queries, np.zeros((len(queries), 1))], axis=1)
-    _, found = tree.search(flat, k + SPARE, factor)
-    rows: list[tuple] = []
-    for name, query, points in zip(names, queries, found):
-        points = points[points >= 0]
-        scores = (raw[points] * query).sum(axis=1)  # one order of addition for all
-        own = sorted((-s, i) for s, p in zip(scores.tolist(), points) for i in holders[p] if i != name)[:k]
-        rows += [(name, i, -s) for s, i in own]
-    return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]) if rows else empty
+        none = np.zeros(0, np.int64)
+        if not self.nodes or not len(queries):
+            return none, none
+        visit(0, np.arange(len(queries)))
+        bound = best.max(axis=1) + slack
+        visit(0, np.arange(len(queries)))
+        return np.concatenate([none, *(q for q, _ in pairs)]), np.concatenate([none, *(p for _, p in pairs)])
+
+
+@dataclass
+class Shard:
+    """The distinct vectors of a shard, who holds each, and their tree; no tree where lengths would overflow."""
+
+    vectors: np.ndarray
+    holders: list[list[tuple[int, int]]]
+    tree: Tree | None
+    slack: float
+
+    @staticmethod
+    def build(members: pd.DataFrame, k: int, longest: float) -> Shard:
+        members = members.sort_values(["vec_id", "row"])
+        raw = np.stack(members["embedding"].to_numpy())
+        _, first, which = np.unique(raw, axis=0, return_index=True, return_inverse=True)
+        holders: list[list[tuple[int, int]]] = [[] for _ in first]
+        for point, vec_id, row in zip(which.ravel().tolist(), members["vec_id"].tolist(), members["row"].tolist()):
+            if len(holders[point]) <= k:  # in id order; no more can be among the nearest
+                holders[point].append((vec_id, row))
+        raw = raw[first]
+        if not longest < LONGEST:
+            return Shard(raw, holders, None, 0.0)
+        length = np.sqrt(np.maximum(longest ** 2 - (raw * raw).sum(1), 0))
+        tree = Tree.build(np.concatenate([raw, length[:, None]], axis=1))
+        return Shard(raw, holders, tree, ROUNDING * longest)
+
+    def packed(self) -> bytes:
+        tree = self.tree and (self.tree.points, self.tree.order, self.tree.nodes)
+        return pickle.dumps((self.vectors, self.holders, tree, self.slack))
+
+    @staticmethod
+    def unpacked(data: bytes) -> Shard:
+        vectors, holders, tree, slack = pickle.loads(data)
+        return Shard(vectors, holders, tree and Tree(*tree), slack)
+
+    def nearest(self, queries: np.ndarray, own: np.ndarray, k: int, factor: float) -> Iterator[tuple]:
+        """(place of the query, vec_id, row, score) of the best ``k`` of the shard for each query."""
+        for start in range(0, len(queries), GROUP):
+            asked = queries[start:start + GROUP]
+            if self.tree is None:
+                query, point = (x.ravel() for x in np.indices((len(asked), len(self.vectors))))
+            else:
+                # A query's own row may be among its nearest.
+                flat = np.concatenate([asked, np.zeros((len(asked), 1))], axis=1)
+                slack = self.slack + ROUNDING * np.sqrt((flat * flat).sum(1)).max(initial=0)
+                query, point = self.tree.search(flat, k + 1, factor, slack)
+            with np.errstate(over="ignore", invalid="ignore"):
+                # One order of addition for all.
+                score = np.concatenate([np.zeros(0), *(
+                    (self.vectors[point[i:i + LEAF * GROUP]] * asked[query[i:i + LEAF * GROUP]]).sum(axis=1)
+                    for i in range(0, len(query), LEAF * GROUP))])
+            order = np.lexsort((-score, query))
+            cuts = np.searchsorted(query[order], np.arange(len(asked) + 1))
+            for q, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())):
+                mine = order[a:b]
+                if len(mine) > k + 1:
+                    mine = mine[score[mine] >= score[mine[k]]]
+                found = sorted((-score[p], *holder) for p in mine for holder in self.holders[point[p]]
+                               if holder[1] != own[start + q])[:k]
+                yield from ((start + q, vec_id, row, -s) for s, vec_id, row in found)
 
 
 def nearest(
-    vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float = FACTOR,
+    vectors: DataFrame, asked: str | Column = "vec_id % 20 = 0", k: int = 20, factor: float = FACTOR,
     shard: int = SHARD, query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` largest inner products of each query.
 
-    ``vectors`` has vec_id and embedding; ``queries`` is some of its rows. A query's own
-    id is no candidate. Ties go to the smaller vec_id; queries with fewer candidates get
-    all of them. See ``searchable`` for rows that take no part. All vectors must have one
-    length. Shards and blocks of queries grow in number, not in size, with the input.
+    ``vectors`` has vec_id and embedding, and ``asked`` says which rows are queries. A
+    query's own row is no candidate; every other row is, also one that is repeated or has
+    the query's id. Ties go to the smaller vec_id; queries with fewer candidates get all
+    of them. See ``searchable`` for rows that take no part; vectors of different length
+    have no product and do not meet. Inner products that overflow are infinite, or not a
+    number, and then the largest. An empty table has no queries. Shards and blocks
+    of queries grow in number, not in size, with the input; the driver holds one block.
     """
-    points = parked(searchable(vectors), "vectors")
-    asked = searchable(queries).withColumnRenamed("vec_id", "query_id")
+    rows = parked(searchable(vectors).withColumn("row", F.monotonically_increasing_id()), "vectors")
+    rows = rows.withColumn("dims", F.size("embedding"))
     norm = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)
-    sizes = points.agg(F.count("*").alias("n"), F.sqrt(F.max(norm)).alias("longest")).first()
-    shards, blocks = -(-sizes["n"] // shard), -(-asked.count() // query_block)
-    held = points.select("vec_id", "embedding", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, shards))).cast("int").alias("shard"))
-    held = held.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(1, blocks) - 1))))
-    sent = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(max(1, blocks))).cast("int"))
-    sent = sent.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(max(1, shards) - 1))))
-    longest = sizes["longest"] or 0.0
-
-    def search(key, members, asked_here):
-        return _searched(key, members, asked_here, k, factor, longest)
-
-    found = held.groupBy("shard", "block").cogroup(sent.groupBy("shard", "block")).applyInPandas(
-        search, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    sizes = rows.agg(F.count("*").alias("n"), F.sqrt(F.max(norm)).alias("longest")).first()
+    shards, longest = max(1, -(-sizes["n"] // shard)), sizes["longest"] or 0.0
+
+    def build(members: pd.DataFrame) -> pd.DataFrame:
+        built = Shard.build(members, k, longest)
+        return pd.DataFrame({"dims": [built.vectors.shape[1]], "shard": [built.packed()]})
+
+    part = F.pmod(F.xxhash64("row"), F.lit(shards)).alias("part")
+    trees = parked(rows.groupBy("dims", part).applyInPandas(build, "dims int, shard binary"), "trees")
+    wanted = rows.where(asked)
+    blocks = max(1, -(-wanted.count() // query_block))
+    found = None
+    for block in range(blocks):
+        own = wanted.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == block).orderBy("row")
+        here = _searched(trees, own.toPandas(), k, factor)
+        found = here if found is None else found.union(here)
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
 
 
+def _searched(trees: DataFrame, queries: pd.DataFrame, k: int, factor: float) -> DataFrame:
+    """The nearest of one block of queries in every stored shard."""
+    by_dims = {
+        int(dims): (np.stack(some["embedding"].to_numpy()), some["vec_id"].to_numpy(), some["row"].to_numpy())
+        for dims, some in queries.groupby("dims")}
+    sent = trees.sparkSession.sparkContext.broadcast(by_dims)
+    names = ["query_id", "query_row", "vec_id", "row", "score"]
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for dims, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if dims not in sent.value:
+                    continue
+                vectors, ids, rows = sent.value[dims]
+                hits = list(Shard.unpacked(packed.as_py()).nearest(vectors, rows, k, factor))
+                place = np.array([h[0] for h in hits], np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[place], pa.int64()), pa.array(rows[place], pa.int64())]
+                    + [pa.array([h[i] for h in hits], kind) for i, kind in ((1, pa.int64()), (2, pa.int64()), (3, pa.float64()))],
+                    names=names)
+
+    return trees.select("dims", "shard").mapInArrow(
+        tidied(search), "query_id long, query_row long, vec_id long, row long, score double")
+
+
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 20 nearest vectors of every 20th vector."""
-    vectors = table(spark, sf_dir, "embeddings")
-    return nearest(vectors, vectors.where("vec_id % 20 = 0"))
+    """The 20 nearest vectors of every 20th vector; see ``nearest`` for odd rows."""
+    return nearest(table(spark, sf_dir, "embeddings"))
