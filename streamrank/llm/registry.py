@@ -11,7 +11,7 @@ from .source_mixing import OP2_SQL, op2_mix
 from .substring_dedup import op6_substrings
 from .token_alignment import op11_align
 from .token_output import op5_token_ids
-from .token_rollups import OP8_SQL, op8_token_counts
+from .token_rollups import op8_token_counts
 from .vector_search import op3_neighbours
 
 QUERIES = {
@@ -32,5 +32,4 @@ QUERIES = {
 
 ORACLES = {
     "op2_mix": OP2_SQL,
-    "op8_token_counts": OP8_SQL,
 }

@@ -7,23 +7,66 @@ additive, so nothing is ever recounted.
 
 A store is a folder. A batch is written whole under its number, and writing a number
 again replaces it, so a batch that is replayed after a failure counts once. ``fold``
-adds the batches up to a number into a base; numbers it covers are not taken again.
+adds the batches up to a number, as far as none is missing, into a base; numbers it
+covers are not taken again.
 """
 
 from __future__ import annotations
 
+import base64
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import shared_dir
-from .common import discard, parked, table
+from .common import discard, parked, table, tidied
+from .token_units import PIECES, UnitEncoder, chunks_of, units_of
 
 KEYS = ["source", "lang", "tokenizer_version"]
 TOTALS = "source string, lang string, tokenizer_version string, n_docs long, n_tokens long"
-#: Fixed: the pieces that each version of the counter counts, as patterns of ASCII classes.
-COUNTERS = {
-    "words-1": r"[^ \t\n\r]+",
-    "pieces-2": r"[A-Za-z]+|[0-9]|[^A-Za-z0-9 \t\n\r]",
-}
+#: Versions of the counter: public byte-level vocabularies of one pattern of pieces.
+VERSIONS = ("byte_bpe_50k", "byte_bpe_multi_50k")
+#: Bytes of text counted together; a longer text is taken whole.
+CHUNK_BYTES = 1 << 21
+
+
+def ranks_file(version: str) -> bytes:
+    """A public vocabulary as its file has it; tasks get it with the query, not by path."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(f"{version}.tiktoken"), "rb") as file:
+        return file.read()
+
+
+class UnitCounter(UnitEncoder):
+    """How many tokens a unit of text has, each distinct unit counted once while it is remembered."""
+
+    def __init__(self, ranks: bytes, pattern: str = PIECES):
+        import tiktoken
+
+        pairs = (line.split() for line in ranks.splitlines() if line)
+        self.encode = tiktoken.Encoding(
+            "counter", pat_str=pattern, mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs},
+            special_tokens={}).encode_ordinary
+        super().__init__()
+
+    def new_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        counts = [len(self.encode(" " + u)) for u in units.to_pylist()]
+        return np.array(counts, "<u4"), np.arange(len(units) + 1)
+
+    def of_texts(self, texts: pa.Array) -> np.ndarray:
+        """The number of tokens of each text; null is empty."""
+        cuts, index, units = units_of(texts)
+        counts = self.of_units(units)[0].astype(np.int64)[index]
+        # A text's first unit has no space before it.
+        used = cuts[:-1][np.diff(cuts) > 0]
+        firsts, place = np.unique(index[used], return_inverse=True)
+        own = [len(self.encode(u)) for u in units.take(pa.array(firsts)).to_pylist()]
+        counts[used] = np.array(own, np.int64)[place]
+        return np.diff(np.concatenate([[0], np.cumsum(counts)])[cuts])
 
 
 def deltas(changes: DataFrame) -> DataFrame:
@@ -99,34 +142,43 @@ class RollupStore:
         return self._sum(self._current())
 
     def fold(self, last: int) -> None:
-        """Adds the batches up to ``last`` into a new base, and removes what it replaces."""
-        names = self._current(last)
-        if last <= self.folded():
+        """Adds the batches up to ``last`` into a new base, and removes what it replaces.
+
+        Batches may be committed in any order, and one that is still to come must not be
+        covered: the base goes up to the first missing number, and no further.
+        """
+        base, numbers = self.folded(), {n for kind, n in self._entries() if kind == "batch"}
+        last = next(n for n in range(base, last + 1) if n == last or n + 1 not in numbers) if last > base else base
+        if last <= base:
             return
+        names = self._current(last)
         self._sum(names).write.mode("overwrite").parquet(f"{self.path}/base-{last}")
         for name in names:
             discard(self.spark, f"{self.path}/{name}")
 
 
-def counted(docs: DataFrame, version: str) -> DataFrame:
-    """The keys and n_tokens of each document under a version of ``COUNTERS``.
+def token_counts(docs: DataFrame, versions: Sequence[str] = VERSIONS) -> DataFrame:
+    """doc_id, source and lang of each row, a count of its tokens for every version, and its text's digest.
 
-    Counts of any other tokenizer can be committed just as well: a store only adds.
+    Null texts have no tokens and the empty digest, which equals only itself. Texts are
+    taken whole; other columns are left out.
     """
-    pieces = F.coalesce(F.regexp_count("text", F.lit(COUNTERS[version])), F.lit(0))
-    return docs.select("doc_id", "source", "lang", F.lit(version).alias("tokenizer_version"),
-                       pieces.cast("long").alias("n_tokens"), F.md5("text").alias("digest"))
-
+    rows = docs.select(F.struct(
+        "doc_id", "source", "lang", F.coalesce(F.unhex(F.md5("text")), F.lit(b"")).alias("digest")).alias("doc"), "text")
+    files = {version: ranks_file(version) for version in versions}
+    schema = StructType([rows.schema["doc"], *(StructField(v, LongType()) for v in versions)])
 
-def both_counted(docs: DataFrame) -> DataFrame:
-    """The keys of each row, its counts under every version of ``COUNTERS``, and its text's digest.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters = {version: UnitCounter(ranks) for version, ranks in files.items()}
+        kind = None
+        for batch in batches:
+            kind = batch.column(0).type
+            for found, texts in chunks_of([batch], CHUNK_BYTES):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found, kind), *(pa.array(c.of_texts(texts)) for c in counters.values())],
+                    names=["doc", *counters])
 
-    Each count is one column of one select, so that no row has to be found again by an id
-    that others may share. Null texts have the empty digest, which equals only itself.
-    """
-    counts = (F.coalesce(F.regexp_count("text", F.lit(p)), F.lit(0)).cast("long").alias(v) for v, p in COUNTERS.items())
-    digest = F.coalesce(F.unhex(F.md5("text")), F.lit(b""))
-    return docs.select("doc_id", "source", "lang", *counts, digest.alias("digest"))
+    return rows.mapInArrow(tidied(run), schema).select("doc.*", *versions)
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,19 +186,20 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every document is inserted under the first version. Copies of a text in a smaller
     doc_id are deleted, and so are rows without a doc_id; null texts are copies of each
-    other. Rows with the smallest doc_id of a text all stay. What is left is revised to the second version, which moves its
-    counts. At last all documents are inserted once more under the first version.
+    other. Rows with the smallest doc_id of a text all stay. What is left is revised to the
+    second version, which moves its counts. At last all documents are inserted once more
+    under the first version. An empty table has no totals.
     """
-    store = RollupStore(spark, shared_dir(spark, "token-rollup"))
-    docs = parked(both_counted(table(spark, sf_dir, "documents")), "token-counts")
+    store, (old, new) = RollupStore(spark, shared_dir(spark, "token-rollup")), VERSIONS
+    docs = parked(token_counts(table(spark, sf_dir, "documents")), "token-counts")
     first = docs.groupBy("digest").agg(F.min("doc_id").alias("first"))
     marked = docs.join(first, "digest").withColumn("kept", F.coalesce(F.col("doc_id") == F.col("first"), F.lit(False)))
-    before = docs.withColumnsRenamed({"words-1": "n_tokens"}).withColumn("tokenizer_version", F.lit("words-1"))
+    before = docs.select(*KEYS[:2], F.lit(old).alias("tokenizer_version"), F.col(old).alias("n_tokens"))
     copies = marked.where("not kept").select(
-        *KEYS[:2], F.lit("words-1").alias("tokenizer_version"), F.col("words-1").alias("n_tokens"))
+        *KEYS[:2], F.lit(old).alias("tokenizer_version"), F.col(old).alias("n_tokens"))
     revised = marked.where("kept").select(
-        *KEYS[:2], F.lit("pieces-2").alias("tokenizer_version"), F.col("pieces-2").alias("n_tokens"),
-        F.col("words-1").alias("old_n_tokens"), F.lit("words-1").alias("old_tokenizer_version"))
+        *KEYS[:2], F.lit(new).alias("tokenizer_version"), F.col(new).alias("n_tokens"),
+        F.col(old).alias("old_n_tokens"), F.lit(old).alias("old_tokenizer_version"))
     store.commit(0, before.withColumn("op", F.lit("insert")))
     for _ in range(2):  # the second is a replay
         store.commit(1, copies.withColumn("op", F.lit("delete")))
@@ -154,17 +207,3 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.fold(1)
     store.commit(3, before.withColumn("op", F.lit("insert")))
     return store.totals()
-
-
-_SQL_COUNT = "len(regexp_extract_all(text, '{}'))".format
-OP8_SQL = rf"""
-with counts as (
-    select doc_id, source, lang, {_SQL_COUNT(COUNTERS["words-1"])} as words, {_SQL_COUNT(COUNTERS["pieces-2"])} as pieces,
-        doc_id = min(doc_id) over (partition by text) as kept
-    from documents
-)
-select source, lang, 'words-1' as tokenizer_version, count(*) as n_docs, sum(words)::bigint as n_tokens
-from counts group by source, lang
-union all
-select source, lang, 'pieces-2', count(*), sum(pieces)::bigint from counts where kept group by source, lang
-"""
