@@ -18,7 +18,7 @@ from .common import is_held_out, mapped, table
 
 #: Bytes of sample text in a language's dictionary.
 DICTIONARY_BYTES = 96_000
-#: Characters a document may give to a dictionary, so that many documents share it.
+#: Characters of a document that go into a dictionary, a stretch from anywhere in its text.
 SHARE = 600
 #: Documents per language that are drawn for the dictionary, by hash.
 SAMPLE_DOCS = 200
@@ -34,7 +34,11 @@ _OTHER = re.compile(r"[\W\d_]+")
 
 def plain(text: str | None) -> str:
     """Letters in lower case, in words between single spaces; empty if there are none."""
-    words = _OTHER.sub(" ", text or "").lower().strip()
+    words = _OTHER.sub(" ", text or "")
+    if not words.replace(" ", "").isalpha():
+        # Number signs such as fractions and Roman numerals belong to words, but are no letters.
+        words = " ".join("".join(c if c.isalpha() else " " for c in words).split())
+    words = words.lower().strip()
     return f" {words} " if words else ""
 
 
@@ -44,13 +48,16 @@ def train_dictionaries(
     """A raw-content dictionary for each non-null ``lang`` of ``docs`` (text, lang).
 
     At most ``sample_docs`` documents of a language are drawn, by the hash of their
-    text, and ``SHARE`` letters of each reach the driver; so the number of languages
+    text, and a stretch of ``SHARE`` letters of each, from a place that the hash decides,
+    reaches the driver; so the number of languages
     alone decides how much that is. Each task trims its languages before the shuffle.
     Rows without letters or language are no help. Languages come by their number of
     rows, most first, which settles ties.
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    letters = F.substring(F.regexp_replace("text", r"[^\p{L}]+", " "), 1, SHARE)
+    cleaned = F.regexp_replace("text", r"[^\p{L}]+", " ")
+    places = F.greatest(F.length(cleaned) - SHARE + 1, F.lit(1))
+    letters = F.substr(cleaned, (F.pmod(F.xxhash64("text"), places) + 1).cast("int"), F.lit(SHARE))
     order = Window.partitionBy("lang").orderBy("h", "sample")
     drawn = usable.select("lang", F.xxhash64("text").alias("h"), letters.alias("sample")).withColumn(
         "r", F.row_number().over(order)).where(F.col("r") <= sample_docs)
