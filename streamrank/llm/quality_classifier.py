@@ -15,10 +15,10 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import is_held_out, mapped, table
+from .common import give_back, is_held_out, mapped, table
 from .decontamination import tokens_of
 
 #: Labelled documents that vote, drawn by the hash of their id.
@@ -29,7 +29,7 @@ NEIGHBOURS = 15
 SHARPNESS = 8
 THRESHOLD = 0.3
 #: Documents whose cosines are computed at a time.
-BLOCK = 512
+BLOCK = 128
 
 CLASSES = 12
 _LOWER, _UPPER, _DIGIT, _SPACE, _BREAK, _STOP, _COMMA, _QUOTE, _BANG, _BAR, _SYMBOL, _OTHER = range(CLASSES)
@@ -183,7 +183,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LA
     null id or label are no help) ``max_labelled`` vote at most, drawn by hash; where an
     id has several labels their mean counts. Without labels every score is one half.
     """
-    frequencies = mapped(docs.select("text"), "term int, n long", _frequencies).groupBy("term").agg(F.sum("n").alias("n"))
+    frequencies = mapped(docs.select("text"), "term int, n long", _frequencies, at_once=2048).groupBy("term").agg(F.sum("n").alias("n"))
     df = {r["term"]: r["n"] for r in frequencies.collect()}  # no more rows than there are terms
     seen = np.array([df.get(t, 0) for t in range(COUNTED)], float)
     idf = (np.log((1 + df.get(-1, 0)) / (1 + seen)) + 0.2).astype(np.float32)
@@ -191,7 +191,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LA
         F.avg("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     texts = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").groupBy("doc_id").agg(
         F.min("text").alias("text"), F.min("quality").alias("quality"))  # an id may be repeated
-    rows = mapped(texts, "doc_id long, quality double, places binary, vector binary", _labelled, idf).orderBy("doc_id").collect()
+    rows = mapped(texts, "doc_id long, quality double, places binary, vector binary", _labelled, idf, at_once=BLOCK).orderBy("doc_id").collect()
     basis = leading(rows)
     latent = np.concatenate([np.zeros((0, RANK), np.float32), *(made @ basis for made in dense(rows))])
     latent /= np.linalg.norm(latent, axis=1, keepdims=True) + 1e-9
@@ -207,20 +207,26 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
 
     Only the text is looked at. Repeated rows give repeated results.
     """
-    return mapped(docs.select("doc_id", "text"), "doc_id long, score double", _scored, model)
+    return mapped(docs.select("doc_id", "text"), "doc_id long, score double", _scored, model, at_once=BLOCK)
 
 
 def keep_quality(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score ``threshold`` or more, with all their columns."""
-    rows = docs.select(F.struct("*").alias("doc"), F.col("text").alias("text"))
-    schema = rows.select("doc", F.lit(0.0).alias("score")).schema
+    """The rows of ``docs`` that score ``threshold`` or more, with all their columns.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = pa.array(model.scores(batch.column(1).to_pylist()), pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), scores], names=["doc", "score"])
-
-    return rows.mapInArrow(run, schema).where(F.col("score") >= threshold).select("doc.*")
+    Null and empty texts score like any other; repeated rows stay or go together; an empty
+    table stays empty; no other column than the text is looked at.
+    """
+    @F.pandas_udf("double")
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        try:
+            for some in texts:
+                yield pd.Series(np.concatenate([np.zeros(0), *(
+                    model.scores(some.iloc[i:i + BLOCK].tolist()) for i in range(0, len(some), BLOCK))]))
+        finally:
+            give_back()
+
+    # Only texts go to Python, and the rows wait for their scores in the JVM.
+    return docs.where(score("text") >= threshold)
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,14 +11,6 @@ chain test, and only those that pass through the full count of differing bits.
 Documents with one fingerprint are one class from the start, so copies cost nothing.
 A key's classes are dealt into blocks by hash, blocks meet pairwise in tasks of their
 own, and a task returns a spanning forest of the links it finds, never all pairs.
-
-``near_groups`` is for similarities (0.8 of five-word shingles by default), where
-fingerprints may differ in a fifth of their bits and no slice of them stays equal for
-sure. There the ring's segments are parts of the shingle set: shingles are dealt by
-hash to more parts than a pair of similar sets may have differences, so one part is
-equal and, with enough shingles, not empty; the fingerprints' chain test and count
-prune, and exact Jaccard decides. Pairs with a small set meet by an exact prefix filter
-instead, and go to exact Jaccard without the fingerprints.
 """
 
 from __future__ import annotations
@@ -35,13 +27,6 @@ SEED = 42
 SEGMENTS = 8
 #: Fingerprints that meet in one task under one key.
 BLOCK = 1024
-#: Shingle hashes that one side of an exact comparison holds.
-BLOCK_HASHES = 400_000
-#: Parts of a shingle set that are indexed, all of them for sets of up to 63 shingles.
-#: Similar sets miss all of these with a small chance, so smaller sets have prefixes.
-PARTS = 24
-#: Pairs with a set of fewer shingles meet by prefix. The other set has up to a quarter more.
-SMALL = 32
 
 
 def shingle_hashes(text: bytes | None, words: int) -> np.ndarray:
@@ -68,10 +53,15 @@ def _fingerprints(batch: dict[str, list], words: int) -> Iterable[dict]:
     yield {"doc_id": batch["doc_id"], "fp": prints.view(np.int64)}
 
 
+def _row_fingerprints(batch: dict[str, list], words: int) -> Iterable[dict]:
+    for found in _fingerprints(batch, words):
+        yield found | {"row_a": batch["row_a"], "row_b": batch["row_b"]}
+
+
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     """doc_id, fp (the 64 bits as a long). Null or wordless texts have fingerprint zero."""
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return mapped(rows, "doc_id long, fp long", _fingerprints, words)
+    return mapped(rows, "doc_id long, fp long", _fingerprints, words, at_once=1024)
 
 
 def hex_digits(fp: str | Column = "fp") -> Column:
@@ -190,160 +180,31 @@ def simhash_components(docs: DataFrame, words: int = 3, bits: int = 3) -> DataFr
         "doc_id", hex_digits("fp").alias("fingerprint"), "component_id", "n_links")
 
 
-# Similarity of shingle sets.
-
-def part_keys(hashes: np.ndarray) -> np.ndarray:
-    """Index keys of a set of distinct shingle hashes; see the module's text."""
-    found = [np.zeros(0, np.uint64)]
-    n = len(hashes)
-    sizes = {1 << (n // 4).bit_length()}
-    sizes.add(1 << (int(n * 0.8 + 1e-9) // 4).bit_length())  # where a smaller partner may be
-    mixed = hashes * (hashes | np.uint64(1))
-    for m in sizes:
-        for way in (0, 1) if m <= 16 else (0,):
-            part = ((hashes >> np.uint64(32 * way + 7)) & np.uint64(m - 1)).astype(np.int64)
-            inside = part < PARTS
-            counts = np.bincount(part[inside], minlength=PARTS).astype(np.uint64)
-            sums = np.zeros(PARTS, np.uint64)
-            np.add.at(sums, part[inside], mixed[inside])
-            place = np.arange(PARTS, dtype=np.uint64) + np.uint64((2 * m + way) * PARTS)
-            key = (sums ^ (sums >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            key = (key ^ place) * np.uint64(0x94D049BB133111EB) + counts
-            found.append(key[counts > 0])
-    return np.concatenate(found) if n else np.zeros(1, np.uint64)
-
-
-def prefix_keys(hashes: np.ndarray) -> np.ndarray:
-    """The least hashes of a set; sets with a Jaccard similarity of 0.8 or more share one."""
-    n = len(hashes)
-    return np.sort(hashes)[:n - int(np.ceil(0.8 * n - 1e-9)) + 1] if n else hashes
-
-
-def _sketched(batch: dict[str, list], words: int) -> Iterable[dict]:
-    out: dict[str, list] = {"row_a": batch["row_a"], "row_b": batch["row_b"], "doc_id": batch["doc_id"],
-                            "fp": [], "sig": [], "keys": [], "prefix": [], "small": []}
-    for text in batch["text"]:
-        distinct = np.unique(shingle_hashes(text, words))
-        # Of the set, as Jaccard is: a line's repeats would outvote the rest of a text.
-        out["fp"].append(np.uint64(fingerprint(distinct)).astype(np.int64))
-        out["sig"].append(np.uint64(xxhash.xxh64_intdigest(distinct.tobytes(), SEED)).astype(np.int64))
-        both = distinct if len(distinct) <= (SMALL - 1) / 0.8 else distinct[:0]
-        out["keys"].append((part_keys(distinct) if len(distinct) >= SMALL else distinct[:0]).view(np.int64))
-        out["prefix"].append(prefix_keys(both).view(np.int64))
-        out["small"].append(np.sort(both.view(np.int64)))  # as _verified takes them
-    yield out
-
-
-def _near(batch: dict[str, list], bits: int) -> Iterable[dict]:
-    edges: set[tuple] = set()
-    for left, right in zip(batch["left"], batch["right"]):
-        x = np.array([v["fp"] for v in left], np.int64).view(np.uint64)
-        y = x if right is None else np.array([v["fp"] for v in right], np.int64).view(np.uint64)
-        names = [v["sig"] for v in left]
-        edges.update(forest(names, names if right is None else [v["sig"] for v in right],
-                            linked(x[:, None] ^ y[None, :], bits)))
-    yield {"a": [a for a, _ in edges], "b": [b for _, b in edges]}
-
-
-def _shingled(batch: dict[str, list], words: int) -> Iterable[dict]:
-    sets = [np.unique(shingle_hashes(t, words).view(np.int64)) for t in batch["text"]]
-    yield {"root": batch["root"], "sig": batch["sig"], "n": [len(s) for s in sets], "hashes": sets}
-
-
-def _verified(batch: dict[str, list], similarity: float) -> Iterable[dict]:
-    edges: set[tuple] = set()
-    for left, right in zip(batch["left"], batch["right"]):
-        own, other = left, left if right is None else right
-        names = [v["sig"] for v in other]
-        ends = np.cumsum([len(v["hashes"]) for v in other])
-        starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-        sizes = ends - starts
-        pool = np.concatenate([np.array(v["hashes"], np.int64) for v in other]) if other else np.zeros(0, np.int64)
-        near = np.zeros((len(own), len(other)), bool)
-        for i, v in enumerate(own):
-            mine = np.array(v["hashes"], np.int64)
-            if not len(mine):
-                near[i] = sizes == 0
-                continue
-            spot = np.minimum(np.searchsorted(mine, pool), len(mine) - 1)
-            both = np.concatenate([[0], np.cumsum(mine[spot] == pool)])
-            shared = both[ends] - both[starts]
-            near[i] = shared >= similarity * (len(mine) + sizes - shared) - 1e-9
-        edges.update(forest([v["sig"] for v in own], names, near))
-    yield {"a": [a for a, _ in edges], "b": [b for _, b in edges]}
-
-
-def _blocks(rows: DataFrame, key: str, value: Column, weight: Column, limit: int) -> DataFrame:
-    """left, right: the values of each key in blocks of about ``limit`` weight that meet pairwise."""
-    totals = rows.groupBy(key).agg(F.count("*").alias("count"), F.sum(weight).alias("weight")).where("count > 1")
-    dealt = rows.join(totals, key).withColumn(
-        "n", F.least(F.col("count"), F.ceil(F.greatest(F.col("weight") / limit, F.col("count") / BLOCK))))
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("sig"), "n"))
-    blocks = parked(dealt.groupBy(key, "n", "block").agg(F.collect_list(value).alias("left")), "blocks")
-    kind = blocks.schema["left"].dataType
-    alone = blocks.where("n = 1").select("left", F.lit(None).cast(kind).alias("right"))
-    split = blocks.where("n > 1")
-    others = split.select(key, F.col("block").alias("other"), F.col("left").alias("right"))
-    pairs = split.withColumn("other", F.explode(F.sequence("block", F.col("n") - 1)))
-    return alone.union(pairs.join(others, [key, "other"]).select("left", "right"))
-
-
 def row_keys() -> list[Column]:
     """Two hashes that tell a row's id and text apart from any other's, nulls included."""
     return [F.xxhash64("doc_id", "text").alias("row_a"),
             F.xxhash64(F.lit(7), "text", "doc_id").alias("row_b")]
 
 
-def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, bits: int = 20) -> DataFrame:
-    """row_a, row_b (see ``row_keys``), doc_id, group: near-duplicates share a group.
+def deduplicated(docs: DataFrame, words: int = 3, bits: int = 3) -> DataFrame:
+    """``docs`` with one document of each component: the smallest doc_id's.
 
-    Two texts are linked if the Jaccard similarity of their sets of ``words``-word
-    shingles, A-Z in lower case, is ``similarity`` (0.8 at least) or more; texts of
-    fewer words are one shingle, and texts without words are alike. Pairs with a set under
-    ``SMALL`` shingles are all found. ``bits`` is how far apart the SimHash fingerprints of
-    other candidate pairs may be: at a similarity of 0.8 they differ in 10 bits on average,
-    and one or two pairs in ten thousand in over 20.
-    A group is the signature of one of its shingle sets.
+    Components are those of ``simhash_components``; texts without words are alike. Null
+    ids come after every other, and rows of one id go by the hash of their text. Where one
+    row is in the table several times, one of them stays. All columns are kept.
     """
-    if similarity < 0.8:
-        raise ValueError("the index is laid out for similarities of 0.8 and more")
     rows = docs.select(*row_keys(), "doc_id", F.col("text").cast("binary").alias("text"))
-    sketch = parked(mapped(rows, "row_a long, row_b long, doc_id long, fp long, sig long, keys array<long>, "
-                           "prefix array<long>, small array<long>", _sketched, words), "sketches")
-    classes = sketch.groupBy("sig").agg(F.min(F.struct("row_a", "row_b", "fp", "keys", "prefix", "small")).alias("first"))
-    classes = parked(classes.select("sig", "first.*"), "classes")
-    keyed = classes.select("sig", "fp", F.explode("keys").alias("key")).distinct()
-    met_here = _blocks(keyed, "key", F.struct("sig", "fp"), F.lit(1), BLOCK)
-    coarse = parked(components(mapped(met_here, "a long, b long", _near, bits).distinct()), "coarse")
-    # Only documents with a candidate have their text read again, one for each set.
-    wanted = classes.join(coarse.withColumnRenamed("node", "sig"), "sig").select("row_a", "row_b", "sig", "root")
-    texts = rows.join(wanted, ["row_a", "row_b"]).select("root", "sig", "text").dropDuplicates(["sig"])
-    sets = parked(mapped(texts, "root long, sig long, n long, hashes array<long>", _shingled, words), "sets")
-    compared = _blocks(sets, "root", F.struct("sig", "hashes"), F.col("n") + 1, BLOCK_HASHES)
-    short = classes.select("sig", "small", F.explode("prefix").alias("key"))
-    met_short = _blocks(short, "key", F.struct("sig", F.col("small").alias("hashes")), F.size("small") + 1, BLOCK_HASHES)
-    links = [mapped(pairs, "a long, b long", _verified, similarity) for pairs in (compared, met_short)]
-    fine = components(links[0].union(links[1]).distinct())
-    return sketch.join(fine.withColumnRenamed("node", "sig"), "sig", "left").select(
-        "row_a", "row_b", "doc_id", F.coalesce("root", "sig").alias("group"))
-
-
-def deduplicated(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: the smallest doc_id's.
-
-    Nulls come after every id. Where one row is in the table several times, one of
-    them stays. All columns are kept.
-    """
-    groups = parked(near_groups(docs, words, similarity), "groups")
-    first = groups.groupBy("group").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_a", "row_b")).alias("f"),
-    ).select("f.row_a", "f.row_b")
-    times = groups.groupBy("row_a", "row_b").agg(F.count("*").alias("times"))
-    kept = first.join(times, ["row_a", "row_b"])
+    prints = parked(mapped(rows, "row_a long, row_b long, doc_id long, fp long", _row_fingerprints, words, at_once=1024), "fingerprints")
+    classes = prints.groupBy("fp").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_a", "row_b")).alias("first"))
+    roots = components(print_links(prints, bits)).withColumnRenamed("node", "fp")
+    first = classes.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(
+        F.min("first").alias("first")).select("first.row_a", "first.row_b")
+    times = prints.groupBy("row_a", "row_b").agg(F.count("*").alias("times"))
+    kept = parked(first.join(times, ["row_a", "row_b"]), "kept")
     found = docs.select(F.struct("*").alias("doc"), *row_keys()).join(kept, ["row_a", "row_b"])
-    once = found.where("times = 1")
     again = found.where("times > 1").dropDuplicates(["row_a", "row_b"])
-    return once.union(again).select("doc.*")
+    return found.where("times = 1").union(again).select("doc.*")
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
