@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .common import parked, table
+from .common import parked, table, tidied
 from .token_units import chunks_of
 
 BUCKETS = 10_000
@@ -146,7 +146,7 @@ def bucket_counts(docs: DataFrame, buckets: int = BUCKETS, longest: int = LONGES
         yield pa.RecordBatch.from_arrays(
             [pa.array(held.astype(np.int32)), pa.array(total[held])], names=["bucket", "n"])
 
-    found = docs.select(F.lit(0).alias("id"), "text").mapInArrow(run, "bucket int, n long")
+    found = docs.select(F.lit(0).alias("id"), "text").mapInArrow(tidied(run), "bucket int, n long")
     return found.groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
@@ -181,7 +181,7 @@ def document_weights(docs: DataFrame, gains: np.ndarray, longest: int = LONGEST_
                  pa.array(np.bincount(owner, minlength=len(ids))), pa.array(weight)],
                 names=["doc_id", "n_words", "n_features", "weight"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_words long, n_features long, weight long")
+    return docs.select("doc_id", "text").mapInArrow(tidied(run), "doc_id long, n_words long, n_features long, weight long")
 
 
 def gumbel(doc_id: str, seed: int = SEED) -> Column:

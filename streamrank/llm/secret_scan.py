@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import table
+from .common import table, tidied
 from .token_units import chunks_of
 
 #: Fixed: kind, pattern, its group that must have so many characters, a pattern of what is long enough.
@@ -148,7 +148,7 @@ def find_secrets(docs: DataFrame, ratios: np.ndarray, min_ratio: float = MIN_RAT
                 names=["doc_id", "text", "spans"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, text string, spans array<struct<kind string, start int, end int, ratio double>>")
+        tidied(run), "doc_id long, text string, spans array<struct<kind string, start int, end int, ratio double>>")
 
 
 def redacted(found: DataFrame, mark: str = "[secret]") -> DataFrame:
