@@ -1,4 +1,8 @@
-"""A corpus pipeline of five stages over ``documents``."""
+"""A corpus pipeline of five stages over ``documents``.
+
+Every stage takes an empty table, null values in any column, empty and very long texts,
+repeated rows, and further columns by whatever name; all but the last keep the columns.
+"""
 
 from __future__ import annotations
 
@@ -14,28 +18,42 @@ from streamrank.session import shared_dir
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go. Held-out labels are not learned from."""
+    """Documents that the classifier rejects go. Held-out labels are not learned from.
+
+    Null and empty texts score alike; repeated rows stay or go together; without labels
+    every document scores one half and stays.
+    """
     labels = table(spark, sf_dir, "labels").where(~is_held_out())
     return keep_quality(docs, train_quality(docs, labels))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest doc_id."""
-    return deduplicated(docs)
+    """One document of each group of near-duplicates stays, the one with the smallest doc_id.
+
+    Fingerprints are of three-word shingles and link at three differing bits. Null and
+    wordless texts are one group; null ids come last; of repeated rows one stays.
+    """
+    return deduplicated(docs, words=3, bits=3)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go. Null texts hold none; repeated rows go together."""
     return without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents appear as often as their source's weight asks for, in shuffled order."""
+    """Documents appear as often as their source's weight asks for, in shuffled order.
+
+    The null source is a source of its own; rows that share source and id share their count.
+    """
     return mixed(docs).select(*docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of what is left, and what is read back from them for each document."""
+    """Token files of what is left, and what is read back from them for each document.
+
+    A null text is empty and has its end id alone; each repeated row keeps an entry.
+    """
     return document_digests(spark, write_token_ids(docs, shared_dir(spark, "pipeline-tokens")))
 
 
