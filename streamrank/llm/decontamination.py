@@ -42,6 +42,8 @@ LATENT_COSINE, FULL_COSINE = 0.35, 0.4
 COPIED, PARAPHRASED, ANSWERED = 0.75, 0.55, 0.8
 #: Words of the longest item that is also compared with stretches of its own length.
 SHORT = 16
+#: Gram matrices that one task adds up.
+FAN_IN = 64
 #: Text of the items that are sent to the tasks at once; more take further passes.
 ITEM_BYTES = 128 << 10
 
@@ -161,8 +163,8 @@ def drawn_columns() -> tuple[np.ndarray, np.ndarray]:
 def latent_basis(tokens: DataFrame, idf: np.ndarray) -> np.ndarray:
     """What turns a passage's product with the random matrix into latent coordinates.
 
-    The products' Gram matrix covers all passages. Tasks' sums are added up within
-    salts first, so that no task meets them all; each is ``SKETCH`` squared.
+    The products' Gram matrix covers all passages. Tasks' sums, each ``SKETCH`` squared, are
+    added up in rounds of ``FAN_IN``, so that no task holds more however many there are.
     """
     columns, signs = drawn_columns()
     weights = signs * idf
@@ -178,11 +180,18 @@ def latent_basis(tokens: DataFrame, idf: np.ndarray) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([gram.tobytes()], pa.binary())], names=["part"])
 
     def added(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"part": [sum(np.frombuffer(p) for p in frame["part"]).tobytes()]})
-
-    parts = tokens.select("tokens").mapInArrow(multiply, "part binary")
-    once = parts.groupBy((F.spark_partition_id() % 64).alias("salt")).applyInPandas(added, "part binary")
-    rows = once.groupBy(F.lit(0).alias("all")).applyInPandas(added, "part binary").collect()
+        return pd.DataFrame({"place": [key[0]], "part": [sum(np.frombuffer(p) for p in frame["part"]).tobytes()]})
+
+    sums = tokens.select("tokens").mapInArrow(multiply, "part binary").select(
+        F.spark_partition_id().alias("place"), "part")
+    left = tokens.rdd.getNumPartitions()
+    while True:
+        sums = sums.groupBy(F.floor(F.col("place") / FAN_IN).cast("int").alias("place")).applyInPandas(
+            added, "place int, part binary")
+        left = -(-left // FAN_IN)
+        if left <= 1:
+            break
+    rows = sums.collect()
     if not rows:
         return np.zeros((SKETCH, RANK), np.float32)
     values, vectors = np.linalg.eigh(np.frombuffer(rows[0]["part"]).reshape(SKETCH, SKETCH))
