@@ -15,145 +15,23 @@ each document starts. Token positions are global.
 
 from __future__ import annotations
 
-import json
-import sys
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import shared_dir
-from .common import mapped, table
+from .common import mapped, table, tidied
+from .token_units import ByteLevel, chunks_of, tokenizer_json
 
 BLOCK_IDS = 1 << 14
 SEGMENT_IDS = 1 << 20
 END_ID = 0
 LEVEL = 3
-#: Strings, and pieces of them, whose ids a Python process keeps at hand.
-REMEMBERED = 400_000
-#: Fixed: how byte-level tokenizers of this kind cut a text into pieces.
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
-
-def tokenizer_json(name: str = "byte_bpe_50k.json") -> str:
-    """The public tokenizer's definition; tasks get it with the query, not by path."""
-    import public_tokenizers
-
-    with open(public_tokenizers.path(name), encoding="utf-8") as file:
-        return file.read()
-
-
-class Encoder:
-    """Encodes whole texts with the tokenizers library, each distinct piece once.
-
-    Byte-level tokenizers encode the pieces of a text one by one, and a piece never
-    reaches past a space that has a visible character on either side. So a text is cut
-    at its spaces, strings seen before are looked up, and the library is asked for the
-    pieces of the new ones only. A text with a space amid white space is cut into pieces
-    at once; other tokenizers, and texts that hold a special token, go to the library
-    as they are.
-    """
-
-    def __init__(self, definition: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(definition)
-        made = json.loads(definition)
-        before = made.get("pre_tokenizer") or {}
-        self.by_piece = (
-            made.get("normalizer") is None and before.get("type") == "ByteLevel"
-            and not before.get("add_prefix_space") and before.get("use_regex", True)
-            and not made.get("truncation") and not made.get("padding")
-        )
-        self.special = [t["content"] for t in made.get("added_tokens", [])]
-        self.cut = regex.compile(PIECES).findall
-        self.pieces: dict[str, bytes] = {}
-        self.strings: dict[str, bytes] = {}
-
-    @staticmethod
-    def here(definition: str) -> Encoder:
-        """One encoder for each Python process, which serves many tasks."""
-        kept = sys.__dict__.setdefault("_token_encoders", {})
-        if definition not in kept:
-            kept[definition] = Encoder(definition)
-        return kept[definition]
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn_pieces(self, pieces: Iterable[str]) -> None:
-        if len(self.pieces) > REMEMBERED:
-            self.pieces.clear()
-        new = set(pieces).difference(self.pieces)
-        # Pieces that begin with a space and are no mere space may stand side by side.
-        spaced = [p for p in new if p[0] == " " and len(p) > 1 and not p.isspace()]
-        for i in range(0, len(spaced), 512):
-            run = spaced[i:i + 512]
-            done = self.tokenizer.encode("".join(run), add_special_tokens=False)
-            ids, cuts = np.array(done.ids, "<u4"), np.searchsorted(done.word_ids, np.arange(len(run) + 1))
-            for piece, start, end in zip(run, cuts.tolist(), cuts[1:].tolist()):
-                self.pieces[piece] = ids[start:end].tobytes()
-        for piece in new.difference(spaced):
-            self.pieces[piece] = self.whole(piece)
-
-    def learn(self, strings: set[str]) -> None:
-        """Ids of strings that follow a space; None where its place in white space matters."""
-        plain = [s for s in strings if s and not s[0].isspace()]
-        cuts = {s: self.cut(" " + s) for s in plain}
-        self.learn_pieces(chain.from_iterable(cuts.values()))
-        look = self.pieces.__getitem__
-        self.strings.update((s, look(c[0]) if len(c) == 1 else b"".join(map(look, c))) for s, c in cuts.items())
-        self.strings.update(dict.fromkeys(strings.difference(plain)))
-
-    def one(self, text: str) -> bytes:
-        """The ids of a text by its pieces."""
-        pieces = self.cut(text)
-        self.learn_pieces(pieces)
-        return b"".join(map(self.pieces.__getitem__, pieces))
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as little-endian unsigned 32-bit integers."""
-        split: list[list[str] | None] = []
-        for text in texts:
-            plain = self.by_piece and not any(s in text for s in self.special)
-            split.append(text.split(" ") if plain else None)
-        seen = set().union(*(s[1:] for s in split if s))
-        new = seen.difference(self.strings)
-        if len(self.strings) + len(new) > REMEMBERED:
-            self.strings.clear()
-            new = seen
-        self.learn(new)
-        look = self.strings.__getitem__
-        found = []
-        for text, parts in zip(texts, split):
-            if parts is None:
-                found.append(self.whole(text))
-                continue
-            rest = [*map(look, parts[1:])]
-            if None in rest:
-                found.append(self.one(text))
-            else:
-                found.append(b"".join([self.one(parts[0]), *rest]))
-        return found
-
-
-def runs_of(texts: Iterable[str], size: int = 1 << 20) -> Iterator[list[str]]:
-    """The texts in turn, in lists of about ``size`` characters."""
-    held, length = [], 0
-    for text in texts:
-        held.append(text)
-        length += len(text)
-        if length >= size:
-            yield held
-            held, length = [], 0
-    if held:
-        yield held
 
 
 def pack(ids: np.ndarray, planes: str, compress) -> list[bytes]:
@@ -186,8 +64,8 @@ def _segments(
     batches: Iterator[pa.RecordBatch], schema: pa.Schema, definition: str, end_id: int,
     planes: str, block_ids: int, segment_ids: int,
 ) -> Iterator[pa.RecordBatch]:
-    encoder, compress = Encoder.here(definition), zstandard.ZstdCompressor(level=LEVEL).compress
-    part, number, end = TaskContext.get().partitionId(), 0, np.array([end_id], "<u4").tobytes()
+    encoder, compress = ByteLevel(definition), zstandard.ZstdCompressor(level=LEVEL).compress
+    part, number, end = TaskContext.get().partitionId(), 0, np.array([end_id], "<u4")
     docs: list[int | None] = []
     held: list[np.ndarray] = []
     starts = [0]
@@ -202,10 +80,9 @@ def _segments(
         return pa.RecordBatch.from_arrays(
             [pa.array([v], type=f.type) for v, f in zip(row, schema)], schema=schema)
 
-    for batch in batches:
-        texts = runs_of(text.as_py() or "" for text in batch.column(1))
-        for doc_id, found in zip(batch.column(0).to_pylist(), chain.from_iterable(map(encoder.ids, texts))):
-            ids = np.frombuffer(found + end, "<u4")
+    for doc_ids, texts in chunks_of(batches):
+        for doc_id, found in zip(doc_ids, encoder.ids(texts)):
+            ids = np.concatenate([found, end])
             docs.append(doc_id)
             held.append(ids)
             starts.append(starts[-1] + len(ids))
@@ -242,7 +119,8 @@ def write_token_ids(
 
     order = ["doc_id", F.xxhash64("text")]
     ordered = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered.mapInArrow(run, wanted).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/data")
+    ordered.mapInArrow(tidied(run), wanted).write.mode("overwrite").option(
+        "compression", "none").parquet(f"{path}/data")
 
     segments = segment_starts(spark, path)
     segments.select(

@@ -11,17 +11,21 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 
 #: Characters of text that are looked at together; a longer text is taken whole.
-CHUNK_CHARS = 1 << 24
+CHUNK_CHARS = 1 << 21
 #: Bytes of units and ids a task keeps from one chunk to the next.
-REMEMBERED_BYTES = 24 << 20
-#: Bytes of units that the tokenizer gets at a time.
-RUN_BYTES = 1 << 16
+REMEMBERED_BYTES = 12 << 20
+#: Units or pieces that are cut or encoded at a time.
+RUN = 1 << 13
+#: Fixed: how byte-level tokenizers of this kind cut a text into pieces.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 _CUT = re.compile(r"(?<=[^ ]) (?=\S)")
 
@@ -45,14 +49,14 @@ def chunks_of(
     held: list[pa.Array] = []
     size = 0
     for batch in batches:
-        texts = batch.column(1).cast(pa.large_string())
+        texts = batch.column(1)
         lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy()
-        ends = size + np.cumsum(lengths)
+        ends = size + np.cumsum(lengths, dtype=np.int64)
         start = 0
         while start < len(texts):
             cut = min(int(np.searchsorted(ends, chars)) + 1, len(texts))
             ids += batch.column(0).slice(start, cut - start).to_pylist()
-            held.append(texts.slice(start, cut - start))
+            held.append(texts.slice(start, cut - start).cast(pa.large_string()))
             size = int(ends[cut - 1])
             if size >= chars:
                 yield ids, pa.concat_arrays(held)
@@ -109,15 +113,55 @@ def joined(flat: np.ndarray, starts: np.ndarray, chosen: np.ndarray) -> np.ndarr
     return flat[np.repeat(starts[chosen] - ends + lengths, lengths) + np.arange(ends[-1])]
 
 
-class ByteLevel:
-    """Encodes texts with the tokenizers library, each distinct unit of them once.
+def byte_letters() -> dict[int, str]:
+    """The character that stands for each byte: itself where it is visible, else the next from 256 on."""
+    visible = [b for b in range(256) if 33 <= b < 127 or 161 <= b < 173 or b > 173]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
-    Tokenizers that do not work by the fixed pieces get every text as it is. The
-    object belongs to a task: what it remembers is bounded, and goes with it.
+
+class UnitEncoder:
+    """Token ids of units, each distinct one encoded once while it is remembered.
+
+    The object belongs to a task: what it remembers is bounded, and goes with it.
+    """
+
+    def __init__(self) -> None:
+        self.forget()
+
+    def forget(self) -> None:
+        self.units = pa.array([], pa.large_string())
+        self.flat, self.starts = np.empty(0, "<u4"), np.zeros(1, np.int64)
+
+    def new_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, starts) of the units, each with the space that it begins with."""
+        raise NotImplementedError
+
+    def of_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if self.units.nbytes + self.flat.nbytes + self.starts.nbytes > REMEMBERED_BYTES:
+            self.forget()
+        place = pc.index_in(units, value_set=self.units)
+        new = units.filter(pc.is_null(place))
+        if len(new):
+            ids, starts = self.new_units(new)
+            known = len(self.units)
+            self.units = pa.concat_arrays([self.units, new])
+            self.starts = np.concatenate([self.starts, starts[1:] + len(self.flat)])
+            self.flat = np.concatenate([self.flat, ids.astype("<u4", copy=False)])
+            fresh = pc.cumulative_sum(pc.is_null(place).cast(pa.int32()))
+            place = pc.coalesce(place, pc.add(fresh, known - 1))
+        place = place.to_numpy(zero_copy_only=False)
+        return joined(self.flat, self.starts, place), np.concatenate([[0], np.cumsum(np.diff(self.starts)[place])])
+
+
+class ByteLevel(UnitEncoder):
+    """Encodes texts with the tokenizers library, each distinct piece of new units once.
+
+    Tokenizers that do not work by the fixed pieces get every text as it is.
     """
 
     def __init__(self, definition: str, plain_specials: bool = False):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = plain_specials
@@ -128,54 +172,69 @@ class ByteLevel:
             and not before.get("add_prefix_space") and before.get("use_regex", True)
             and not made.get("truncation") and not made.get("padding")
         )
+        self.cut = regex.compile(PIECES).findall
+        self.letters = byte_letters()
+        self.merger = Tokenizer(self.tokenizer.model)
+        self.merger.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         self.special = [] if plain_specials else [t["content"] for t in made.get("added_tokens", [])]
         # One character of a byte-level token stands for one byte.
         vocabulary = self.tokenizer.get_vocab(True)
         self.n_bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
         self.n_bytes[list(vocabulary.values())] = [len(token) for token in vocabulary]
-        self.forget()
-
-    def forget(self) -> None:
-        self.units = pa.array([], pa.large_string())
-        self.flat, self.starts = np.empty(0, "<u4"), np.zeros(1, np.int64)
+        super().__init__()
 
     def one(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def side_by_side(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, starts) of units with their spaces; the bytes of the ids tell where each ends."""
-        spaced = pc.binary_join_element_wise(*(pa.scalar(x, units.type) if x is not None else units for x in ("", None, " ")))
-        ends = np.cumsum(pc.binary_length(spaced).to_numpy())
-        ids, first = [], 0
-        while first < len(units):
-            start = ends[first - 1] if first else 0
-            last = max(int(np.searchsorted(ends, start + RUN_BYTES)), first + 1)
-            run = "".join(spaced.slice(first, last - first).to_pylist())
-            ids.append(np.array(self.tokenizer.encode_batch_fast([run], add_special_tokens=False)[0].ids, "<u4"))
-            first = last
-        flat = np.concatenate(ids) if ids else np.empty(0, "<u4")
+    def of_pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, starts) of distinct pieces: their bytes' characters, end to end, are what the model merges."""
+        sizes = pc.binary_length(pieces).to_numpy()
+        spelled = "".join(pieces.to_pylist()).encode().decode("latin1").translate(self.letters)
+        ends = np.cumsum(sizes)
+        cuts = [0, *ends.tolist()]
+        names = [spelled[i:j] for i, j in zip(cuts, cuts[1:])]
+        ids = [np.array(self.merger.encode_batch_fast([" ".join(names[i:i + RUN])], add_special_tokens=False)[0].ids, "<u4")
+               for i in range(0, len(names), RUN)]
+        flat = np.concatenate([np.empty(0, "<u4"), *ids])
+        # The bytes of the ids tell where each piece ends.
         return flat, np.concatenate([[0], np.searchsorted(np.cumsum(self.n_bytes[flat]), ends) + 1])
 
-    def of_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, starts) of the units, each with the space that it begins with."""
-        if self.units.nbytes + self.flat.nbytes + self.starts.nbytes > REMEMBERED_BYTES:
-            self.forget()
-        place = pc.index_in(units, value_set=self.units)
-        new = units.filter(pc.is_null(place))
-        blank = begins_blank(new)
-        side = new.filter(pa.array(~blank))
-        ids, starts = self.side_by_side(side)
-        alone = new.filter(pa.array(blank))
-        rest = [self.one(" " + u) for u in alone.to_pylist()]
-        self.units = pa.concat_arrays([self.units, side, alone])
-        lengths = [np.diff(self.starts), np.diff(starts), [len(r) for r in rest]]
-        self.flat = np.concatenate([self.flat, ids, *rest])
-        self.starts = np.concatenate([[0], np.cumsum(np.concatenate(lengths))]).astype(np.int64)
-        place = pc.index_in(units, value_set=self.units).to_numpy(zero_copy_only=False)
-        return joined(self.flat, self.starts, place), np.concatenate([[0], np.cumsum(np.diff(self.starts)[place])])
+    def side_by_side(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, starts) of units with their spaces, each distinct piece encoded once."""
+        spaced = pc.binary_join_element_wise(*(
+            pa.scalar(x, units.type) if x is not None else units for x in ("", None, " ")))
+        unit_ends = np.cumsum(pc.binary_length(spaced).to_numpy())
+        found = [self.cut("".join(spaced.slice(i, RUN).to_pylist())) for i in range(0, len(units), RUN)]
+        pieces = pa.array(chain.from_iterable(found), pa.large_string())
+        piece_ends = np.cumsum(pc.binary_length(pieces).to_numpy())
+        words = pieces.dictionary_encode()
+        index = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        flat, starts = self.of_pieces(words.dictionary)
+        n_ids = np.concatenate([[0], np.cumsum(np.diff(starts)[index])])
+        n_pieces = np.concatenate([[0], np.searchsorted(piece_ends, unit_ends) + 1]) if len(units) else [0]
+        return joined(flat, starts, index), n_ids[n_pieces]
+
+    def new_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        blank = np.flatnonzero(begins_blank(units))
+        if not len(blank):
+            return self.side_by_side(units)
+        # Where a unit begins with white space its own space is not the first of a piece.
+        held = np.ones(len(units), bool)
+        held[blank] = False
+        ids, starts = self.side_by_side(units.filter(pa.array(held)))
+        rest = [self.one(" " + u) for u in units.take(pa.array(blank)).to_pylist()]
+        lengths = np.zeros(len(units), np.int64)
+        lengths[held], lengths[blank] = np.diff(starts), [len(r) for r in rest]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        flat = np.empty(ends[-1], "<u4")
+        flat[np.repeat(held, lengths)] = ids
+        for i, r in zip(blank.tolist(), rest):
+            flat[ends[i]:ends[i + 1]] = r
+        return flat, ends
 
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; null is empty."""
+        texts = texts.cast(pa.large_string())
         if not self.by_unit:
             return [self.one(text or "") for text in texts.to_pylist()]
         holds = np.zeros(len(texts), bool)
