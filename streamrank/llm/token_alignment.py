@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +24,11 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import parked, table
-from .token_units import ByteLevel, chunks_of, joined, tokenizer_json, units_of
+from .common import give_back, parked, table, tidied
+from .token_units import ByteLevel, UnitEncoder, chunks_of, joined, tokenizer_json, units_of
 
 #: Bytes of text in a chunk; a longer text is a chunk of its own.
-CHUNK_BYTES = 1 << 23
+CHUNK_BYTES = 1 << 21
 #: A pair of ids as one number: the A id is above these bits.
 SHIFT = 32
 #: What stands for a space in word pieces; texts that hold it are not the same bytes.
@@ -48,8 +49,11 @@ def piece_model(name: str = "piece_bpe_32k.model") -> bytes:
         return file.read()
 
 
-class Pieces:
-    """Encodes units with the sentencepiece library, which adds their space."""
+class Pieces(UnitEncoder):
+    """Encodes units with the sentencepiece library, which adds their space.
+
+    A unit that its pieces do not spell again, byte for byte, has no ids.
+    """
 
     def __init__(self, model: bytes):
         from sentencepiece import SentencePieceProcessor
@@ -58,21 +62,26 @@ class Pieces:
         names = [self.model.id_to_piece(i) for i in range(self.model.vocab_size())]
         if any(SPACE in name.lstrip(SPACE) for name in names):
             raise ValueError("the model has pieces that reach across a space")
-        self.bytes = [
+        spelled = [
             bytes([int(name[3:5], 16)]) if self.model.is_byte(i) else name.replace(SPACE, " ").encode()
             for i, name in enumerate(names)]
-        self.n_bytes = np.array([len(b) for b in self.bytes], np.int64)
+        self.n_bytes = np.array([len(b) for b in spelled], np.int64)
+        self.first = np.concatenate([[0], np.cumsum(self.n_bytes)])
+        self.spelled = np.frombuffer(b"".join(spelled), np.uint8)
+        super().__init__()
 
-    def of_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids, starts, same) of the units; same is whether the ids' bytes are the unit's."""
+    def new_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         strings = units.to_pylist()
-        found = self.model.encode(strings, num_threads=1) if strings else []
-        look = self.bytes.__getitem__
-        same = np.fromiter(
-            (b"".join(map(look, f)) == b" " + u.encode() for f, u in zip(found, strings)), bool, len(strings))
-        starts = np.concatenate([[0], np.cumsum([len(f) for f in found], dtype=np.int64)])
-        flat = np.fromiter((i for f in found for i in f), np.int64, starts[-1])
-        return flat, starts, same
+        found = self.model.encode(strings, num_threads=1)
+        starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))])
+        flat = np.fromiter(chain.from_iterable(found), np.int64, starts[-1])
+        again = joined(self.spelled, self.first, flat)
+        if again.tobytes() == "".join([" " + u for u in strings]).encode():
+            return flat, starts
+        ends = np.concatenate([[0], np.cumsum(self.n_bytes[flat])])[starts]
+        same = np.array([again[x:y].tobytes() == b" " + u.encode() for x, y, u in zip(ends, ends[1:], strings)])
+        kept = np.repeat(same, np.diff(starts))
+        return flat[kept], np.concatenate([[0], np.cumsum(np.diff(starts) * same)])
 
 
 def coalesced(a_bytes: np.ndarray, b_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -97,50 +106,73 @@ def coalesced(a_bytes: np.ndarray, b_bytes: np.ndarray) -> tuple[np.ndarray, np.
     return group[:len(a_end)], group[len(a_end):], np.repeat(np.arange(len(n)), n), link_b
 
 
-def _named(ids: np.ndarray, groups: np.ndarray, n_groups: int) -> list[str]:
-    """The ids of each group, in decimal, with commas."""
-    names = list(map(str, ids.tolist()))
-    cuts = np.searchsorted(groups, np.arange(n_groups + 1)).tolist()
-    return [names[a] if b == a + 1 else ",".join(names[a:b]) for a, b in zip(cuts, cuts[1:])]
+def mark(text: str) -> pa.Scalar:
+    return pa.scalar(text, pa.large_string())
 
 
-def aligned_chunk(texts: pa.Array, a: ByteLevel, b: Pieces) -> dict:
-    """What a row of CHUNKS holds of some texts, but for its number and their ids."""
+def _spelled(a_ids, a_group, b_ids, b_group, n_groups: int) -> pa.Array:
+    """The text of each group: A's ids with commas, a bar, and B's."""
+    sides = []
+    for ids, groups in ((a_ids, a_group), (b_ids, b_group)):
+        cuts = pa.array(np.searchsorted(groups, np.arange(n_groups + 1)), pa.int64())
+        names = pa.array(ids, pa.int64()).cast(pa.large_string())
+        sides.append(pc.binary_join(pa.LargeListArray.from_arrays(cuts, names), mark(",")))
+    return pc.binary_join_element_wise(*sides, mark("|"))
+
+
+def _lists(cuts: np.ndarray, values: pa.Array) -> pa.Array:
+    """The values between cuts, with semicolons."""
+    return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(cuts, pa.int64()), values), mark(";"))
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
+def grouped_units(texts: pa.Array, a: ByteLevel, b: Pieces) -> tuple:
+    """(cuts, index, units' A ids and starts, B ids and starts) of texts; spoiled texts have no units."""
     nothing = pa.scalar("", texts.type)
     texts = pc.if_else(pc.fill_null(pc.match_substring(texts, SPACE), False), nothing, texts)
     cuts, index, units = units_of(texts)
-    b_ids, b_starts, same = b.of_units(units)
-    if not same.all():
+    b_ids, b_starts = b.of_units(units)
+    lost = np.diff(b_starts) == 0
+    if lost[index].any():
         # A text that the pieces do not spell again has no tokens.
-        wrong = np.concatenate([[0], np.cumsum(~same[index])])
+        wrong = np.concatenate([[0], np.cumsum(lost[index])])
         cuts, index, units = units_of(pc.if_else(pa.array(wrong[cuts[1:]] > wrong[cuts[:-1]]), nothing, texts))
-        b_ids, b_starts, same = b.of_units(units)
-    a_ids, a_starts = a.of_units(units)
-    a_ids = a_ids.astype(np.int64)
+        b_ids, b_starts = b.of_units(units)
+    used = np.zeros(len(units), bool)
+    used[index] = True
+    if not used.all():
+        units, index = units.filter(pa.array(used)), (np.cumsum(used) - 1)[index]
+        b_ids, b_starts = b.of_units(units)
+    return cuts, index, *a.of_units(units), b_ids, b_starts
+
+
+def aligned_chunk(texts: pa.Array, a: ByteLevel, b: Pieces) -> dict:
+    """What a row of CHUNKS holds of some texts, but for its number and their ids."""
+    cuts, index, a_ids, a_starts, b_ids, b_starts = grouped_units(texts, a, b)
+    a_ids, b_ids = a_ids.astype(np.int64), b_ids.astype(np.int64)
     a_group, b_group, link_a, link_b = coalesced(a.n_bytes[a_ids], b.n_bytes[b_ids])
 
     # Groups, links and their text, by unit: units begin and end with a token.
     n_groups = int(a_group[-1]) + 1 if len(a_group) else 0
     group_starts = np.concatenate([a_group, [n_groups]])[a_starts]
-    sides = [x + "|" + y for x, y in zip(_named(a_ids, a_group, n_groups), _named(b_ids, b_group, n_groups))]
-    ends = group_starts.tolist()
-    spelled = [sides[x] if y == x + 1 else ";".join(sides[x:y]) for x, y in zip(ends, ends[1:])]
-    pairs, link = np.unique(a_ids[link_a] << SHIFT | b_ids[link_b], return_inverse=True)
+    unit_texts = _lists(group_starts, _spelled(a_ids, a_group, b_ids, b_group, n_groups))
+    codes = a_ids[link_a] << SHIFT | b_ids[link_b]
+    pairs = distinct(codes)
+    link = np.searchsorted(pairs, codes)
     link_starts = np.searchsorted(link_a, a_starts)
 
     # The same by document.
-    n_docs = len(cuts) - 1
     total = lambda per_unit: np.diff(np.concatenate([[0], np.cumsum(per_unit[index])])[cuts])
-    used = cuts.tolist()
-    look, order = spelled.__getitem__, index.tolist()
-    digests = [hashlib.sha256(";".join(map(look, order[x:y])).encode()).hexdigest() if y > x else ""
-               for x, y in zip(used, used[1:])]
+    digests = [hashlib.sha256(text.as_buffer()).hexdigest() if len(text.as_buffer()) else ""
+               for text in _lists(cuts, unit_texts.take(pa.array(index)))]
     # A document counts once for a pair: its distinct units first, then their distinct pairs.
-    owner = np.repeat(np.arange(n_docs), np.diff(cuts))
-    held = np.unique(owner * max(len(units), 1) + index)
-    doc, unit = np.divmod(held, max(len(units), 1))
-    per_unit = np.diff(link_starts)
-    once = np.unique(np.repeat(doc, per_unit[unit]) * max(len(pairs), 1) + joined(link, link_starts, unit))
+    n_units, per_unit = max(len(a_starts) - 1, 1), np.diff(link_starts)
+    doc, unit = np.divmod(distinct(np.repeat(np.arange(len(cuts) - 1), np.diff(cuts)) * n_units + index), n_units)
+    once = distinct(np.repeat(doc, per_unit[unit]) * max(len(pairs), 1) + joined(link, link_starts, unit))
     return {
         "n_a": total(np.diff(a_starts)), "n_b": total(np.diff(b_starts)), "n_groups": total(np.diff(group_starts)),
         "n_links": total(per_unit), "groups_sha256": digests, "doc_units": np.diff(cuts), "units": index,
@@ -166,8 +198,11 @@ def aligned(
             yield pa.RecordBatch.from_arrays(
                 [pa.array([row[f.name]], type=f.type) for f in schema], schema=schema)
             chunk += 1
+            # A chunk takes many times its bytes for a moment; the next one need not wait on top of that.
+            del row
+            give_back()
 
-    return parked(docs.select("doc_id", "text").mapInArrow(run, wanted), "aligned-chunks")
+    return parked(docs.select("doc_id", "text").mapInArrow(tidied(run), wanted), "aligned-chunks")
 
 
 def pair_counts(chunks: DataFrame) -> DataFrame:
@@ -216,7 +251,7 @@ def document_alignments(chunks: DataFrame, counts: DataFrame) -> DataFrame:
     answers = asked.join(counts, "pair").groupBy("chunk").agg(
         F.collect_list(F.struct("at", "n", "best")).alias("answers"))
     return chunks.drop("pairs", "pair_docs").join(answers, "chunk", "left").drop("chunk").mapInArrow(
-        _scored, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
+        tidied(_scored), "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
                  "groups_sha256 string")
 
 
@@ -230,23 +265,16 @@ def alignment_groups(docs: DataFrame, definition: str | None = None, model: byte
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = ByteLevel(definition, plain_specials=True), Pieces(model)
         for ids, texts in chunks_of(batches, CHUNK_BYTES):
-            out = []
-            for text in texts.to_pylist():
-                one = pa.array([text or ""], pa.large_string())
-                cuts, index, units = units_of(one)
-                b_ids, b_starts, same = b.of_units(units)
-                if not same.all() or SPACE in (text or "") or not len(index):
-                    out.append("")
-                    continue
-                a_ids, a_starts = a.of_units(units)
-                a_ids = joined(a_ids, a_starts, index).astype(np.int64)
-                b_ids = joined(b_ids, b_starts, index)
-                a_group, b_group, _, _ = coalesced(a.n_bytes[a_ids], b.n_bytes[b_ids])
-                n = int(a_group[-1]) + 1
-                out.append(";".join(map("|".join, zip(_named(a_ids, a_group, n), _named(b_ids, b_group, n)))))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.string())], names=["doc_id", "groups"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, groups string")
+            cuts, index, a_ids, a_starts, b_ids, b_starts = grouped_units(texts, a, b)
+            a_ids, b_ids = a_ids.astype(np.int64), b_ids.astype(np.int64)
+            a_group, b_group, _, _ = coalesced(a.n_bytes[a_ids], b.n_bytes[b_ids])
+            n_groups = int(a_group[-1]) + 1 if len(a_group) else 0
+            group_starts = np.concatenate([a_group, [n_groups]])[a_starts]
+            found = _lists(group_starts, _spelled(a_ids, a_group, b_ids, b_group, n_groups))
+            groups = _lists(cuts, found.take(pa.array(index))).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), groups], names=["doc_id", "groups"])
+
+    return docs.select("doc_id", "text").mapInArrow(tidied(run), "doc_id long, groups string")
 
 
 def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
