@@ -18,8 +18,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from ..operators.combine import slot_counts
 from ..operators.windows import micros
 
-#: Parts of a group that have a state of their own.
-SALTS = 16
+#: Parts of a group that have a state of their own; more of them for groups of millions of items.
+SALTS = 4
 
 # The state handlers travel with the query, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
