@@ -14,6 +14,7 @@ covers are not taken again.
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -46,11 +47,16 @@ class UnitCounter(UnitEncoder):
 
     def __init__(self, ranks: bytes, pattern: str = PIECES):
         import tiktoken
-
-        pairs = (line.split() for line in ranks.splitlines() if line)
-        self.encode = tiktoken.Encoding(
-            "counter", pat_str=pattern, mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs},
-            special_tokens={}).encode_ordinary
+        from tiktoken import registry
+
+        # The library's own registry holds the vocabulary for later tasks of the process, of a
+        # fixed size; making it anew for each task costs more than its units.
+        name = f"units-{hashlib.md5(ranks + pattern.encode()).hexdigest()}"
+        if name not in registry.ENCODINGS:
+            pairs = (line.split() for line in ranks.splitlines() if line)
+            registry.ENCODINGS[name] = tiktoken.Encoding(
+                name, pat_str=pattern, mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs}, special_tokens={})
+        self.encode = registry.ENCODINGS[name].encode_ordinary
         super().__init__()
 
     def new_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
