@@ -10,6 +10,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
@@ -20,6 +21,8 @@ from ..operators.windows import micros
 
 #: Parts of a group that have a state of their own; more of them for groups of millions of items.
 SALTS = 4
+#: Parts that the keys of periodic reports are dealt over; more of them for hundreds of millions of live keys.
+BUCKETS = 1024
 
 # The state handlers travel with the query, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -337,11 +340,13 @@ def live_hopping_count(
 # Periodic reports.
 
 class Heartbeat(_Handler):
-    """Reports a key's total at every tick of stream time while the key lives, changed or not.
+    """Reports the totals of a bucket's keys at every tick of stream time while they live, changed or not.
 
-    Rows wait under the tick that ends their interval until the watermark passes it. A
-    timer stands at the next tick; it is set again as long as the key had rows within
-    ``idle``, and the key is forgotten after that.
+    Rows wait until the watermark passes the tick that ends their interval. A timer stands
+    at the next tick as long as a key had rows within ``idle``, else at the first tick that
+    waits; a key is forgotten after ``idle``. A tick reports every live key, so a bucket's
+    keys are read and written together, column by column: per key the store and the frames
+    cost far more than the sums. Ticks in a row with the same total come as one row.
     """
 
     def __init__(self, every: int, idle: int):
@@ -349,64 +354,91 @@ class Heartbeat(_Handler):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "tick long", "n long")
-        self.life = handle.getValueState("life", "next long, last long, total long")
+        self.timer = handle.getValueState("timer", "at long")
+        self.waiting = handle.getListState("waiting", "keys array<string>, ticks array<long>, counts array<long>")
+        self.lives = handle.getValueState(
+            "lives", "next long, keys array<string>, last array<long>, totals array<long>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        new = pd.concat([frame[["slot", "n"]] for frame in rows]).groupby("slot")["n"].sum()
-        for slot, n in new.items():
-            tick = int(slot) + self.every
-            held = self.waiting.getValue((tick,))
-            self.waiting.updateValue((tick,), (int(n) + (held[0] if held else 0),))
-        if not self.life.exists():
+        for given in rows:
+            ticks = given["slot"] + self.every
+            self.waiting.appendValue((given["key"].map(str).tolist(), ticks.tolist(), given["n"].tolist()))
             # Before its first report a key may still learn of earlier rows.
-            self._arm(int(new.index.min()) + self.every)
+            held, at = self.timer.get(), int(ticks.min()) // 1000
+            if held is None or at < held[0]:
+                if held is not None:
+                    self.handle.deleteTimer(held[0])
+                self._arm(at)
         return iter(())
 
-    def _arm(self, tick: int) -> None:
-        timers = list(self.handle.listTimers())
-        if not timers or tick // 1000 < min(timers):
-            for timer in timers:
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(tick // 1000)
+    def _arm(self, at: int) -> None:
+        self.handle.registerTimer(at)
+        self.timer.update((at,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         past = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = {k[0]: v[0] for k, v in self.waiting.iterator()}
-        life, reports = self.life.get(), []
-        while life or waiting and min(waiting) <= past:
-            tick, last, total = life or (min(waiting), min(waiting), 0)
-            if tick > past:
-                break
-            if tick in waiting:
-                total += waiting.pop(tick)
-                self.waiting.removeKey((tick,))
-                last = tick
-            reports.append((str(key[0]), tick, total))
-            life = (tick + self.every, last, total) if tick < last + self.idle else None
-        if life:
-            self.life.update(life)
-            self.handle.registerTimer(life[0] // 1000)
+        upto = past - past % self.every
+        parts = list(self.waiting.get())
+        names = np.array([k for part in parts for k in part[0]], object)
+        ticks, counts = (np.array([x for part in parts for x in part[i]], np.int64) for i in (1, 2))
+        start, living, last, totals = self.lives.get() or (0, [], [], [])
+        due = ticks <= upto
+
+        # Living keys come first, with their last rows' tick, and go on from the next one.
+        every_key, known = pd.factorize(np.concatenate([np.array(living, object), names[due]]))
+        at = np.concatenate([np.array(last, np.int64), ticks[due]])
+        n = np.concatenate([np.array(totals, np.int64), counts[due]])
+        begin = np.concatenate([np.full(len(living), start, np.int64), ticks[due]])
+        order = np.lexsort((at, every_key))
+        every_key, at, n, begin = (x[order] for x in (every_key, at, n, begin))
+        other = np.ones(len(at) + 1, bool)
+        other[1:-1] = every_key[1:] != every_key[:-1]
+        opens = other[:-1].copy()
+        opens[1:] |= at[1:] - at[:-1] > self.idle
+        sums, lives = np.cumsum(n), np.cumsum(opens) - 1
+        total = sums - (sums - n)[opens][lives]
+        # A total stands until the next rows of its life, for ``idle`` or up to the watermark.
+        end = np.minimum(at + self.idle, upto)
+        end[:-1] = np.where(opens[1:], end[:-1], np.minimum(end[:-1], at[1:] - self.every))
+        times = (end - begin) // self.every + 1
+        alive, shown = other[1:] & (at + self.idle > upto), times > 0
+
+        if alive.any():
+            self.lives.update((
+                upto + self.every, known[every_key[alive]].tolist(), at[alive].tolist(), total[alive].tolist()))
+        else:
+            self.lives.clear()
+        if due.all():
+            self.waiting.clear()
         else:
-            self.life.clear()
-            if waiting:
-                self.handle.registerTimer(min(waiting) // 1000)
-        if reports:
-            yield pd.DataFrame(reports, columns=["key", "tick", "total"])
+            self.waiting.put([(names[~due].tolist(), ticks[~due].tolist(), counts[~due].tolist())])
+        if alive.any() or not due.all():
+            self._arm((upto + self.every if alive.any() else int(ticks[~due].min())) // 1000)
+        else:
+            self.timer.clear()
+        if shown.any():
+            yield pd.DataFrame({
+                "key": known[every_key[shown]], "tick": begin[shown], "times": times[shown], "total": total[shown]})
 
 
 def heartbeat(
-    rows: DataFrame, key: str, every: str = "1 second", idle: str = "1 hour", late: str = "1 day", ts: str = "timestamp"
+    rows: DataFrame, key: str, every: str = "1 second", idle: str = "1 hour", late: str = "1 day", ts: str = "timestamp",
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """``key`` (text), ``tick_ms`` and ``value`` (the total as text): every live key once per tick.
 
     A key lives from its first row until ``idle`` after its last, in whole ticks; then it
-    is forgotten, and a later row starts it anew. ``every`` must divide ``idle``.
+    is forgotten, and a later row starts it anew. ``every`` must divide ``idle``. Keys are
+    dealt over ``buckets`` with a state each, which a task takes whole; a checkpoint keeps
+    the number.
     """
     if micros(idle) % micros(every):
         raise ValueError("every must divide idle")
-    slots = slot_counts(rows, [key], every, ts).withWatermark("last", late)
-    reports = slots.groupBy(key).transformWithStateInPandas(
-        Heartbeat(micros(every), micros(idle)), outputStructType="key string, tick long, total long",
+    slots = slot_counts(rows, [key], every, ts).withWatermark("last", late).select(
+        F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket"), F.col(key).alias("key"), "slot", "n", "last")
+    reports = slots.groupBy("bucket").transformWithStateInPandas(
+        Heartbeat(micros(every), micros(idle)), outputStructType="key string, tick long, times long, total long",
         outputMode="Append", timeMode="EventTime")
-    return reports.select("key", (F.col("tick") / 1000).cast("long").alias("tick_ms"), F.col("total").cast("string").alias("value"))
+    at = F.explode(F.sequence("tick", F.col("tick") + (F.col("times") - 1) * micros(every), F.lit(micros(every))))
+    return reports.select("key", at.alias("at"), "total").select(
+        "key", (F.col("at") / 1000).cast("long").alias("tick_ms"), F.col("total").cast("string").alias("value"))

@@ -1,6 +1,7 @@
 """The jobs as streams: lateness, restarts, replays, and agreement with batch."""
 
 import os
+import random
 import subprocess
 import sys
 
@@ -320,6 +321,30 @@ def test_live_keys_report_at_every_tick_until_they_expire(spark, session, tmp_pa
         heartbeat(feed.stream(session), "key", "2 seconds", "3 seconds")
 
 
+def test_keys_that_report_share_the_state_of_a_bucket(spark, session, tmp_path):
+    """State is read and written per bucket, not per key, and every key has its own reports."""
+    feed, pick = Feed(tmp_path / "in"), random.Random(5)
+    rows = [(f"k{pick.randrange(200)}", pick.randrange(90_000)) for _ in range(1_500)]
+    for part in range(3):
+        feed.send(*((k, at(ms)) for k, ms in rows if ms // 30_000 == part))
+    feed.send(("end", at(200_000)))
+    path = str(tmp_path / "out")
+    query = run(heartbeat(feed.stream(session), "key", "1 second", "4 seconds", "10 seconds", buckets=8), to_batches(path),
+                name="buckets", checkpoint=str(tmp_path / "cp"), final_only=True, every=None)
+    query.awaitTermination()
+    expected = []
+    for key in {k for k, _ in rows}:
+        ticks = sorted(ms // 1000 * 1000 + 1000 for k, ms in rows if k == key)
+        total, last = 0, None
+        for tick in range(ticks[0], ticks[-1] + 4001, 1000):
+            total, last = (total + ticks.count(tick), tick) if tick in ticks else (total, last)
+            if last is not None:
+                expected.append((key, tick, str(total)))
+                total, last = (0, None) if tick == last + 4000 else (total, last)
+    assert rows_of(read_batches(spark, path).where("key <> 'end'").select("key", "tick_ms", "value")) == sorted(expected, key=repr)
+    assert max(p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress) <= 3 * 8
+
+
 def test_live_state_does_not_read_what_was_stored(spark, session, tmp_path):
     """A micro-batch reads its own input files and no results of the batches before it."""
     feed = Feed(tmp_path / "in")
