@@ -25,10 +25,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import give_back, parked, table, tidied
-from .token_units import ByteLevel, UnitEncoder, chunks_of, joined, tokenizer_json, units_of
+from .token_units import RUN, ByteLevel, UnitEncoder, byte_level, chunks_of, joined, tokenizer_json, units_of
 
 #: Bytes of text in a chunk; a longer text is a chunk of its own.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
+#: Units whose documents' pairs and texts are worked out together.
+BLOCK_UNITS = 1 << 15
 #: A pair of ids as one number: the A id is above these bits.
 SHIFT = 32
 #: What stands for a space in word pieces; texts that hold it are not the same bytes.
@@ -71,17 +73,23 @@ class Pieces(UnitEncoder):
         super().__init__()
 
     def new_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        strings = units.to_pylist()
+        # The library's lists take many times what is kept of them.
+        found = [self.spelled_again(units.slice(i, RUN).to_pylist()) for i in range(0, len(units), RUN)]
+        counts = np.concatenate([np.zeros(1, np.int64), *(n for _, n in found)])
+        return np.concatenate([np.empty(0, np.int64), *(ids for ids, _ in found)]), np.cumsum(counts)
+
+    def spelled_again(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the units, end to end, and how many each has."""
         found = self.model.encode(strings, num_threads=1)
-        starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))])
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        starts = np.concatenate([[0], np.cumsum(counts)])
         flat = np.fromiter(chain.from_iterable(found), np.int64, starts[-1])
         again = joined(self.spelled, self.first, flat)
         if again.tobytes() == "".join([" " + u for u in strings]).encode():
-            return flat, starts
+            return flat, counts
         ends = np.concatenate([[0], np.cumsum(self.n_bytes[flat])])[starts]
         same = np.array([again[x:y].tobytes() == b" " + u.encode() for x, y, u in zip(ends, ends[1:], strings)])
-        kept = np.repeat(same, np.diff(starts))
-        return flat[kept], np.concatenate([[0], np.cumsum(np.diff(starts) * same)])
+        return flat[np.repeat(same, counts)], counts * same
 
 
 def coalesced(a_bytes: np.ndarray, b_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -130,6 +138,15 @@ def distinct(values: np.ndarray) -> np.ndarray:
     return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
 
 
+def blocks(cuts: np.ndarray, units: int = BLOCK_UNITS) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about that many units each; a run ends with the text that fills it."""
+    first = 0
+    while first < len(cuts) - 1:
+        last = min(int(np.searchsorted(cuts, cuts[first] + units)), len(cuts) - 1)
+        yield first, last
+        first = last
+
+
 def grouped_units(texts: pa.Array, a: ByteLevel, b: Pieces) -> tuple:
     """(cuts, index, units' A ids and starts, B ids and starts) of texts; spoiled texts have no units."""
     nothing = pa.scalar("", texts.type)
@@ -167,17 +184,24 @@ def aligned_chunk(texts: pa.Array, a: ByteLevel, b: Pieces) -> dict:
 
     # The same by document.
     total = lambda per_unit: np.diff(np.concatenate([[0], np.cumsum(per_unit[index])])[cuts])
-    digests = [hashlib.sha256(text.as_buffer()).hexdigest() if len(text.as_buffer()) else ""
-               for text in _lists(cuts, unit_texts.take(pa.array(index)))]
+    digests = []
+    for first, last in blocks(cuts):
+        found = unit_texts.take(pa.array(index[cuts[first]:cuts[last]]))
+        digests += [hashlib.sha256(text.as_buffer()).hexdigest() if len(text.as_buffer()) else ""
+                    for text in _lists(cuts[first:last + 1] - cuts[first], found)]
     # A document counts once for a pair: its distinct units first, then their distinct pairs.
-    n_units, per_unit = max(len(a_starts) - 1, 1), np.diff(link_starts)
-    doc, unit = np.divmod(distinct(np.repeat(np.arange(len(cuts) - 1), np.diff(cuts)) * n_units + index), n_units)
-    once = distinct(np.repeat(doc, per_unit[unit]) * max(len(pairs), 1) + joined(link, link_starts, unit))
+    n_units, n_pairs, per_unit = max(len(a_starts) - 1, 1), max(len(pairs), 1), np.diff(link_starts)
+    pair_docs = np.zeros(len(pairs), np.int64)
+    for first, last in blocks(cuts):
+        at = np.repeat(np.arange(last - first), np.diff(cuts[first:last + 1]))
+        doc, unit = np.divmod(distinct(at * n_units + index[cuts[first]:cuts[last]]), n_units)
+        once = distinct(np.repeat(doc, per_unit[unit]) * n_pairs + joined(link, link_starts, unit))
+        pair_docs += np.bincount(once % n_pairs, minlength=len(pairs))[:len(pairs)]
     return {
         "n_a": total(np.diff(a_starts)), "n_b": total(np.diff(b_starts)), "n_groups": total(np.diff(group_starts)),
         "n_links": total(per_unit), "groups_sha256": digests, "doc_units": np.diff(cuts), "units": index,
         "unit_links": per_unit, "links": link, "pairs": pairs,
-        "pair_docs": np.bincount(once % max(len(pairs), 1), minlength=len(pairs)),
+        "pair_docs": pair_docs,
     }
 
 
@@ -192,7 +216,7 @@ def aligned(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = to_arrow_schema(wanted, prefers_large_types=False)
-        a, b, chunk = ByteLevel(definition, plain_specials=True), Pieces(model), TaskContext.get().partitionId() << 32
+        a, b, chunk = byte_level(definition, plain_specials=True), Pieces(model), TaskContext.get().partitionId() << 32
         for ids, texts in chunks_of(batches, chunk_bytes):
             row = {"chunk": chunk, "doc_id": ids} | aligned_chunk(texts, a, b)
             yield pa.RecordBatch.from_arrays(
@@ -263,7 +287,7 @@ def alignment_groups(docs: DataFrame, definition: str | None = None, model: byte
     definition, model = definition or tokenizer_json(), model or piece_model()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = ByteLevel(definition, plain_specials=True), Pieces(model)
+        a, b = byte_level(definition, plain_specials=True), Pieces(model)
         for ids, texts in chunks_of(batches, CHUNK_BYTES):
             cuts, index, a_ids, a_starts, b_ids, b_starts = grouped_units(texts, a, b)
             a_ids, b_ids = a_ids.astype(np.int64), b_ids.astype(np.int64)

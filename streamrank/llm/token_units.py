@@ -8,10 +8,12 @@ across such a place, so the tokens of a text are those of its units, end to end.
 
 from __future__ import annotations
 
+import hashlib
 import json
+import os
 import re
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -123,7 +125,7 @@ def byte_letters() -> dict[int, str]:
 class UnitEncoder:
     """Token ids of units, each distinct one encoded once while it is remembered.
 
-    The object belongs to a task: what it remembers is bounded, and goes with it.
+    What is remembered is bounded. The object belongs to a task, or to a process (``byte_level``).
     """
 
     def __init__(self) -> None:
@@ -161,8 +163,10 @@ class ByteLevel(UnitEncoder):
     """
 
     def __init__(self, definition: str, plain_specials: bool = False):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
+        # Spark runs a task per core; the library's threads would only add to them.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = plain_specials
         made = json.loads(definition)
@@ -174,8 +178,7 @@ class ByteLevel(UnitEncoder):
         )
         self.cut = regex.compile(PIECES).findall
         self.letters = byte_letters()
-        self.merger = Tokenizer(self.tokenizer.model)
-        self.merger.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.merge = self.tokenizer.model.tokenize
         self.special = [] if plain_specials else [t["content"] for t in made.get("added_tokens", [])]
         # One character of a byte-level token stands for one byte.
         vocabulary = self.tokenizer.get_vocab(True)
@@ -192,12 +195,13 @@ class ByteLevel(UnitEncoder):
         spelled = "".join(pieces.to_pylist()).encode().decode("latin1").translate(self.letters)
         ends = np.cumsum(sizes)
         cuts = [0, *ends.tolist()]
-        names = [spelled[i:j] for i, j in zip(cuts, cuts[1:])]
-        ids = [np.array(self.merger.encode_batch_fast([" ".join(names[i:i + RUN])], add_special_tokens=False)[0].ids, "<u4")
-               for i in range(0, len(names), RUN)]
-        flat = np.concatenate([np.empty(0, "<u4"), *ids])
-        # The bytes of the ids tell where each piece ends.
-        return flat, np.concatenate([[0], np.searchsorted(np.cumsum(self.n_bytes[flat]), ends) + 1])
+        names = [spelled[i:j] for i, j in pairwise(cuts)]
+        runs, counts = [np.empty(0, "<u4")], [0]
+        for i in range(0, len(names), RUN):
+            found = list(map(self.merge, names[i:i + RUN]))
+            counts += map(len, found)
+            runs.append(np.array([token.id for token in chain.from_iterable(found)], "<u4"))
+        return np.concatenate(runs), np.cumsum(counts)
 
     def side_by_side(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, starts) of units with their spaces, each distinct piece encoded once."""
@@ -255,3 +259,19 @@ class ByteLevel(UnitEncoder):
         for i in np.flatnonzero(holds).tolist():
             out[i] = self.one(texts[i].as_py())
         return out
+
+
+def byte_level(definition: str, plain_specials: bool = False) -> ByteLevel:
+    """The encoder of a definition, kept for later tasks of the process with what it remembers.
+
+    A process keeps the last one only. It lies with the library, which stays while this
+    code comes anew with every task.
+    """
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_kept_unit_encoder", {})
+    name = hashlib.md5(definition.encode()).hexdigest(), plain_specials
+    if name not in kept:
+        kept.clear()
+        kept[name] = ByteLevel(definition, plain_specials)
+    return kept[name]
