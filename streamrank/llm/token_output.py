@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import shared_dir
 from .common import mapped, table, tidied
-from .token_units import ByteLevel, chunks_of, tokenizer_json
+from .token_units import byte_level, chunks_of, tokenizer_json
 
 BLOCK_IDS = 1 << 14
 SEGMENT_IDS = 1 << 20
@@ -64,7 +64,7 @@ def _segments(
     batches: Iterator[pa.RecordBatch], schema: pa.Schema, definition: str, end_id: int,
     planes: str, block_ids: int, segment_ids: int,
 ) -> Iterator[pa.RecordBatch]:
-    encoder, compress = ByteLevel(definition), zstandard.ZstdCompressor(level=LEVEL).compress
+    encoder, compress = byte_level(definition), zstandard.ZstdCompressor(level=LEVEL).compress
     part, number, end = TaskContext.get().partitionId(), 0, np.array([end_id], "<u4")
     docs: list[int | None] = []
     held: list[np.ndarray] = []
