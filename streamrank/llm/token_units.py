@@ -1,9 +1,12 @@
-"""Texts as indices into their distinct units, so that each unit is encoded once.
+"""Texts as indices into their distinct units, so that each unit is looked at once.
 
 A unit begins at a space that follows no space and that a visible character follows.
 Neither byte-level pieces (which take one space before a word, and leave a run of white
 space at its last one) nor word pieces (which hold spaces at their beginning only) reach
 across such a place, so the tokens of a text are those of its units, end to end.
+
+The byte-level encoder cuts units on into pieces and remembers these: words with and
+without a comma are many units, but few pieces.
 """
 
 from __future__ import annotations
@@ -22,13 +25,18 @@ import regex
 
 #: Characters of text that are looked at together; a longer text is taken whole.
 CHUNK_CHARS = 1 << 21
-#: Bytes of units and ids a task keeps from one chunk to the next.
+#: Bytes of units or pieces and their ids a task keeps from one chunk to the next.
 REMEMBERED_BYTES = 12 << 20
-#: Units or pieces that are cut or encoded at a time.
+#: Units or pieces that are encoded at a time.
 RUN = 1 << 13
 #: Fixed: how byte-level tokenizers of this kind cut a text into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: Kinds of characters that pieces tell apart; from SPACE on they are white space.
+LETTER, NUMBER, OTHER, QUOTE, SPACE, BLANK = range(6)
+#: The planes of Unicode that hold scripts; characters beyond them are left to the pattern.
+SCRIPTS = 0x40000
+
 _CUT = re.compile(r"(?<=[^ ]) (?=\S)")
 
 
@@ -122,8 +130,30 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def kinds() -> np.ndarray:
+    """The kind of each code point; QUOTE is what only the pattern can cut."""
+    made = np.full(0x110000, QUOTE, np.uint8)
+    made[:SCRIPTS] = OTHER
+    for found in regex.finditer(r"(\p{L}+)|(\p{N}+)|(\s+)", "".join(map(chr, range(SCRIPTS)))):
+        made[slice(*found.span())] = (LETTER, NUMBER, BLANK)[found.lastindex - 1]
+    made[ord("'")], made[ord(" ")] = QUOTE, SPACE
+    return made
+
+
+def spaced(units: pa.Array) -> pa.Array:
+    """The units with the space that each begins with."""
+    return pc.binary_join_element_wise(*(
+        pa.scalar(x, units.type) if x is not None else units for x in ("", None, " ")))
+
+
+def end_to_end(strings: pa.Array) -> str:
+    """The strings as one, without making a Python string of each."""
+    whole = pa.LargeListArray.from_arrays(pa.array([0, len(strings)], pa.int64()), strings)
+    return pc.binary_join(whole, pa.scalar("", strings.type))[0].as_py()
+
+
 class UnitEncoder:
-    """Token ids of units, each distinct one encoded once while it is remembered.
+    """Token ids of units (or other strings), each distinct one encoded once while it is remembered.
 
     What is remembered is bounded. The object belongs to a task, or to a process (``byte_level``).
     """
@@ -136,7 +166,7 @@ class UnitEncoder:
         self.flat, self.starts = np.empty(0, "<u4"), np.zeros(1, np.int64)
 
     def new_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, starts) of the units, each with the space that it begins with."""
+        """(ids, starts) of units that are not remembered."""
         raise NotImplementedError
 
     def of_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -157,7 +187,7 @@ class UnitEncoder:
 
 
 class ByteLevel(UnitEncoder):
-    """Encodes texts with the tokenizers library, each distinct piece of new units once.
+    """Encodes texts with the tokenizers library, each distinct piece once while it is remembered.
 
     Tokenizers that do not work by the fixed pieces get every text as it is.
     """
@@ -177,13 +207,18 @@ class ByteLevel(UnitEncoder):
             and not made.get("truncation") and not made.get("padding")
         )
         self.cut = regex.compile(PIECES).findall
-        self.letters = byte_letters()
-        self.merge = self.tokenizer.model.tokenize
+        self.letters, self.kinds = byte_letters(), kinds() if self.by_unit else None
+        # The model alone, for pieces that are cut and spelled already.
+        self.bare = Tokenizer(self.tokenizer.model)
         self.special = [] if plain_specials else [t["content"] for t in made.get("added_tokens", [])]
         # One character of a byte-level token stands for one byte.
         vocabulary = self.tokenizer.get_vocab(True)
         self.n_bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
         self.n_bytes[list(vocabulary.values())] = [len(token) for token in vocabulary]
+        # Whether the tokens of a piece have just its bytes.
+        model = made["model"]
+        self.spells = model.get("type") == "BPE" and all(x in model["vocab"] for x in self.letters.values()) and not any(
+            model.get(x) for x in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
         super().__init__()
 
     def one(self, text: str) -> np.ndarray:
@@ -191,50 +226,70 @@ class ByteLevel(UnitEncoder):
 
     def of_pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, starts) of distinct pieces: their bytes' characters, end to end, are what the model merges."""
-        sizes = pc.binary_length(pieces).to_numpy()
-        spelled = "".join(pieces.to_pylist()).encode().decode("latin1").translate(self.letters)
-        ends = np.cumsum(sizes)
-        cuts = [0, *ends.tolist()]
-        names = [spelled[i:j] for i, j in pairwise(cuts)]
-        runs, counts = [np.empty(0, "<u4")], [0]
+        ends = np.cumsum(pc.binary_length(pieces).to_numpy(), dtype=np.int64)
+        spelled = end_to_end(pieces).encode().decode("latin1").translate(self.letters)
+        names = [spelled[i:j] for i, j in pairwise([0, *ends.tolist()])]
+        runs, counts = [np.empty(0, "<u4")], [np.zeros(1, np.int64)]
         for i in range(0, len(names), RUN):
-            found = list(map(self.merge, names[i:i + RUN]))
-            counts += map(len, found)
-            runs.append(np.array([token.id for token in chain.from_iterable(found)], "<u4"))
-        return np.concatenate(runs), np.cumsum(counts)
-
-    def side_by_side(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, starts) of units with their spaces, each distinct piece encoded once."""
-        spaced = pc.binary_join_element_wise(*(
-            pa.scalar(x, units.type) if x is not None else units for x in ("", None, " ")))
-        unit_ends = np.cumsum(pc.binary_length(spaced).to_numpy())
-        found = [self.cut("".join(spaced.slice(i, RUN).to_pylist())) for i in range(0, len(units), RUN)]
-        pieces = pa.array(chain.from_iterable(found), pa.large_string())
-        piece_ends = np.cumsum(pc.binary_length(pieces).to_numpy())
+            if self.spells:
+                # One answer for a run is cheaper; the tokens' bytes tell where a piece ends.
+                found, = self.bare.encode_batch_fast([names[i:i + RUN]], is_pretokenized=True, add_special_tokens=False)
+                runs.append(np.array(found.ids, "<u4"))
+                lasts = np.searchsorted(np.cumsum(self.n_bytes[runs[-1]]), ends[i:i + RUN] - (ends[i - 1] if i else 0))
+                counts.append(np.diff(lasts, prepend=-1))
+            else:
+                found = list(map(self.bare.model.tokenize, names[i:i + RUN]))
+                counts.append(np.array([len(tokens) for tokens in found], np.int64))
+                runs.append(np.array([token.id for token in chain.from_iterable(found)], "<u4"))
+        return np.concatenate(runs), np.cumsum(np.concatenate(counts))
+
+    def new_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        return self.of_pieces(units)
+
+    def pieces_of(self, strings: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """(pieces, cuts): the pieces of string i are ``pieces[cuts[i]:cuts[i + 1]]``.
+
+        A piece ends where the kind of character changes, but for a space, which belongs to
+        what follows. That is decided for all strings at once; the pattern cuts strings with
+        apostrophes, inner spaces or runs of white space.
+        """
+        offsets = np.concatenate([[0], np.cumsum(pc.binary_length(strings).to_numpy(), dtype=np.int64)])
+        whole = end_to_end(strings)
+        text = whole.encode()
+        data = np.frombuffer(text, np.uint8)
+        lead = data & 0xC0 != 0x80
+        kind = self.kinds[np.frombuffer(whole.encode("utf-32-le"), "<u4")]
+        if len(kind) < len(data):
+            kind = kind[np.cumsum(lead) - 1]
+        begins = np.zeros(len(data) + 1, bool)
+        begins[offsets] = True
+        begins = begins[:-1]
+        edges = begins.copy()
+        edges[1:] |= (kind[1:] != kind[:-1]) & (kind[:-1] != SPACE)
+        odd = (kind == QUOTE) | (kind == SPACE) & ~begins
+        odd[1:] |= (kind[1:] >= SPACE) & (kind[:-1] >= SPACE) & lead[1:] & ~begins[1:]
+        hard = np.diff(np.concatenate([[0], np.cumsum(odd)])[offsets]) > 0
+        if hard.any():
+            found = chain.from_iterable(map(self.cut, strings.filter(pa.array(hard)).to_pylist()))
+            ends = np.cumsum(pc.binary_length(pa.array(found, pa.large_string())).to_numpy())
+            own = np.zeros(ends[-1] + 1, bool)
+            own[0] = own[ends] = True
+            edges[np.repeat(hard, np.diff(offsets))] = own[:-1]
+        bounds = np.concatenate([np.flatnonzero(edges), [len(data)]])
+        pieces = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(text))
+        return pieces, np.concatenate([[0], np.cumsum(edges)])[offsets]
+
+    def of_strings(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, starts) of strings, each distinct piece encoded once while it is remembered."""
+        pieces, cuts = self.pieces_of(strings)
         words = pieces.dictionary_encode()
         index = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        flat, starts = self.of_pieces(words.dictionary)
-        n_ids = np.concatenate([[0], np.cumsum(np.diff(starts)[index])])
-        n_pieces = np.concatenate([[0], np.searchsorted(piece_ends, unit_ends) + 1]) if len(units) else [0]
-        return joined(flat, starts, index), n_ids[n_pieces]
+        flat, starts = super().of_units(words.dictionary)
+        return joined(flat, starts, index), np.concatenate([[0], np.cumsum(np.diff(starts)[index])])[cuts]
 
-    def new_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        blank = np.flatnonzero(begins_blank(units))
-        if not len(blank):
-            return self.side_by_side(units)
-        # Where a unit begins with white space its own space is not the first of a piece.
-        held = np.ones(len(units), bool)
-        held[blank] = False
-        ids, starts = self.side_by_side(units.filter(pa.array(held)))
-        rest = [self.one(" " + u) for u in units.take(pa.array(blank)).to_pylist()]
-        lengths = np.zeros(len(units), np.int64)
-        lengths[held], lengths[blank] = np.diff(starts), [len(r) for r in rest]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        flat = np.empty(ends[-1], "<u4")
-        flat[np.repeat(held, lengths)] = ids
-        for i, r in zip(blank.tolist(), rest):
-            flat[ends[i]:ends[i + 1]] = r
-        return flat, ends
+    def of_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, starts) of units with the spaces that they begin with."""
+        return self.of_strings(spaced(units))
 
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; null is empty."""
@@ -249,12 +304,9 @@ class ByteLevel(UnitEncoder):
         used = cuts[:-1][np.diff(cuts) > 0]
         firsts, place = np.unique(index[used], return_inverse=True)
         index[used] = len(units) + place
-        flat, starts = self.of_units(units)
-        first_ids = [self.one(u) for u in units.take(pa.array(firsts)).to_pylist()]
-        flat = np.concatenate([flat, *first_ids])
-        lengths = np.concatenate([np.diff(starts), np.array([len(f) for f in first_ids], np.int64)])
-        found = joined(flat, np.concatenate([[0], np.cumsum(lengths)]), index)
-        ends = np.concatenate([[0], np.cumsum(lengths[index])])[cuts].tolist()
+        flat, starts = self.of_strings(pa.concat_arrays([spaced(units), units.take(pa.array(firsts))]))
+        found = joined(flat, starts, index)
+        ends = np.concatenate([[0], np.cumsum(np.diff(starts)[index])])[cuts].tolist()
         out = [found[a:b] for a, b in zip(ends, ends[1:])]
         for i in np.flatnonzero(holds).tolist():
             out[i] = self.one(texts[i].as_py())
