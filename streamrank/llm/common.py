@@ -15,15 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def parked(rows: DataFrame, label: str, path: str | None = None) -> DataFrame:
-    """``rows`` written to the shared folder and read back.
+def parked(rows: DataFrame, label: str, path: str | None = None, **options) -> DataFrame:
+    """``rows`` written to the shared folder, with the writer's options, and read back.
 
     This cuts the lineage: a lost executor costs the tasks that were running,
     not what was already written.
     """
     spark = rows.sparkSession
     path = path or shared_dir(spark, label)
-    rows.write.mode("overwrite").parquet(path)
+    rows.write.mode("overwrite").options(**options).parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 

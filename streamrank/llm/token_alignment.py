@@ -8,8 +8,8 @@ is linked with most, is counted over the whole corpus.
 
 A unit of text (see ``token_units``) begins and ends with a token of either side, so
 intervals are coalesced once for each distinct unit of a chunk of texts. A chunk is a
-row: its documents' units, its units' links, and its distinct id pairs. Only the pairs
-are shuffled to be counted, and only their counts come back to the chunk.
+row: its documents' units and its units' links, packed, and its distinct id pairs. Only
+the pairs are shuffled to be counted, and only their counts come back to the chunk.
 """
 
 from __future__ import annotations
@@ -36,11 +36,14 @@ SHIFT = 32
 #: What stands for a space in word pieces; texts that hold it are not the same bytes.
 SPACE = "▁"
 
-CHUNKS = (
-    "chunk long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
-    "groups_sha256 array<string>, doc_units array<int>, units array<int>, unit_links array<int>, "
-    "links array<int>, pairs array<long>, pair_docs array<int>"
-)
+#: What Spark sees of a chunk; the body is for Python alone (see ``packed``).
+CHUNKS = "chunk long, body binary, pairs array<long>, pair_docs array<int>"
+#: How chunks are stored. A body is compressed already, and both pages and row groups are
+#: checked after each row: by default after a hundred, which would be held in memory.
+STORED = {
+    "compression": "uncompressed", "parquet.block.size": 16 << 20,
+    "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1,
+}
 
 
 def piece_model(name: str = "piece_bpe_32k.model") -> bytes:
@@ -168,7 +171,7 @@ def grouped_units(texts: pa.Array, a: ByteLevel, b: Pieces) -> tuple:
 
 
 def aligned_chunk(texts: pa.Array, a: ByteLevel, b: Pieces) -> dict:
-    """What a row of CHUNKS holds of some texts, but for its number and their ids."""
+    """What a chunk holds of some texts, but for its number and their ids."""
     cuts, index, a_ids, a_starts, b_ids, b_starts = grouped_units(texts, a, b)
     a_ids, b_ids = a_ids.astype(np.int64), b_ids.astype(np.int64)
     a_group, b_group, link_a, link_b = coalesced(a.n_bytes[a_ids], b.n_bytes[b_ids])
@@ -205,6 +208,30 @@ def aligned_chunk(texts: pa.Array, a: ByteLevel, b: Pieces) -> dict:
     }
 
 
+def packed(lists: dict) -> bytes:
+    """Lists by name as one compressed batch of a row, numbers no wider than they need be.
+
+    Spark would take a row's millions of numbers apart one by one, and hold many rows of them.
+    """
+    def narrow(values) -> pa.Array:
+        if isinstance(values, np.ndarray):
+            values = values.astype(np.min_scalar_type(values.max(initial=0)))
+        return pa.array(values)
+
+    columns = [pa.LargeListArray.from_arrays(pa.array([0, len(x)], pa.int64()), x) for x in map(narrow, lists.values())]
+    batch = pa.RecordBatch.from_arrays(columns, names=list(lists))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(body: bytes | pa.Buffer) -> dict[str, pa.Array]:
+    """What was ``packed``."""
+    batch = pa.ipc.open_stream(body).read_next_batch()
+    return {name: batch.column(name)[0].values for name in batch.schema.names}
+
+
 def aligned(
     docs: DataFrame, definition: str | None = None, model: bytes | None = None, chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
@@ -218,15 +245,17 @@ def aligned(
         schema = to_arrow_schema(wanted, prefers_large_types=False)
         a, b, chunk = byte_level(definition, plain_specials=True), Pieces(model), TaskContext.get().partitionId() << 32
         for ids, texts in chunks_of(batches, chunk_bytes):
-            row = {"chunk": chunk, "doc_id": ids} | aligned_chunk(texts, a, b)
+            lists = {"doc_id": pa.array(ids, pa.int64())} | aligned_chunk(texts, a, b)
+            row = {"chunk": chunk, "pairs": lists.pop("pairs"), "pair_docs": lists.pop("pair_docs")}
+            row["body"] = packed(lists)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([row[f.name]], type=f.type) for f in schema], schema=schema)
             chunk += 1
             # A chunk takes many times its bytes for a moment; the next one need not wait on top of that.
-            del row
+            del row, lists
             give_back()
 
-    return parked(docs.select("doc_id", "text").mapInArrow(tidied(run), wanted), "aligned-chunks")
+    return parked(docs.select("doc_id", "text").mapInArrow(tidied(run), wanted), "aligned-chunks", **STORED)
 
 
 def pair_counts(chunks: DataFrame) -> DataFrame:
@@ -246,8 +275,8 @@ def pair_counts(chunks: DataFrame) -> DataFrame:
 def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
-            row = {n: batch.column(k)[i].values for k, n in enumerate(batch.schema.names)}
-            answers = row["answers"].flatten() if row["answers"] is not None else [pa.array([], pa.int64())] * 3
+            row, given = unpacked(batch.column("body")[i].as_buffer()), batch.column("answers")[i].values
+            answers = given.flatten() if given is not None else [pa.array([], pa.int64())] * 3
             at, n, best = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in answers)
             count, top = np.zeros((2, len(at)), np.int64)
             count[at], top[at] = n, best
@@ -260,7 +289,7 @@ def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 return np.diff(np.concatenate([[0], np.cumsum(per_unit[index])])[cuts])
 
             yield pa.RecordBatch.from_arrays(
-                [row[n] for n in ("doc_id", "n_a", "n_b", "n_groups", "n_links")]
+                [row[n].cast(pa.int64()) for n in ("doc_id", "n_a", "n_b", "n_groups", "n_links")]
                 + [pa.array(total(top)), pa.array(total(count)), row["groups_sha256"]],
                 names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
 
@@ -269,7 +298,8 @@ def document_alignments(chunks: DataFrame, counts: DataFrame) -> DataFrame:
     """The documents of ``aligned`` chunks, their links measured by ``pair_counts``.
 
     A frequent pair has a row for each chunk, which Spark may split when it joins, and a
-    chunk gets its own pairs back, of which its size bounds the number.
+    chunk gets its own pairs back, of which its size bounds the number. Its body is moved
+    as it is.
     """
     asked = chunks.select("chunk", F.posexplode("pairs").alias("at", "pair"))
     answers = asked.join(counts, "pair").groupBy("chunk").agg(
